@@ -17,7 +17,7 @@ from clickmart.fixed_values import (
 )
 from clickmart.functions.hashing import hash_number, weighted_choice
 from clickmart.functions.times import hour_path
-from clickmart.operators.joins import BROADCAST_BYTES, join_dimension
+from clickmart.operators.joins import BROADCAST_BYTES, join_dimension, measure
 
 INDEX_BUCKETS = 1024
 
@@ -79,12 +79,13 @@ def assign_users(
 
     Works on events and, cheaper, on session log lines before they are unnested.
     """
-    pool = users.count()
+    pool, size = measure(users.select("user_id"))
     if pool == 0:
         raise ValueError("the user pool is empty")
     drawn = events.withColumn("user_index", hash_number(F.col(session), 15) % pool)
+    indexed = index_users(users)
     return join_dimension(
-        drawn, index_users(users), "user_index", "left", broadcast_bytes=broadcast_bytes
+        drawn, indexed, "user_index", size=size + 16 * pool, broadcast_bytes=broadcast_bytes
     ).drop("user_index")
 
 
@@ -107,11 +108,9 @@ def enrich(
     profiles = users.select(
         "user_id", *(F.col(PROFILE_SOURCES.get(c, c)).alias(c) for c in PROFILE_COLUMNS)
     )
-    order = [*(c for c in events.columns if c not in PROFILE_COLUMNS), *PROFILE_COLUMNS]
-    if set(order) == set(events.columns):
-        order = events.columns
     bare = events.drop(*PROFILE_COLUMNS)
-    joined = join_dimension(bare, profiles, "user_id", "left", broadcast_bytes=broadcast_bytes)
+    order = [*bare.columns, *PROFILE_COLUMNS]
+    joined = join_dimension(bare, profiles, "user_id", broadcast_bytes=broadcast_bytes)
     return joined.select(*order)
 
 
@@ -134,7 +133,9 @@ def to_messages(events: DataFrame, topics: Mapping[str, str] | None = None) -> D
     )
 
 
-def limit_events(frame: DataFrame, n: int = EVENT_LIMIT, order: Sequence[str] = ()) -> DataFrame:
+def limit_events(
+    frame: DataFrame, order: Sequence[str], n: int = EVENT_LIMIT
+) -> DataFrame:
     """The first ``n`` rows in ``order``; 0 keeps all."""
     if n == 0:
         return frame

@@ -48,14 +48,10 @@ def first_month(stg: DataFrame) -> DataFrame:
     return first.select("user_id", month(F.col("first")).alias("cohort_month"))
 
 
-def _active_months(stg: DataFrame) -> DataFrame:
-    # Months travel as dates (4 bytes, grouped by hash) and become text in the small results.
-    return stg.select("user_id", F.trunc("event_date", "month").alias("activity")).distinct()
-
-
 def activity_months(stg: DataFrame) -> DataFrame:
     """The months in which each user was active."""
-    active = _active_months(stg)
+    # Months are grouped as dates (4 bytes) and become text afterwards.
+    active = stg.select("user_id", F.trunc("event_date", "month").alias("activity")).distinct()
     return active.select("user_id", month(F.col("activity")).alias("activity_month"))
 
 
@@ -65,11 +61,14 @@ def cohort_size(first: DataFrame) -> DataFrame:
 
 
 def _cohort_activity(stg: DataFrame) -> DataFrame:
-    # A user's first month is the smallest of the active months, so the staging table is read and
-    # shuffled once; a user's group holds one row per calendar month at most.
-    first = F.min("activity").over(Window.partitionBy("user_id"))
-    active = _active_months(stg.filter(F.col("user_id").isNotNull()))
-    return active.withColumn("cohort", first).filter(F.col("cohort").isNotNull())
+    # A user's first month is the smallest of the active ones, so the staging table is read and
+    # shuffled once, by user. The set of a user holds a date per calendar month at most, however
+    # many events there are, and is built before the shuffle.
+    users = stg.filter(F.col("user_id").isNotNull()).groupBy("user_id")
+    users = users.agg(F.collect_set(F.trunc("event_date", "month")).alias("months"))
+    return users.select(
+        "user_id", F.array_min("months").alias("cohort"), F.explode("months").alias("activity")
+    )
 
 
 def cohort_activity(stg: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from clickmart.functions.rates import rate
 from clickmart.functions.times import in_zone
 
 
-def sample(frame: DataFrame, n: int = 5, order: Sequence[str] = ()) -> DataFrame:
+def sample(frame: DataFrame, order: Sequence[str], n: int = 5) -> DataFrame:
     """The first ``n`` rows in ``order``."""
     return frame.orderBy(*order).limit(n)
 

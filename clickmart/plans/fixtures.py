@@ -53,16 +53,19 @@ def _session() -> Column:
     return F.col("user_id") * 1000 + F.dayofyear("ts")
 
 
-def _item() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # As a generator the JSON is parsed once per event; as an expression it would be parsed again
+    # in every filter on the item.
+    events = table(spark, sf_dir, "events")
+    parsed = events.select("event_id", "ts", "user_id", "event_type", F.json_tuple("props", "k"))
+    return parsed.withColumn("item", F.col("c0").cast("bigint"))
 
 
 def _identified_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return events.select(
+    return _events(spark, sf_dir).select(
         "event_id",
         _session().alias("session_id"),
-        F.when(F.col("event_id") % 89 != 0, _item()).alias("aid"),
+        F.when(F.col("event_id") % 89 != 0, F.col("item")).alias("aid"),
         epoch_ms(F.col("ts")).alias("ts"),
         _event_type(SOURCE_TYPES).alias("event_type"),
         F.when(F.col("event_id") % 97 != 0, F.col("user_id").cast("string")).alias("user_id"),
@@ -89,11 +92,11 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     so no line grows with the data."""
     log_names = {event_type: log_type for log_type, event_type in LOG_TYPES.items()}
     log_types = {source: log_names[event_type] for source, event_type in SOURCE_TYPES.items()}
-    events = table(spark, sf_dir, "events").select(
+    events = _events(spark, sf_dir).select(
         _session().alias("session"),
         F.call_function("div", F.col("event_id"), F.lit(EVENTS_PER_LINE)).alias("line"),
         epoch_ms(F.col("ts")).alias("ts"),
-        _item().alias("aid"),
+        F.col("item").alias("aid"),
         _event_type(log_types).alias("type"),
     )
     lines = events.groupBy("session", "line").agg(

@@ -130,7 +130,7 @@ def type_stats(spark, sf_dir):
 
 @query
 def sample_stg(spark, sf_dir):
-    return profile.sample(fixtures.stg(spark, sf_dir), 5, EVENT_ORDER)
+    return profile.sample(fixtures.stg(spark, sf_dir), EVENT_ORDER, 5)
 
 
 @query
@@ -203,7 +203,7 @@ def encode_messages(spark, sf_dir):
 @query
 def limit_events(spark, sf_dir):
     events = ingest.normalize_types(ingest.explode_events(fixtures.sessions(spark, sf_dir)))
-    return ingest.limit_events(events, 5000, EVENT_ORDER)
+    return ingest.limit_events(events, EVENT_ORDER, 5000)
 
 
 @query
@@ -354,8 +354,10 @@ def _database(spark: SparkSession) -> tuple[str, dict[str, str]]:
 @query
 def jdbc_roundtrip_stg(spark, sf_dir):
     url, options = _database(spark)
-    jdbc.load_table(fixtures.stg(spark, sf_dir), url, STG_TABLE, options)
-    return jdbc.read_table(spark, url, STG_TABLE, options)
+    path = files.scratch_dir(spark, "stg")
+    files.write_stg(fixtures.stg(spark, sf_dir), path)
+    jdbc.load_stg(spark, path, url, options)
+    return jdbc.read_table(spark, url, STG_TABLE, options, split="ts")
 
 
 @query
@@ -365,14 +367,8 @@ def jdbc_roundtrip_marts(spark, sf_dir):
     stg = fixtures.stg(spark, sf_dir)
     for name in MART_TABLES:
         files.write_mart(marts.build(stg, name), base, name)
-    jdbc.load_marts(spark, base, url, options)
-    counts = [
-        jdbc.read_table(spark, url, name, options).agg(
-            F.lit(mart).alias("mart"), F.count(F.lit(1)).alias("rows")
-        )
-        for mart, name in MART_TABLES.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    loaded = jdbc.load_marts(spark, base, url, options, audit=True)
+    return spark.createDataFrame(list(loaded.items()), "mart STRING, rows BIGINT")
 
 
 # Streams

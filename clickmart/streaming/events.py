@@ -51,10 +51,10 @@ def clean(events: DataFrame, delay: str) -> DataFrame:
     # A time ahead of the clock must not carry the watermark along; such an event has no instant.
     sound = F.col("ts").between(F.lit(FIRST_MS), F.unix_millis(F.current_timestamp()))
     timed = valid.withColumn("instant", F.when(sound, F.timestamp_millis("ts")))
-    timed = timed.withWatermark("instant", delay)
+    timed = timed.withColumn("batch_time", F.current_timestamp()).withWatermark("instant", delay)
     rest = [c for c in schemas.columns(schemas.RAW) if c not in EVENT_KEYS]
     seen = timed.groupBy(*EVENT_KEYS, "instant").agg(
-        F.min(F.struct(*rest)).alias("rest"), F.min(F.current_timestamp()).alias("first_batch")
+        F.min(F.struct(*rest)).alias("rest"), F.min("batch_time").alias("first_batch")
     )
     fresh = seen.filter(F.col("first_batch") == F.current_timestamp())
     rows = fresh.select(*EVENT_KEYS, "rest.*")
