@@ -1,0 +1,210 @@
+from __future__ import annotations
+
+import json
+import os
+import uuid
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+from test_clean import raw
+from test_ingest import pool, same
+
+from clickmart import schemas
+from clickmart.operators import clean, ingest, marts
+from clickmart.plans import daily, fixtures
+from clickmart.sources import files, jdbc
+
+EVENT = '{{"session_id":{0},"aid":{0},"ts":{0},"event_type":"{1}","user_id":"u"}}'
+
+
+@pytest.fixture
+def raw_zone(tmp_path):
+    """Three types over two days, in folders with bare names."""
+    for n, (kind, day) in enumerate((k, d) for k in ("click", "cart", "order") for d in ("01", "02")):
+        folder = tmp_path / kind / "2024" / "03" / day / "09"
+        folder.mkdir(parents=True)
+        (folder / f"{n}.jsonl").write_text(EVENT.format(n, kind) + "\n" + EVENT.format(n + 10, kind))
+    return str(tmp_path)
+
+
+def ids(frame):
+    return sorted(r.session_id for r in frame.collect())
+
+
+def test_raw_zone_is_read_by_type_and_day(spark, raw_zone):
+    assert ids(files.read_raw(spark, raw_zone)) == [*range(6), *range(10, 16)]
+    assert ids(files.read_raw(spark, raw_zone, types=["cart"])) == [2, 3, 12, 13]
+    assert ids(files.read_raw(spark, raw_zone, days=["2024-03-02"])) == [1, 3, 5, 11, 13, 15]
+    some = files.read_raw(spark, raw_zone, types=["click", "order"], days=["2024-03-01"])
+    assert ids(some) == [0, 4, 10, 14]
+    assert some.columns == schemas.columns(schemas.RAW)
+
+
+def test_unreadable_lines_lose_fields_not_the_job(spark, tmp_path):
+    folder = tmp_path / "click/2024/03/01/00"
+    folder.mkdir(parents=True)
+    lines = ["{broken", '{"session_id":"x","aid":1}', '{"session_id":3,"aid":2.5,"new":0}', ""]
+    (folder / "a.jsonl").write_text("\n".join(lines))
+    rows = files.read_raw(spark, str(tmp_path)).collect()
+    assert len(rows) == 3
+    assert {(r.session_id, r.aid) for r in rows} == {(None, None), (None, 1), (3, None)}
+
+
+def test_landed_events_are_pruned_by_folder(spark, tmp_path):
+    events = raw(spark, (1, 1, 0, "click", "u"), (2, 1, 86_400_000, "cart", "u"), (3, 1, 5, None, "u"))
+    base = str(tmp_path / "zone")
+    files.write_raw(events, base, fixtures.arrival())
+    assert os.path.isdir(f"{base}/et=click/y=1970/m=01/d=01/h=00")
+    assert os.path.isdir(f"{base}/et=unknown")
+    assert same(files.read_landed(spark, base), events)
+    assert ids(files.read_landed(spark, base, types=["cart"])) == [2]
+    assert ids(files.read_landed(spark, base, days=["1970-01-01"])) == [1, 3]
+    assert same(files.read_raw(spark, base, ext="json"), events)
+    assert ids(files.read_raw(spark, base, ext="json", days=["1970-01-02"])) == [2]
+
+
+def test_users_from_lines_and_from_one_document(spark, tmp_path):
+    users = pool(spark, 30)
+    files.write_users(users, str(tmp_path / "lines"))
+    assert same(files.read_users(spark, str(tmp_path / "lines")), users)
+    document = tmp_path / "users.json"
+    document.write_text(json.dumps([r.asDict() for r in users.collect()], indent=2))
+    assert same(files.read_users(spark, str(document), multiline=True), users)
+    arrays = tmp_path / "arrays.json"
+    records = [r.asDict() for r in users.collect()]
+    arrays.write_text("\n".join(json.dumps(records[i::3]) for i in range(3)))
+    assert same(files.read_users(spark, str(arrays)), users)
+
+
+def test_sessions_from_lines(spark, tmp_path):
+    path = tmp_path / "log.jsonl"
+    path.write_text('{"session":1,"events":[{"aid":2,"ts":3,"type":"clicks"}]}\n{"session":2,"events":[]}\n')
+    got = [(r.session, [tuple(e) for e in r.events]) for r in files.read_sessions(spark, str(path)).collect()]
+    assert sorted(got) == [(1, [(2, 3, "clicks")]), (2, [])]
+
+
+def test_empty_staging_table_can_be_read(spark, tmp_path):
+    path = str(tmp_path / "stg")
+    files.write_stg(clean.transform(raw(spark, (1, 1, 1, "junk", "u"))), path)
+    stg = files.read_stg(spark, path)
+    assert stg.columns == schemas.columns(schemas.STG) and stg.count() == 0
+
+
+def test_replacing_a_day_keeps_the_others_and_drops_vanished_types(spark, tmp_path):
+    path, day = str(tmp_path / "stg"), 86_400_000
+    before = [(1, 1, 5, "click", "u"), (2, 1, 6, "order", "u"), (3, 1, day, "cart", "u")]
+    files.write_stg(clean.transform(raw(spark, *before)), path)
+    after = [(4, 1, 5, "click", "u"), (5, 1, 2 * day, "click", "u")]
+    files.replace_day(clean.transform(raw(spark, *after)), path, "1970-01-01")
+    assert ids(files.read_stg(spark, path)) == [3, 4]
+    files.replace_day(clean.transform(raw(spark, *after)), path, "1970-01-02")
+    assert ids(files.read_stg(spark, path)) == [4]
+
+
+def test_large_partitions_are_split_when_written(spark, tmp_path):
+    events = spark.range(200_000).select(
+        F.col("id").alias("session_id"), F.col("id").alias("aid"), F.lit(5).cast("bigint").alias("ts"),
+        F.lit("click").alias("event_type"), F.md5(F.col("id").cast("string")).alias("user_id"),
+        *(F.lit(None).cast("string").alias(c) for c in
+          ("gender", "age_group", "region", "membership", "platform")),
+    )
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        files.write_stg(clean.add_event_time(events).select(*schemas.columns(schemas.STG)), str(tmp_path / "s"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    written = list((tmp_path / "s/event_date=1970-01-01/event_type=click").glob("*.parquet"))
+    assert len(written) > 3
+    assert files.read_stg(spark, str(tmp_path / "s")).count() == 200_000
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+    class Cluster:
+        class conf:  # noqa: N801
+            @staticmethod
+            def get(key, default=None):
+                return "spark://host:7077" if key == "spark.master" else default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.scratch_dir(Cluster, "x")
+    shared = spark.conf.get("spark.checkpoint.dir")
+    one, two = files.scratch_dir(spark, "x"), files.scratch_dir(spark, "x")
+    assert one != two and one.startswith(shared)
+
+
+@pytest.fixture
+def database():
+    """The embedded database of the Spark distribution, in the memory of this process."""
+    url = f"jdbc:derby:memory:test{uuid.uuid4().hex};create=true"
+    return url, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+
+
+def test_overwriting_load_replaces_the_rows_and_keeps_the_table(spark, database):
+    url, options = database
+    frame = spark.range(100).withColumnRenamed("id", "n")
+    assert jdbc.load_table(frame, url, "numbers", options, audit=True) == 100
+    columns = jdbc.read_table(spark, url, "numbers", options).columns
+    assert jdbc.load_table(frame.limit(3), url, "numbers", options, audit=True) == 3
+    table = jdbc.read_table(spark, url, "numbers", options)
+    assert table.columns == columns == ["n", "created_at"]
+    assert table.count() == 3 and table.filter("created_at IS NULL").isEmpty()
+
+
+def test_appending_load_counts_only_its_own_rows(spark, database):
+    url, options = database
+    frame = spark.range(10).withColumnRenamed("id", "n")
+    jdbc.load_table(frame, url, "numbers", options)
+    assert jdbc.load_table(frame, url, "numbers", options, mode="append") == 10
+    assert jdbc.count_rows(spark, url, "numbers", options) == 20
+
+
+def test_split_read_sees_every_row(spark, database):
+    url, options = database
+    frame = spark.range(1000).select(F.col("id").alias("n"), F.lit("가").alias("t"))
+    jdbc.load_table(frame, url, "numbers", options)
+    table = jdbc.read_table(spark, url, "numbers", options, split="n", connections=4)
+    assert same(table, frame)
+    assert table.select(F.spark_partition_id()).distinct().count() == 4
+    jdbc.load_table(frame.limit(0), url, "numbers", options)
+    assert jdbc.read_table(spark, url, "numbers", options, split="n").count() == 0
+
+
+def test_a_day_is_appended_to_the_loaded_staging_table(spark, database, tmp_path):
+    url, options = database
+    path, day = str(tmp_path / "stg"), 86_400_000
+    events = raw(spark, (1, 1, 1, "click", "u"), (2, 1, day, "cart", "u"), (3, 1, day + 1, "order", "u"))
+    files.write_stg(clean.transform(events.limit(0)), path)
+    assert jdbc.load_stg(spark, path, url, options) == 0
+    files.write_stg(clean.transform(events), path)
+    assert jdbc.load_stg(spark, path, url, options, days=("1970-01-02",)) == 2
+    assert ids(jdbc.read_table(spark, url, "stg_events", options)) == [2, 3]
+
+
+def test_load_stops_at_the_first_failure(spark, database, tmp_path):
+    url, options = database
+    stg = clean.transform(raw(spark, (1, 1, 1, "click", "u")))
+    files.write_mart(marts.build(stg, "funnel_daily"), str(tmp_path), "funnel_daily")
+    with pytest.raises(Exception, match="session"):
+        jdbc.load_marts(spark, str(tmp_path), url, options)
+    assert jdbc.count_rows(spark, url, "mart_funnel_daily", options) == 1
+
+
+def test_daily_run_from_raw_files_to_the_database(spark, database, sf_dir, tmp_path):
+    url, options = database
+    files.write_raw(fixtures.raw(spark, sf_dir), str(tmp_path / "raw"), fixtures.arrival())
+    events = files.read_raw(spark, str(tmp_path / "raw"), ext="json")
+    users = fixtures.users(spark, sf_dir)
+    steps = daily.run(spark, events, str(tmp_path), users, url, options).collect()
+    rows = {r.step: r.rows for r in steps}
+    stg = ingest.enrich(fixtures.stg(spark, sf_dir), users)
+    assert rows["raw"] == fixtures.raw(spark, sf_dir).count() and rows["stg"] == stg.count()
+    for name, table in daily.MART_TABLES.items():
+        assert jdbc.count_rows(spark, url, table, options) == rows[name] > 0
+        assert same(files.read_mart(spark, str(tmp_path / "mart"), name), marts.build(stg, name))
+
+
+def test_daily_run_stops_before_the_marts_when_a_check_fails(spark, tmp_path):
+    with pytest.raises(ValueError, match="total_count=0"):
+        daily.run(spark, raw(spark, (1, 1, 1, "junk", "u")), str(tmp_path))
+    assert not (Path(tmp_path) / "mart").exists()
