@@ -25,6 +25,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", scratch)
+        .config("spark.sql.maxMetadataStringLength", "2000")
         .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch}")
         .getOrCreate()
     )
