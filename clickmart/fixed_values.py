@@ -29,7 +29,6 @@ MEMBERSHIPS = {"일반": 60, "실버": 25, "골드": 12, "플래티넘": 3}
 
 # Limits of ingestion and landing.
 EVENT_LIMIT = 10_000
-FLUSH_EVENTS = 500
 FLUSH_SECONDS = 60
 
 # Names of the marts and of the tables they are loaded into.

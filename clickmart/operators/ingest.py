@@ -101,17 +101,27 @@ def build_events(
     return normalize_types(events, mapping, strict).select(*schemas.columns(schemas.EVENT))
 
 
+def profiles(users: DataFrame) -> DataFrame:
+    """The profile columns of the user dimension, named as on events."""
+    named = (F.col(PROFILE_SOURCES.get(c, c)).alias(c) for c in PROFILE_COLUMNS)
+    return users.select("user_id", *named)
+
+
 def enrich(
-    events: DataFrame, users: DataFrame, broadcast_bytes: int = BROADCAST_BYTES
+    events: DataFrame,
+    users: DataFrame,
+    size: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Fill the profile columns of the events from the user dimension."""
-    profiles = users.select(
-        "user_id", *(F.col(PROFILE_SOURCES.get(c, c)).alias(c) for c in PROFILE_COLUMNS)
-    )
+    """Fill the profile columns of the events from the user dimension.
+
+    ``size`` is that of its ``profiles`` in bytes, where known.
+    """
     bare = events.drop(*PROFILE_COLUMNS)
-    order = [*bare.columns, *PROFILE_COLUMNS]
-    joined = join_dimension(bare, profiles, "user_id", broadcast_bytes=broadcast_bytes)
-    return joined.select(*order)
+    joined = join_dimension(
+        bare, profiles(users), "user_id", size=size, broadcast_bytes=broadcast_bytes
+    )
+    return joined.select(*bare.columns, *PROFILE_COLUMNS)
 
 
 def weighted_attribute(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.fixed_values import MART_TABLES
-from clickmart.operators import clean, ingest, marts, quality
+from clickmart.operators import clean, ingest, joins, marts, quality
 from clickmart.sources import files, jdbc
 
 
@@ -20,25 +20,40 @@ def run(
     users: DataFrame | None = None,
     jdbc_url: str | None = None,
     jdbc_options: Mapping[str, str] | None = None,
+    broadcast_bytes: int = joins.BROADCAST_BYTES,
 ) -> DataFrame:
-    """Run all steps and return (step, rows, sessions).
+    """Run all steps and return (step, rows, sessions); sessions where the step has them.
 
     A failed check stops the run before any mart is touched. Each step starts from the table the
-    step before has written, not from its plan, and so do the counts.
+    step before has written, not from its plan, and so do the counts. Raw lines are counted without
+    being parsed again.
     """
     stg_path, mart_base = f"{base}/stg", f"{base}/mart"
     rows = clean.transform(raw)
-    files.write_stg(ingest.enrich(rows, users) if users is not None else rows, stg_path)
+    if users is not None:
+        rows = _enriched(spark, rows, users, f"{base}/cleaned", broadcast_bytes)
+    files.write_stg(rows, stg_path)
     stg = quality.gate(files.read_stg(spark, stg_path))
     for name in MART_TABLES:
         files.write_mart(marts.build(stg, name), mart_base, name)
     if jdbc_url:
         jdbc.load_marts(spark, mart_base, jdbc_url, jdbc_options or {})
-    tables = {"raw": raw, "stg": stg}
+    tables = {"raw": raw.select(), "stg": stg}
     tables |= {name: files.read_mart(spark, mart_base, name) for name in MART_TABLES}
     return reduce(DataFrame.unionByName, (_counts(name, t) for name, t in tables.items()))
 
 
+def _enriched(
+    spark: SparkSession, rows: DataFrame, users: DataFrame, path: str, broadcast_bytes: int
+) -> DataFrame:
+    size = joins.measure(ingest.profiles(users))[1]
+    if size > broadcast_bytes:
+        # The join first looks for hot users, so it reads the events twice: write them before.
+        files.write_stg(rows, path)
+        rows = files.read_stg(spark, path)
+    return ingest.enrich(rows, users, size, broadcast_bytes)
+
+
 def _counts(step: str, table: DataFrame) -> DataFrame:
     if "session_id" not in table.columns:
         return table.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("rows")).withColumn(

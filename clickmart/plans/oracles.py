@@ -336,7 +336,7 @@ ORACLES: dict[str, str] = {
     "stream_clean": SELECT_STG,
     "stream_funnel": SELECT_FUNNEL,
     "daily_run_counts": f"""WITH {ENRICHED}, {ALL_MARTS}, {_session('enriched')}
-        SELECT 'raw' AS step, count(*) AS rows, count(DISTINCT session_id) AS sessions FROM raw
+        SELECT 'raw' AS step, count(*) AS rows, NULL::BIGINT AS sessions FROM raw
         UNION ALL SELECT 'stg', count(*), count(DISTINCT session_id) FROM enriched
         UNION ALL SELECT 'funnel_daily', count(*), NULL FROM funnel
         UNION ALL SELECT 'session', count(*), count(DISTINCT session_id) FROM sessions

@@ -347,6 +347,8 @@ def _database(spark: SparkSession) -> tuple[str, dict[str, str]]:
     if url:
         driver = spark.conf.get(JDBC_DRIVER_SETTING, None)
         return url, {"driver": driver} if driver else {}
+    if not files.is_local(spark):
+        raise ValueError(f"set {JDBC_URL_SETTING} to a database that all executors reach")
     memory = f"jdbc:derby:memory:clickmart{uuid.uuid4().hex};create=true"
     return memory, {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
@@ -401,7 +403,7 @@ def stream_type_counts(spark, sf_dir):
     path = files.scratch_dir(spark, "type-counts")
     counts = streams.type_counts(streams.decode(_message_stream(spark, sf_dir)))
     streams.start_batches(
-        counts, "complete", path, f"{path}-offsets", streams.DRAIN
+        counts, "complete", path, f"{path}-offsets", streams.DRAIN, files=1
     ).awaitTermination()
     return streams.read_batches(spark, path, "event_type STRING, n BIGINT", latest=True)
 
@@ -422,7 +424,7 @@ def stream_funnel(spark, sf_dir):
     files.write_stg(fixtures.stg(spark, sf_dir), source)
     stg = spark.readStream.schema(schemas.STG).parquet(source)
     streams.start_batches(
-        streams.funnel(stg), "complete", path, f"{path}-offsets", streams.DRAIN
+        streams.funnel(stg), "complete", path, f"{path}-offsets", streams.DRAIN, files=1
     ).awaitTermination()
     return streams.read_batches(spark, path, schemas.MARTS["funnel_daily"], latest=True)
 

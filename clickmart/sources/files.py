@@ -6,6 +6,7 @@ Paths are any Hadoop file system URI; object-store credentials belong into the s
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -20,6 +21,11 @@ CORRUPT = "_corrupt_record"
 LANDING_PARTS = ("et", "y", "m", "d", "h")
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in the process of the session."""
+    return re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")) is not None
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder in the shared folder that ``spark.checkpoint.dir`` names.
 
@@ -27,7 +33,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not is_local(spark):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="clickmart-")
     return f"{base.rstrip('/')}/clickmart/{name}-{uuid.uuid4().hex}"

@@ -80,15 +80,22 @@ def start_append(
 
 
 def start_batches(
-    frame: DataFrame, mode: str, path: str, checkpoint: str, trigger: dict | None = None
+    frame: DataFrame,
+    mode: str,
+    path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    files: int | None = None,
 ) -> StreamingQuery:
     """Write every micro-batch of ``frame`` to its own folder ``batch=<id>`` of ``path``.
 
     A batch that is run again after a failure replaces its folder, so its rows count once.
+    A folder has one file per state partition, or as many as ``files`` says.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        rows = batch.repartition(files) if files else batch
+        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     writer = frame.writeStream.outputMode(mode).foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint)

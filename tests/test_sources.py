@@ -204,6 +204,15 @@ def test_daily_run_from_raw_files_to_the_database(spark, database, sf_dir, tmp_p
         assert same(files.read_mart(spark, str(tmp_path / "mart"), name), marts.build(stg, name))
 
 
+def test_daily_run_with_a_large_user_dimension_gives_the_same_table(spark, sf_dir, tmp_path):
+    events, users = fixtures.raw(spark, sf_dir), fixtures.users(spark, sf_dir)
+    small = daily.run(spark, events, f"{tmp_path}/a", users)
+    large = daily.run(spark, events, f"{tmp_path}/b", users, broadcast_bytes=0)
+    assert same(small, large)
+    assert not Path(f"{tmp_path}/a/cleaned").exists() and Path(f"{tmp_path}/b/cleaned").exists()
+    assert same(files.read_stg(spark, f"{tmp_path}/a/stg"), files.read_stg(spark, f"{tmp_path}/b/stg"))
+
+
 def test_daily_run_stops_before_the_marts_when_a_check_fails(spark, tmp_path):
     with pytest.raises(ValueError, match="total_count=0"):
         daily.run(spark, raw(spark, (1, 1, 1, "junk", "u")), str(tmp_path))

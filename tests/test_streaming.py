@@ -12,6 +12,7 @@ from test_ingest import same
 from clickmart import schemas
 from clickmart.operators import clean, ingest, marts
 from clickmart.plans import fixtures
+from clickmart.session import STREAM_SETTINGS
 from clickmart.sources import files
 from clickmart.streaming import events as streams
 
@@ -103,6 +104,23 @@ def test_copies_in_other_batches_and_after_restarts_are_removed(spark, feed):
     assert sorted(r.session_id for r in feed.clean().collect()) == [1, 2, 3]
 
 
+def test_cleaning_keeps_its_state_on_disk_with_the_stream_settings(spark, feed):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    changelog = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    for key in (provider, changelog):
+        spark.conf.set(key, STREAM_SETTINGS[key])
+    try:
+        event = (1, 1, DAY, "click", "u")
+        feed.add(raw(spark, event))
+        feed.add(raw(spark, event, (2, 1, DAY, "cart", "u")))
+        assert sorted(r.session_id for r in feed.clean().collect()) == [1, 2]
+        feed.add(raw(spark, event))
+        assert feed.clean().count() == 2
+    finally:
+        spark.conf.unset(provider)
+        spark.conf.unset(changelog)
+
+
 def test_a_time_in_the_future_does_not_make_others_late(spark, feed):
     feed.add(raw(spark, (1, 1, 4_000_000_000_000, "click", "u"), (2, 1, 2**62, "click", "u")))
     feed.add(raw(spark, (3, 1, DAY, "click", "u")))
