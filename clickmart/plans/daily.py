@@ -1,4 +1,4 @@
-"""The daily run: raw to staging, checks, marts, load."""
+"""The daily run: raw to staging, checks, marts, load. Each step is also a function of its own."""
 
 from __future__ import annotations
 
@@ -13,6 +13,44 @@ from clickmart.operators import clean, ingest, joins, marts, quality
 from clickmart.sources import files, jdbc
 
 
+def stg_path(base: str) -> str:
+    """Where the staging table lies."""
+    return f"{base.rstrip('/')}/stg"
+
+
+def mart_base(base: str) -> str:
+    """Where the marts lie."""
+    return f"{base.rstrip('/')}/mart"
+
+
+def stage(
+    spark: SparkSession,
+    raw: DataFrame,
+    base: str,
+    users: DataFrame | None = None,
+    broadcast_bytes: int = joins.BROADCAST_BYTES,
+) -> DataFrame:
+    """Clean ``raw``, fill the profiles from ``users``, replace the staging table and return it."""
+    rows = clean.transform(raw)
+    if users is not None:
+        size = joins.measure(ingest.profiles(users))[1]
+        if size > broadcast_bytes:
+            # The join first looks for hot users, so it reads the events twice: write them before.
+            cleaned = f"{base.rstrip('/')}/cleaned"
+            files.write_stg(rows, cleaned)
+            rows = files.read_stg(spark, cleaned)
+        rows = ingest.enrich(rows, users, size, broadcast_bytes)
+    files.write_stg(rows, stg_path(base))
+    return files.read_stg(spark, stg_path(base))
+
+
+def build_marts(spark: SparkSession, stg: DataFrame, base: str) -> dict[str, DataFrame]:
+    """Replace all marts and return them by name."""
+    for name in MART_TABLES:
+        files.write_mart(marts.build(stg, name), mart_base(base), name)
+    return {name: files.read_mart(spark, mart_base(base), name) for name in MART_TABLES}
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -28,32 +66,13 @@ def run(
     step before has written, not from its plan, and so do the counts. Raw lines are counted without
     being parsed again.
     """
-    stg_path, mart_base = f"{base}/stg", f"{base}/mart"
-    rows = clean.transform(raw)
-    if users is not None:
-        rows = _enriched(spark, rows, users, f"{base}/cleaned", broadcast_bytes)
-    files.write_stg(rows, stg_path)
-    stg = quality.gate(files.read_stg(spark, stg_path))
-    for name in MART_TABLES:
-        files.write_mart(marts.build(stg, name), mart_base, name)
+    stg = quality.gate(stage(spark, raw, base, users, broadcast_bytes))
+    tables = {"raw": raw.select(), "stg": stg} | build_marts(spark, stg, base)
     if jdbc_url:
-        jdbc.load_marts(spark, mart_base, jdbc_url, jdbc_options or {})
-    tables = {"raw": raw.select(), "stg": stg}
-    tables |= {name: files.read_mart(spark, mart_base, name) for name in MART_TABLES}
+        jdbc.load_marts(spark, mart_base(base), jdbc_url, jdbc_options or {})
     return reduce(DataFrame.unionByName, (_counts(name, t) for name, t in tables.items()))
 
 
-def _enriched(
-    spark: SparkSession, rows: DataFrame, users: DataFrame, path: str, broadcast_bytes: int
-) -> DataFrame:
-    size = joins.measure(ingest.profiles(users))[1]
-    if size > broadcast_bytes:
-        # The join first looks for hot users, so it reads the events twice: write them before.
-        files.write_stg(rows, path)
-        rows = files.read_stg(spark, path)
-    return ingest.enrich(rows, users, size, broadcast_bytes)
-
-
 def _counts(step: str, table: DataFrame) -> DataFrame:
     if "session_id" not in table.columns:
         return table.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("rows")).withColumn(

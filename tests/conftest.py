@@ -21,7 +21,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("clickmart-tests")
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.session.timeZone", os.environ.get("TEST_TIME_ZONE", "UTC"))
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.checkpoint.dir", scratch)
