@@ -28,18 +28,14 @@ HEADLINE = (
     "mart_cohort",
     "mart_item_stats",
     "dq_checks",
-    "clean_dedup",
-    "cohort_activity_join",
     "build_events",
     "assign_users",
     "enrich_profile",
     "encode_messages",
     "user_profile_stats",
     "limit_events",
-    "contract_session",
     "scan_raw_jsonl",
     "stg_roundtrip",
-    "scan_stg_pruned",
     "incremental_day",
     "stream_raw_landing",
     "stream_clean",

@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from clickmart.fixed_values import AGE_GROUPS, EVENT_LIMIT, GENDERS
 from clickmart.operators import ingest, profile, quality
 from clickmart.plans import daily
+from clickmart.schemas import EVENT_ORDER
 from clickmart.sources import files, jdbc, kafka
 from clickmart.streaming import events as streams
 
-EVENT_ORDER = ("session_id", "ts", "aid", "event_type")
-
 
 def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.landed:

@@ -18,6 +18,7 @@ from clickmart.fixed_values import (
 from clickmart.functions.hashing import hash_number, weighted_choice
 from clickmart.functions.times import hour_path
 from clickmart.operators.joins import BROADCAST_BYTES, join_dimension, measure
+from clickmart.operators.limits import first_rows
 
 INDEX_BUCKETS = 1024
 
@@ -143,13 +144,11 @@ def to_messages(events: DataFrame, topics: Mapping[str, str] | None = None) -> D
     )
 
 
-def limit_events(
-    frame: DataFrame, order: Sequence[str], n: int = EVENT_LIMIT
-) -> DataFrame:
+def limit_events(frame: DataFrame, order: Sequence[str], n: int = EVENT_LIMIT) -> DataFrame:
     """The first ``n`` rows in ``order``; 0 keeps all."""
     if n == 0:
         return frame
-    return frame.orderBy(*order).limit(n)
+    return first_rows(frame, order, n)
 
 
 def raw_path(event_type: Column, time: Column) -> Column:

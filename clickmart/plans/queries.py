@@ -25,7 +25,6 @@ REPLACED_DAY = "2024-01-15"
 PRUNED_DAYS = ("2024-01-10", "2024-01-11", "2024-01-12")
 PRUNED_TYPES = ("cart", "order")
 RANGE_MS = (1_704_412_800_000, 1_706_140_800_000)
-EVENT_ORDER = ("session_id", "ts", "aid", "event_type")
 JDBC_URL_SETTING = "spark.clickmart.jdbc.url"
 JDBC_DRIVER_SETTING = "spark.clickmart.jdbc.driver"
 
@@ -130,7 +129,7 @@ def type_stats(spark, sf_dir):
 
 @query
 def sample_stg(spark, sf_dir):
-    return profile.sample(fixtures.stg(spark, sf_dir), EVENT_ORDER, 5)
+    return profile.sample(fixtures.stg(spark, sf_dir), schemas.EVENT_ORDER, 5)
 
 
 @query
@@ -203,7 +202,7 @@ def encode_messages(spark, sf_dir):
 @query
 def limit_events(spark, sf_dir):
     events = ingest.normalize_types(ingest.explode_events(fixtures.sessions(spark, sf_dir)))
-    return ingest.limit_events(events, EVENT_ORDER, 5000)
+    return ingest.limit_events(events, schemas.EVENT_ORDER, 5000)
 
 
 @query
