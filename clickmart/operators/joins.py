@@ -46,19 +46,18 @@ def join_dimension(
     The dimension is measured (unless ``size`` says how many bytes it has). Small enough, it is
     broadcast and the facts are not shuffled. Beyond that both sides are shuffled on the key and a
     salt: the facts of a hot key are spread over ``salts`` tasks and its dimension row is repeated
-    for each of them; all other keys have one salt. The salt is a hash of the fact itself, hence
-    the same when a lost task is run again.
+    for each of them; facts without a key are spread too, and all other keys have one salt. The
+    salt is a hash of the fact itself, hence the same when a lost task is run again.
     """
     if size is None:
         size = measure(dimension)[1]
     if size <= broadcast_bytes:
         return facts.join(F.broadcast(dimension), on, how)
     hot = hot_keys(facts, on, hot_rows)
-    if not hot:
-        return facts.join(dimension, on, how)
-    is_hot = F.col(on).isin(hot)
+    is_hot = F.col(on).isin(hot) if hot else F.lit(False)
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     last_copy = F.when(is_hot, salts - 1).otherwise(0)
-    salted = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
+    salt = F.when(is_hot | F.col(on).isNull(), spread).otherwise(0)
+    salted = facts.withColumn("_salt", salt)
     copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), last_copy)))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+# Column names, types and order of all inputs and tables.
+
 SESSION_LOG = "session BIGINT, events ARRAY<STRUCT<aid: BIGINT, ts: BIGINT, type: STRING>>"
 
 USERS = (

@@ -48,7 +48,8 @@ def clean(events: DataFrame, delay: str) -> DataFrame:
     raw zone for the batch job.
     """
     valid = keep_valid_types(drop_null_core(events))
-    # A time ahead of the clock must not carry the watermark along; such an event has no instant.
+    # A time ahead of the clock must not carry the watermark along; such an event has no instant,
+    # and its key stays in the state.
     sound = F.col("ts").between(F.lit(FIRST_MS), F.unix_millis(F.current_timestamp()))
     timed = valid.withColumn("instant", F.when(sound, F.timestamp_millis("ts")))
     timed = timed.withColumn("batch_time", F.current_timestamp()).withWatermark("instant", delay)

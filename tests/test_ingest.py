@@ -100,8 +100,9 @@ def test_hot_keys_are_the_most_frequent(spark):
     assert joins.hot_keys(facts, "k", at_least=2, most=1) == ["a"]
 
 
-def test_facts_of_a_hot_key_are_spread(spark):
-    facts = spark.range(8000).select(F.lit("u1").alias("user_id"), "id")
+@pytest.mark.parametrize("key", ["u1", None])
+def test_facts_of_a_hot_key_are_spread(spark, key):
+    facts = spark.range(8000).select(F.lit(key).cast("string").alias("user_id"), "id")
     users = pool(spark, 10).select("user_id", "region")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -114,6 +115,7 @@ def test_facts_of_a_hot_key_are_spread(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 2000
+    assert sum(r["count"] for r in sizes) == 8000
 
 
 def test_measure_counts_rows_and_bytes(spark):
