@@ -5,10 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash_dedup
+from . import exact_dedup, packing, simhash_dedup
 from .common import read
 
 
+def tokenizer_path(spark: SparkSession, name: str) -> str:
+    """Place of a public vocabulary file; ``spark.clickmart.tokenizers`` names the folder, else the installed one."""
+    folder = spark.conf.get("spark.clickmart.tokenizers", None)
+    if folder:
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 ids."""
+    path = tokenizer_path(spark, "word_bpe_49k.json")
+    packed = packing.pack(read(spark, sf_dir, "documents"), path, size=4096, end=1)
+    return packed.select(
+        F.col("_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash_dedup.groups(read(spark, sf_dir, "documents"))
@@ -25,7 +44,7 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_simhash_dedup, op6_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_simhash_dedup, op6_exact_dedup)}
 
 ORACLES = {
     "op6_exact_dedup": r"""
