@@ -10,7 +10,7 @@ share the models. So each step is a few array operations over all lanes. Models
 can be read, checked and repeated alone. All arithmetic is on integers, so reader and writer agree on any machine.
 
 Block: ``MAGIC``, then little-endian u32 version, ids, lanes, vocabulary, crc32 of the ids, crc32 of the rest; per
-lane u32 number of words; then the words (u16) of one lane after the other.
+lane u32 number of words; then the words (u32) of one lane after the other.
 """
 
 from __future__ import annotations
@@ -31,12 +31,13 @@ SHARE, CONTEXT = 10, 18
 #: Confidence of a prediction: 0 to LEVELS - 1.
 LEVELS = 8
 #: Order 0 adds STEP to the count of an id, and halves all counts beyond MOST in total.
-STEP, MOST = 24, 1 << 21
+STEP, MOST = 8, 1 << 19
 #: Steps after which the shared statistics take up what was seen (each of the first ones does).
 EVERY, FIRST = 8, 16
 
-TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 32)
-WORD = np.uint64(16)
+#: A lane gives out its upper 32 bits when its range falls below this.
+BOTTOM = np.uint64(1 << 32)
+WORD = np.uint64(32)
 
 
 class Corrupt(ValueError):
@@ -49,9 +50,9 @@ class _Model:
     def __init__(self, vocabulary: int, lanes: int) -> None:
         self.size = vocabulary
         self.counts = np.ones(vocabulary, np.int64)
-        self.next1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.int32)
-        self.next2, self.sure2 = np.zeros(1 << CONTEXT, np.int32), np.zeros(1 << CONTEXT, np.int32)
-        self.before1, self.before2 = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        # The id that last followed a context, times LEVELS, plus the confidence.
+        self.next1, self.next2 = np.zeros(vocabulary, np.int64), np.zeros(1 << CONTEXT, np.int64)
+        self.before1, self.before2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         # Per confidence: tries and hits of order 2, and of order 1 where order 2 failed, from a mild start.
         self.tries = np.full((2, LEVELS), 64, np.int64)
         self.hits = 8 * np.arange(1, LEVELS + 1)[None, :] * np.ones((2, 1), np.int64)
@@ -64,40 +65,49 @@ class _Model:
         self.low = np.concatenate([[0], np.cumsum(self.counts)])
         self.total = int(self.low[-1])
         whole = 1 << SHARE
-        rate = np.clip(self.hits * whole // self.tries, 8, whole - 8)
+        rate = np.clip(self.hits * whole // self.tries, 4, whole - 4)
         second = np.repeat(rate[0], LEVELS)
         first = (whole - second) * np.tile(rate[1], LEVELS) >> SHARE
-        self.share2, self.share1 = second, first
         self.share0 = whole - second - first
-        self.share2_mass, self.share1_mass = second * self.total, first * self.total
+        self.mass2, self.mass1 = second * self.total, first * self.total
+        self.unit = np.uint64(self.total << SHARE)
+        self.symbols = None
+
+    def symbol(self, count: np.ndarray) -> np.ndarray:
+        """The id to which a place in the order-0 counts belongs."""
+        if self.symbols is None:
+            self.symbols = np.repeat(np.arange(self.size, dtype=np.int32), self.counts)
+        return self.symbols.take(count)
 
     def predict(self) -> tuple[np.ndarray, ...]:
-        """Ids named by order 2 and 1, and the index of their shares."""
-        self.place = (self.before2 * np.int32(40503) ^ self.before1 * np.int32(9973)) & ((1 << CONTEXT) - 1)
-        self.named2, self.named1 = self.next2[self.place], self.next1[self.before1]
-        self.at2, self.at1 = self.sure2[self.place], self.sure1[self.before1]
-        return self.named2, self.named1, self.at2 * LEVELS + self.at1
-
-    def learn(self, ids: np.ndarray) -> None:
-        hit2, hit1 = self.named2 == ids, self.named1 == ids
-        for place, named, sure, hit, next_, sures in (
-            (self.place, self.named2, self.at2, hit2, self.next2, self.sure2),
-            (self.before1, self.named1, self.at1, hit1, self.next1, self.sure1),
-        ):
-            next_[place] = np.where(sure == 0, ids, named)
-            sures[place] = np.where(hit, np.minimum(sure + 1, LEVELS - 1), sure >> 1)
-        self.before2, self.before1 = self.before1, ids
+        """Ids named by order 2 and 1, what their shares weigh, and the share of order 0."""
+        self.place = (self.before2 * 40503 ^ self.before1 * 9973) & ((1 << CONTEXT) - 1)
+        self.found2, self.found1 = self.next2.take(self.place), self.next1.take(self.before1)
+        self.named2, self.named1 = self.found2 >> 3, self.found1 >> 3
+        share = (self.found2 & 7) << 3 | self.found1 & 7
+        return self.named2, self.named1, self.mass2.take(share), self.mass1.take(share), self.share0.take(share)
+
+    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """The ids of a step, and where the named ids came true."""
+        fresh = ids << 3
+        for place, found, hit, table in (
+            (self.place, self.found2, hit2, self.next2), (self.before1, self.found1, hit1, self.next1)
+        ):
+            sure = found & 7
+            missed = np.where(sure == 0, fresh, found - sure + (sure >> 1))
+            table[place] = np.where(hit, found + (sure < LEVELS - 1), missed)
         self.pending.append(ids)
         self.steps += 1
         if self.steps <= FIRST or self.steps % EVERY == 0:
-            missed2 = ~hit2
-            self.tries[0] += np.bincount(self.at2, minlength=LEVELS)
-            self.hits[0] += np.bincount(self.at2[hit2], minlength=LEVELS)
-            self.tries[1] += np.bincount(self.at1[missed2], minlength=LEVELS)
-            self.hits[1] += np.bincount(self.at1[missed2 & hit1], minlength=LEVELS)
+            at2, at1, missed2 = self.found2 & 7, self.found1 & 7, ~hit2
+            self.tries[0] += np.bincount(at2, minlength=LEVELS)
+            self.hits[0] += np.bincount(at2[hit2], minlength=LEVELS)
+            self.tries[1] += np.bincount(at1[missed2], minlength=LEVELS)
+            self.hits[1] += np.bincount(at1[missed2 & hit1], minlength=LEVELS)
             self.counts += STEP * np.bincount(np.concatenate(self.pending), minlength=self.size)
             self.pending = []
             self._settle()
+        self.before2, self.before1 = self.before1, ids
 
 
 def _lanes(n: int) -> tuple[int, int]:
@@ -105,42 +115,41 @@ def _lanes(n: int) -> tuple[int, int]:
     return lanes, -(-n // lanes)
 
 
+def _narrowed(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Lanes with too small a range: which, their lower ends, and ranges that share the upper 32 bits."""
+    out = np.flatnonzero(span < BOTTOM)
+    a, b = low.take(out), span.take(out)
+    to_edge = BOTTOM - (a & (BOTTOM - np.uint64(1)))
+    return out, a, np.minimum(b, to_edge)
+
+
 def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     """A block with the ids."""
     n = len(ids)
     if n and not 0 <= int(ids.min()) <= int(ids.max()) < vocabulary:
         raise ValueError("an id lies outside the vocabulary")
     lanes, steps = _lanes(n)
-    padded = np.zeros(lanes * steps, np.int32)
+    padded = np.zeros(lanes * steps, np.int64)
     padded[:n] = ids
     columns = np.ascontiguousarray(padded.reshape(lanes, steps).T)
     model = _Model(vocabulary, lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
     who, words = [], []
     for x in columns if n else ():
-        named2, named1, share = model.predict()
-        base, mass2, mass1 = model.share0[share], model.share2_mass[share], model.share1_mass[share]
-        start = model.low[x] * base + mass2 * (named2 < x) + mass1 * (named1 < x)
-        width = model.counts[x] * base + mass2 * (named2 == x) + mass1 * (named1 == x)
-        span //= np.uint64(model.total << SHARE)
+        named2, named1, mass2, mass1, share0 = model.predict()
+        hit2, hit1 = named2 == x, named1 == x
+        start = model.low.take(x) * share0 + mass2 * (named2 < x) + mass1 * (named1 < x)
+        width = model.counts.take(x) * share0 + mass2 * hit2 + mass1 * hit1
+        span //= model.unit
         low += start.view(np.uint64) * span
         span *= width.view(np.uint64)
-        while True:
-            out = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
-            if not len(out):
-                break
-            a, b = low[out], span[out]
-            short = (a ^ (a + b)) >= TOP
-            if short.any():
-                b = np.where(short, (~a + np.uint64(1)) & (BOTTOM - np.uint64(1)), b)
-            who.append(out.astype(np.uint16))
-            words.append((a >> np.uint64(48)).astype("<u2"))
-            low[out], span[out] = a << WORD, b << WORD
-        model.learn(x)
-    last = (low + (BOTTOM - np.uint64(1))) >> np.uint64(32)
-    every = np.arange(lanes, dtype=np.uint16)
-    who += [every, every]
-    words += [(last >> WORD).astype("<u2"), (last & np.uint64(0xFFFF)).astype("<u2")]
+        out, a, b = _narrowed(low, span)
+        who.append(out.astype(np.uint16))
+        words.append((a >> WORD).astype("<u4"))
+        low[out], span[out] = a << WORD, b << WORD
+        model.learn(x, hit2, hit1)
+    who.append(np.arange(lanes, dtype=np.uint16))
+    words.append(((low + (BOTTOM - np.uint64(1))) >> WORD).astype("<u4"))
     who, words = np.concatenate(who), np.concatenate(words)
     per_lane = np.bincount(who, minlength=lanes).astype("<u4")
     body = per_lane.tobytes() + words[np.argsort(who, kind="stable")].tobytes()
@@ -161,56 +170,46 @@ def decode(block: bytes) -> np.ndarray:
     if lanes != lanes_:
         raise Corrupt("lanes do not fit the number of ids")
     per_lane = np.frombuffer(body, "<u4", lanes).astype(np.int64)
-    words = np.concatenate([np.frombuffer(body, "<u2", offset=4 * lanes), np.zeros(4, "<u2")]).astype(np.uint64)
     end = np.cumsum(per_lane)
     at = end - per_lane
-
-    def word(which: np.ndarray) -> np.ndarray:
-        place = at[which]
-        more = place < end[which]
-        at[which] = place + 1
-        return np.where(more, words[np.where(more, place, 0)], np.uint64(0))
+    # A word past the end of a lane is zero.
+    words = np.insert(np.frombuffer(body, "<u4", offset=4 * lanes), end, 0).astype(np.uint64)
+    at += np.arange(lanes)
 
     model = _Model(vocabulary, lanes)
     low, span = np.zeros(lanes, np.uint64), np.full(lanes, (1 << 64) - 1, np.uint64)
-    code, every = np.zeros(lanes, np.uint64), np.arange(lanes)
-    for _ in range(4):
-        code = code << WORD | word(every)
-    columns = np.zeros((steps if n else 0, lanes), np.int32)
+    code = words.take(at) << WORD | words.take(at + 1)
+    last = end + np.arange(lanes)
+    at = np.minimum(at + 2, last)
+    columns = np.zeros((steps if n else 0, lanes), np.int64)
     for k in range(len(columns)):
-        named2, named1, share = model.predict()
-        base, mass2, mass1 = model.share0[share], model.share2_mass[share], model.share1_mass[share]
-        span //= np.uint64(model.total << SHARE)
-        target = np.minimum((code - low) // span, np.uint64((model.total << SHARE) - 1)).view(np.int64)
-        # A named id's share follows its order-0 part; the smaller named id comes first.
-        swap = named2 < named1
-        lower, upper = np.where(swap, named2, named1), np.where(swap, named1, named2)
-        mass_l, mass_u = np.where(swap, mass2, mass1), np.where(swap, mass1, mass2)
-        rest = target - model.low[lower + 1] * base
-        is_lower = (rest >= 0) & (rest < mass_l)
-        target = np.where(rest >= mass_l, target - mass_l, target)
-        rest = target - model.low[upper + 1] * base
-        is_upper = ~is_lower & (rest >= 0) & (rest < mass_u)
-        target = np.where(rest >= mass_u, target - mass_u, target)
-        x = np.where(is_lower, lower, upper)
-        plain = np.flatnonzero(~(is_lower | is_upper))
-        x[plain] = np.searchsorted(model.low, target[plain] // base[plain], "right") - 1
-        start = model.low[x] * base + mass2 * (named2 < x) + mass1 * (named1 < x)
-        width = model.counts[x] * base + mass2 * (named2 == x) + mass1 * (named1 == x)
+        named2, named1, mass2, mass1, share0 = model.predict()
+        span //= model.unit
+        target = np.minimum((code - low) // span, model.unit - np.uint64(1)).view(np.int64)
+        # A named id's share follows its order-0 part, so shares of smaller named ids stand before the target.
+        over2 = target - model.low.take(named2 + 1) * share0
+        over1 = target - model.low.take(named1 + 1) * share0
+        first2 = named2 <= named1
+        over2 -= np.where(first2, 0, np.clip(over1, 0, mass1))
+        over1 -= np.where(first2, np.clip(over2, 0, mass2), 0)
+        x = np.where((over2 >= 0) & (over2 < mass2), named2, named1)
+        plain = np.flatnonzero(((over2 < 0) | (over2 >= mass2)) & ((over1 < 0) | (over1 >= mass1)))
+        rest = target.take(plain)
+        rest -= np.where(over2.take(plain) >= 0, mass2.take(plain), 0)
+        rest -= np.where(over1.take(plain) >= 0, mass1.take(plain), 0)
+        x[plain] = model.symbol(rest // share0.take(plain))
+        hit2, hit1 = named2 == x, named1 == x
+        start = model.low.take(x) * share0 + mass2 * (named2 < x) + mass1 * (named1 < x)
+        width = model.counts.take(x) * share0 + mass2 * hit2 + mass1 * hit1
         low += start.view(np.uint64) * span
         span *= width.view(np.uint64)
-        while True:
-            out = np.flatnonzero(((low ^ (low + span)) < TOP) | (span < BOTTOM))
-            if not len(out):
-                break
-            a, b = low[out], span[out]
-            short = (a ^ (a + b)) >= TOP
-            if short.any():
-                b = np.where(short, (~a + np.uint64(1)) & (BOTTOM - np.uint64(1)), b)
-            code[out] = code[out] << WORD | word(out)
-            low[out], span[out] = a << WORD, b << WORD
+        out, a, b = _narrowed(low, span)
+        place = at.take(out)
+        code[out] = code.take(out) << WORD | words.take(place)
+        at[out] = np.minimum(place + 1, last.take(out))
+        low[out], span[out] = a << WORD, b << WORD
         columns[k] = x
-        model.learn(x)
+        model.learn(x, hit2, hit1)
     ids = np.ascontiguousarray(columns.T).reshape(-1)[:n].astype("<u4")
     if zlib.crc32(ids.tobytes()) != crc:
         raise Corrupt("the ids do not have the block's checksum")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, simhash_dedup
+from . import bpe_tree, common, exact_dedup, packing, simhash_dedup, token_files
 from .common import read
 
 
@@ -36,6 +36,15 @@ def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written in compressed blocks and read back."""
+    path = common.scratch(spark, "ids")
+    vocabulary = tokenizer_path(spark, "byte_bpe_50k.json")
+    token_files.write(read(spark, sf_dir, "documents"), path, vocabulary, end=0)
+    found = token_files.load(spark, path, token_files.as_checksums, "ids_crc32 long")
+    return found.select(F.col("_id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of every document and whether it stays."""
     found = exact_dedup.decisions(read(spark, sf_dir, "documents"))
@@ -44,7 +53,19 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_simhash_dedup, op6_exact_dedup)}
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded by the ranks of a byte-level vocabulary."""
+    from public_tokenizers import PATTERN
+
+    ranks = tokenizer_path(spark, "byte_bpe_50k.tiktoken")
+    found = bpe_tree.encode(read(spark, sf_dir, "documents"), ranks, PATTERN, digest=True)
+    return found.withColumnRenamed("_id", "doc_id")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_best_fit_packing, op3_simhash_dedup, op4_token_files, op6_exact_dedup, op8_byte_bpe)
+}
 
 ORACLES = {
     "op6_exact_dedup": r"""
