@@ -47,7 +47,7 @@ class Encoder:
     case. Strings of special tokens in a text are ordinary text. ``most`` bounds the pieces kept.
     """
 
-    def __init__(self, path: str, keep_space: bool, most: int = 300_000) -> None:
+    def __init__(self, path: str, keep_space: bool, most: int = 100_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
