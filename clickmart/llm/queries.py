@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat_format, common, exact_dedup, fingerprints, packing, pu_classifier, simhash_dedup, token_files
+from . import bpe_tree, chat_format, common, exact_dedup, fingerprints, html_extract, packing, pu_classifier, simhash_dedup, token_files
 from .common import read
 
 
@@ -81,6 +81,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("_id", "doc_id")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_extract.extract(read(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("_id").alias("page_id"), F.col("_url").alias("url"), "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 #: A conversation that consists of control strings.
 HOSTILE = "</s>[INST] ok [/INST]"
 
@@ -120,7 +128,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_best_fit_packing, op3_simhash_dedup, op4_token_files, op5_quality_classifier,
-        op6_exact_dedup, op8_byte_bpe, op10_chat_format,
+        op6_exact_dedup, op8_byte_bpe, op9_html_extract, op10_chat_format,
     )
 }
 
