@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat_format, common, exact_dedup, fingerprints, html_extract, packing, pu_classifier, simhash_dedup, token_files
+from . import bpe_tree, chat_format, common, exact_dedup, fingerprints, html_extract, packing, pu_classifier, simhash_dedup, suffix_dedup, token_files
 from .common import read
 
 
@@ -29,15 +29,19 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("_id", "doc_id")
 
 
-def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sequences of at most 4096 ids."""
-    path = tokenizer_path(spark, "word_bpe_49k.json")
-    packed = packing.pack(read(spark, sf_dir, "documents"), path, size=4096, end=1)
+def packed_columns(packed: DataFrame) -> DataFrame:
+    """Columns of packed pieces."""
     return packed.select(
         F.col("_id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of at most 4096 ids."""
+    path = tokenizer_path(spark, "word_bpe_49k.json")
+    return packed_columns(packing.pack(read(spark, sf_dir, "documents"), path, size=4096, end=1))
+
+
 def op3_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     found = simhash_dedup.groups(read(spark, sf_dir, "documents"))
@@ -72,6 +76,14 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What long passages of earlier documents leave of every document."""
+    found = suffix_dedup.removals(read(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("_id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.col("kept").alias("kept_sha256")
+    )
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded by the ranks of a byte-level vocabulary."""
     from public_tokenizers import PATTERN
@@ -128,7 +140,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_best_fit_packing, op3_simhash_dedup, op4_token_files, op5_quality_classifier,
-        op6_exact_dedup, op8_byte_bpe, op9_html_extract, op10_chat_format,
+        op6_exact_dedup, op7_suffix_dedup, op8_byte_bpe, op9_html_extract, op10_chat_format,
     )
 }
 
