@@ -56,24 +56,31 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def rooted(df: DataFrame) -> DataFrame:
+    """The same rows, each with a place in a file: rows that are not just read from files are written first."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        node = node.children().head()
+    if "Relation" in node.nodeName() and node.children().isEmpty():
+        try:
+            df.metadataColumn("_metadata")
+            df.select(df.metadataColumn("_metadata")["row_index"]).schema  # noqa: B018  resolves it
+            return df
+        except AnalysisException:
+            pass
+    return stored(df, "rows")
+
+
 def keyed(df: DataFrame, **columns: object) -> DataFrame:
     """The given columns with a row key (``_file``, ``_row``) that stays the same in every read and retry.
 
-    It comes from the place of the row in its file, so repeated rows and missing ids are told apart. Rows
-    that do not come from Parquet files are written first.
+    It comes from the place of the row in its file, so repeated rows and missing ids are told apart.
+    Functions that take keys of one frame twice call ``rooted`` before.
     """
+    df = rooted(df)
     chosen = [(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in columns.items()]
-    try:
-        place = df.metadataColumn("_metadata")
-        out = df.select(
-            F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_row"), *chosen
-        )
-        out.schema  # noqa: B018  resolves the hidden column
-        return out
-    except AnalysisException:
-        if getattr(df, "_scratch_path", None):
-            raise
-        return keyed(stored(df, "rows"), **columns)
+    place = df.metadataColumn("_metadata")
+    return df.select(F.xxhash64(place["file_path"]).alias("_file"), place["row_index"].alias("_row"), *chosen)
 
 
 def whole_rows(df: DataFrame, text: str = "text") -> DataFrame:

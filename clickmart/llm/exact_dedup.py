@@ -201,5 +201,6 @@ def decisions(
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns."""
+    docs = common.rooted(docs)
     kept = decisions(docs, id, text).filter("kept").select("_file", "_row")
     return common.whole_rows(docs, text).join(kept, ["_file", "_row"], "left_semi").select("doc.*")

@@ -48,6 +48,7 @@ ENDS_SAME = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"),
     "th": ("td", "th"), "option": ("option",), "tbody": ("td", "th", "tr", "thead", "tbody"),
 }
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th figcaption caption address".split())
 SCOPE = frozenset("ul ol dl table tbody thead tr select".split())
 
 # Elements beside the article, by name, role, and words of class and id. Those of OUTER are beside it only outside.
@@ -187,6 +188,10 @@ class Page:
                 return
 
 
+def _name(path: str) -> str:
+    return path.rpartition("/")[2].partition(".")[0]
+
+
 def inside(path: str, element: str) -> bool:
     return path == element or path.startswith(element + "/")
 
@@ -274,10 +279,9 @@ def deduce(tokens: pd.DataFrame) -> dict:
     ]
     total = rows[""].free
     # Once on nearly every page (truncated pages may lack it), with most of the free text inside.
-    holders = [
-        t for t, r in rows.items() if t and r.single == r.pages and 2 * r.pages >= pages and 2 * r.free > total
-    ]
-    named = [t for t in holders if t.rpartition("/")[2].partition(".")[0] in MAIN]
+    once = [t for t, r in rows.items() if t and r.single == r.pages and 2 * r.pages >= pages]
+    named = [t for t in once if _name(t) in MAIN and 2 * rows[t].free > total]
+    holders = [t for t in once if _name(t) not in TEXTUAL and 4 * rows[t].free > 3 * total]
     main = max(named or holders, key=lambda t: (t.count("/"), t), default=None)
     return {"pages": pages, "classes": template, "main": main}
 

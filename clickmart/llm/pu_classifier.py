@@ -11,7 +11,7 @@ used.
 
 Features are read from the whole text: shares of character kinds and of single signs, word and line statistics.
 Doc id, language and source are no inputs. The model is fitted on bounded samples (parameters ``positives`` and
-``unlabelled``: rows with the smallest hashes of their row key), every document is scored.
+``unlabelled``: rows with the smallest hashes of id and features), every document is scored.
 
 Defined results: a missing text is empty, and an empty text scores 0. A document with several labels
 is positive if all are. Repeated rows get equal scores. Without positives every other
@@ -153,11 +153,10 @@ def _train(
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0) -> float:
     """Share of positives among the unlabelled, from scores of rows that the first model did not see."""
-    half_p, half_u = len(pos) // 2, len(unl) // 2
-    if not half_p or not half_u:
+    if len(pos) < 2 or len(unl) < 2:
         return 0.5
-    w1, b1, w2, b2 = _train(pos[:half_p], unl[:half_u], 0.5, seed)
-    sp, su = (np.maximum(x @ w1 + b1, 0) @ w2 + b2 for x in (pos[half_p:], unl[half_u:]))
+    w1, b1, w2, b2 = _train(pos[::2], unl[::2], 0.5, seed)
+    sp, su = (np.maximum(x @ w1 + b1, 0) @ w2 + b2 for x in (pos[1::2], unl[1::2]))
     best = 1.0
     slack = np.sqrt(np.log(20) / 2) * (len(sp) ** -0.5 + len(su) ** -0.5)
     for cut in np.quantile(sp, np.linspace(0.01, 0.6, 200)):
@@ -189,8 +188,8 @@ def held_out(id: Column) -> Column:
 
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
-    """The features of the ``n`` rows with the smallest hashes of their keys."""
-    order = F.xxhash64(F.lit(17), "_file", "_row")
+    """The features of the ``n`` rows with the smallest hashes of id and features."""
+    order = F.xxhash64(F.lit(17), "_id", "x")
     found = rows.select(order.alias("o"), "x").orderBy("o").limit(n).select("x").toArrow()
     flat = found["x"].combine_chunks() if found.num_rows else None
     return flat.flatten().to_numpy().reshape(-1, WIDTH).astype(np.float64) if found.num_rows else np.zeros((0, WIDTH))
@@ -232,5 +231,6 @@ def scores(
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents with at least that score, with all their columns."""
+    docs = common.rooted(docs)
     kept = scores(docs, labels).filter(F.col("score") >= threshold).select("_file", "_row")
     return common.whole_rows(docs).join(kept, ["_file", "_row"], "left_semi").select("doc.*")

@@ -17,6 +17,17 @@ import numpy as np
 SEPARATOR, OFFSET = 1, 2
 
 
+def _ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the keys, and the rank of each among the distinct ones."""
+    order = np.argsort(key)
+    ordered = key[order]
+    new = np.zeros(len(key), np.int64)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:], casting="unsafe")
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(new)
+    return order, rank
+
+
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, dict[int, np.ndarray]]:
     """Order of all suffixes of symbols below 512, by prefix doubling; ranks by the first ``depth`` symbols, too."""
     n = len(text)
@@ -24,20 +35,17 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, dict[int, np
     key = np.zeros(n, np.int64)
     for j in range(7):
         key = key << 9 | padded[j : j + n]
-    rank = np.unique(key, return_inverse=True)[1].astype(np.int64)
+    order, rank = _ranked(key)
     size, ranks = 7, {}
     while True:
         if size <= depth:
             ranks = {size: rank}
-        if rank.max() == n - 1 or size >= n:
-            break
+        if rank[order[-1]] == n - 1 or size >= n:
+            return order, ranks
         after = np.zeros(n, np.int64)
         after[: n - size] = rank[size:] + 1
-        rank = np.unique(rank * (n + 1) + after, return_inverse=True)[1].astype(np.int64)
+        order, rank = _ranked(rank * (n + 1) + after)
         size *= 2
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
-    return order, ranks
 
 
 class RunIndex:
@@ -56,7 +64,9 @@ class RunIndex:
         before = text[order - 1]
         self.starts = np.flatnonzero(np.r_[True, before[1:] != before[:-1]])
         self.heads = before[self.starts]
-        ends = np.r_[self.starts[1:], n] - 1
+        self.ends = ends = np.append(self.starts[1:], n) - 1
+        # The run of a row, looked up instead of searched.
+        self.run_of = np.repeat(np.arange(len(self.starts), dtype=np.int32), ends - self.starts + 1)
         self.first, self.last = order[self.starts], order[ends]
         # Runs by character: where the rows of a run go, and the neighbours of a run among those of a character.
         self.by_head = np.argsort(self.heads, kind="stable")
@@ -110,7 +120,7 @@ class RunIndex:
             live = int(np.searchsorted(-left, -step, "left"))
             at = begins[order[:live]] + left[:live] - 1 - step
             c, p, q, n = flat[at], row[:live], place[:live], size[:live]
-            run = np.searchsorted(self.starts, p, "right") - 1
+            run = self.run_of.take(p).astype(np.int64)
             jump = np.flatnonzero(self.heads[run] != c)
             if len(jump):
                 cj, qj = c[jump], q[jump]
@@ -126,8 +136,7 @@ class RunIndex:
                 lower = with_below >= with_above
                 found = np.where(lower, below, above)
                 run[jump] = found
-                ends = np.r_[self.starts[1:], self.n] - 1
-                p[jump] = np.where(lower, self.starts[found], ends[found])
+                p[jump] = np.where(lower, self.starts[found], self.ends[found])
                 q[jump] = np.where(lower, self.first[found], self.last[found])
                 shared = np.maximum(with_below, with_above)
                 # A character that no string has ends the match.

@@ -221,5 +221,6 @@ def groups(
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group, with all its columns."""
+    docs = common.rooted(docs)
     kept = groups(docs, id, text).filter("first").select("_file", "_row")
     return common.whole_rows(docs, text).join(kept, ["_file", "_row"], "left_semi").select("doc.*")

@@ -46,7 +46,7 @@ SHARD = 8 << 20
 #: Buckets for each shuffle partition.
 BUCKETS = 4
 #: Windows hashed at a time.
-STRETCH = 1 << 20
+STRETCH = 1 << 16
 
 NO_ID = np.iinfo(np.int64).max
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -76,8 +76,11 @@ def gram_hashes(data: np.ndarray, size: int, factor: int = _FACTORS[0]) -> np.nd
     return found ^ (found >> np.uint64(32))
 
 
-def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Stretches of windows with one anchor: first window, number of windows (at most a gram's reach), anchor."""
+def pieces(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches of windows with one anchor: first window, number of windows (at most a gram's reach), anchor.
+
+    ``ends`` are the ends of the documents in ``data``; no window crosses one.
+    """
     width = LENGTH - GRAM + 1
     out = []
     for begin in range(0, len(data) - LENGTH + 1, STRETCH):
@@ -87,16 +90,25 @@ def pieces(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             least, length = np.minimum(least[:-length], least[length:]), 2 * length
         if length < width:
             least = np.minimum(least[: length - width], least[width - length :])
-        first = np.flatnonzero(np.r_[True, least[1:] != least[:-1]])
-        windows = np.diff(np.r_[first, len(least)])
+        inside = np.ones(len(least), bool)
+        near = ends[np.searchsorted(ends, begin) : np.searchsorted(ends, begin + len(least) + LENGTH)] - begin
+        over = (near[:, None] - np.arange(1, LENGTH)).ravel()
+        inside[over[(over >= 0) & (over < len(least))]] = False
+        # Between windows of two documents there is always one that crosses their edge.
+        change = np.empty(len(least), bool)
+        change[0] = True
+        np.not_equal(least[1:], least[:-1], out=change[1:])
+        change[1:] |= inside[1:] != inside[:-1]
+        first = np.flatnonzero(change)
+        windows = np.diff(first, append=len(least))
+        whole = inside[first]
+        first, windows = first[whole], windows[whole]
         parts = -(-windows // width)
+        anchor = least[first]
         if (parts > 1).any():
             number = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-            anchor = np.repeat(least[first], parts)
-            first = np.repeat(first, parts) + number * width
+            anchor, first = np.repeat(anchor, parts), np.repeat(first, parts) + number * width
             windows = np.minimum(np.repeat(windows, parts) - number * width, width)
-        else:
-            anchor = least[first]
         out.append((first + begin, windows, anchor >> np.uint64(8)))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -152,10 +164,10 @@ class _Shard:
         self.data = zstandard.ZstdDecompressor().decompress(packed, max_output_size=max(1, total)) if total else b""
         self.array = np.frombuffer(self.data, np.uint8)
 
-    def pieces(self) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-        """Number of the document and its pieces, for every document with a window."""
-        for k in np.flatnonzero(self.ends - self.begins >= LENGTH):
-            yield int(k), *pieces(self.array[self.begins[k] : self.ends[k]])
+    def pieces(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces, and the number of the document of each."""
+        first, windows, anchor = pieces(self.array, self.ends)
+        return first, windows, anchor, np.searchsorted(self.ends, first, "right")
 
 
 def _message(shards: list, buckets: list, kinds: list, data: list) -> pa.RecordBatch:
@@ -169,6 +181,18 @@ def _message(shards: list, buckets: list, kinds: list, data: list) -> pa.RecordB
 MESSAGE = "bucket int, s1 long, s2 long, kind int, data binary"
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Ascending numbers, their bytes by place, compressed."""
+    planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
+    return zstandard.ZstdCompressor(level=1).compress(struct.pack("<I", len(numbers)) + planes.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    body = zstandard.ZstdDecompressor().decompress(data)
+    n = struct.unpack_from("<I", body)[0]
+    return np.ascontiguousarray(np.frombuffer(body, np.uint8, 8 * n, 4).reshape(8, n).T).view(np.uint64).reshape(-1)
+
+
 def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Each bucket with the places of its entries, in their order."""
     if not len(bucket):
@@ -184,13 +208,19 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
     for batch in batches:
         for i in range(batch.num_rows):
             shard = _Shard(batch, i)
-            own = [np.unique(anchor) for _, _, _, anchor in shard.pieces()]
-            if own:
-                found, count = np.unique(np.concatenate(own), return_counts=True)
+            _, _, anchor, doc = shard.pieces()
+            if len(anchor):
+                # Once per document, then with the number of documents.
+                order = np.lexsort((doc, anchor))
+                anchor, doc = anchor[order], doc[order]
+                again = (anchor[1:] == anchor[:-1]) & (doc[1:] == doc[:-1])
+                anchor = anchor[np.append(True, ~again)]
+                first = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+                found, count = anchor[first], np.diff(first, append=len(anchor))
                 packed = found << np.uint64(8) | np.minimum(count, 255).astype(np.uint64)
                 parts = list(_by_bucket((found % np.uint64(buckets)).astype(np.int64)))
                 yield _message([(shard.s1, shard.s2)] * len(parts), [b for b, _ in parts], [0] * len(parts),
-                               [packed[at].tobytes() for _, at in parts])
+                               [_packed(packed[at]) for _, at in parts])
 
 
 def _per_bucket(
@@ -217,7 +247,7 @@ def _per_bucket(
 
 def _repeated(messages: list[tuple], hot: int) -> Iterator[tuple]:
     """For each shard its anchors that two documents or more have; the low byte is 1 if they are hot."""
-    sent = [np.frombuffer(m[4], np.uint64) for m in messages]
+    sent = [_unpacked(m[4]) for m in messages]
     every = np.concatenate(sent)
     found, at = np.unique(every >> np.uint64(8), return_inverse=True)
     count = np.bincount(at, weights=(every & np.uint64(255)).astype(np.float64))
@@ -228,59 +258,52 @@ def _repeated(messages: list[tuple], hot: int) -> Iterator[tuple]:
         mine = at[begin:end]
         mine = mine[count[mine] >= 2]
         if len(mine):
-            yield (*message[:4], answer[mine].tobytes())
+            yield (*message[:4], _packed(answer[mine]))
 
 
 class _Candidates:
     """A shard's pieces and windows to be judged, the same in every run.
 
-    ``texts``: distinct pieces with the smallest rank of each; ``seen``: document, first window, windows and
-    number of the piece. ``windows``: distinct windows of hot anchors (two hashes), their ``window_rank``, and for
-    every occurrence ``window_doc``, ``window_at`` and number ``window_of``.
+    ``texts``: distinct pieces, with ``ranks``, the smallest rank of each, and ``anchors``; ``doc``, ``first``,
+    ``windows`` and ``number`` of every piece. ``single``: distinct windows of hot anchors (two hashes), with
+    ``single_rank``; ``single_doc``, ``single_at`` and ``single_of`` of every such window. Places are those in the shard.
     """
 
     def __init__(self, shard: _Shard, answers: list[bytes]) -> None:
-        known = np.sort(np.frombuffer(b"".join(answers), np.uint64))
+        known = np.sort(np.concatenate([np.zeros(0, np.uint64), *map(_unpacked, answers)]))
         anchors, hot = known >> np.uint64(8), (known & np.uint64(1)).astype(bool)
-        self.texts: dict[bytes, int] = {}
-        self.ranks: list[int] = []
-        self.anchors: list[int] = []
-        self.seen: list[tuple[int, int, int, int]] = []
-        docs, places, hashes = [], [], ([], [])
-        for k, first, windows, anchor in shard.pieces() if len(known) else ():
-            at = np.minimum(np.searchsorted(anchors, anchor), len(anchors) - 1)
-            wanted = anchors[at] == anchor
-            plain = np.flatnonzero(wanted & ~hot[at])
-            rank, begin = int(shard.ranks[k]), int(shard.begins[k])
-            texts, ranks = self.texts, self.ranks
-            for a, n, x in zip(first[plain].tolist(), windows[plain].tolist(), anchor[plain].tolist(), strict=True):
-                text = shard.data[begin + a : begin + a + n + LENGTH - 1]
-                number = texts.setdefault(text, len(ranks))
-                if number == len(ranks):
-                    ranks.append(rank)
-                    self.anchors.append(x)
-                elif rank < ranks[number]:
-                    ranks[number] = rank
-                self.seen.append((k, a, n, number))
-            single = np.flatnonzero(wanted & hot[at])
-            if len(single):
-                n = windows[single]
-                place = np.repeat(first[single] - np.cumsum(n) + n, n) + np.arange(n.sum())
-                grams = shard.array[begin + place[:, None] + np.arange(LENGTH)]
-                docs.append(np.full(len(place), k))
-                places.append(place)
-                for out, factor in zip(hashes, _FACTORS, strict=True):
-                    powers = np.array([pow(factor, LENGTH - 1 - i, 1 << 64) for i in range(LENGTH)], np.uint64)
-                    whole = ((grams.astype(np.uint64) + np.uint64(1)) * powers).sum(1, dtype=np.uint64)
-                    whole ^= whole >> np.uint64(31)
-                    out.append(whole * np.uint64(0x94D049BB133111EB))
-        empty = np.zeros(0, np.int64)
-        self.window_doc = np.concatenate(docs) if docs else empty
-        self.window_at = np.concatenate(places) if docs else empty
-        pair = [np.concatenate(h) if docs else np.zeros(0, np.uint64) for h in hashes]
-        self.windows, self.window_of = _distinct(*pair)
-        self.window_rank = np.full(len(self.windows[0]), NO_ID)
-        np.minimum.at(self.window_rank, self.window_of, shard.ranks[self.window_doc])
+        first, windows, anchor, doc = shard.pieces() if len(known) else [np.zeros(0, np.int64)] * 4
+        at = np.minimum(np.searchsorted(anchors, anchor), max(0, len(anchors) - 1))
+        wanted = np.flatnonzero(anchors[at] == anchor) if len(known) else first
+        is_hot = hot[at[wanted]]
+        plain = wanted[~is_hot]
+        self.first, self.windows, self.doc = first[plain], windows[plain], doc[plain]
+        ends = self.first + self.windows + LENGTH - 1
+        data = shard.data
+        texts = [data[a:b] for a, b in zip(self.first.tolist(), ends.tolist(), strict=True)]
+        numbers = {text: i for i, text in enumerate(dict.fromkeys(texts))}
+        self.texts = list(numbers)
+        self.number = np.fromiter(map(numbers.__getitem__, texts), np.int64, len(texts))
+        self.ranks = np.full(len(self.texts), NO_ID)
+        np.minimum.at(self.ranks, self.number, shard.ranks[self.doc])
+        self.anchors = np.zeros(len(self.texts), np.uint64)
+        self.anchors[self.number] = anchor[plain]
+        alone = wanted[is_hot]
+        n = windows[alone]
+        self.single_at = np.repeat(first[alone] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        self.single_doc = np.repeat(doc[alone], n)
+        pair = []
+        for factor in _FACTORS:
+            powers = np.array([pow(factor, LENGTH - 1 - i, 1 << 64) for i in range(LENGTH)], np.uint64)
+            out = np.empty(len(self.single_at), np.uint64)
+            for i in range(0, len(out), 1 << 16):
+                grams = shard.array[self.single_at[i : i + (1 << 16), None] + np.arange(LENGTH)]
+                out[i : i + (1 << 16)] = ((grams.astype(np.uint64) + np.uint64(1)) * powers).sum(1, dtype=np.uint64)
+            out ^= out >> np.uint64(31)
+            pair.append(out * np.uint64(0x94D049BB133111EB))
+        self.single, self.single_of = _distinct(*pair)
+        self.single_rank = np.full(len(self.single[0]), NO_ID)
+        np.minimum.at(self.single_rank, self.single_of, shard.ranks[self.single_doc])
 
 
 def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
@@ -295,11 +318,11 @@ def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarra
 
 
 def _piece_buckets(found: _Candidates, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    yield from _by_bucket((np.array(found.anchors, np.uint64) % np.uint64(buckets)).astype(np.int64))
+    yield from _by_bucket((found.anchors % np.uint64(buckets)).astype(np.int64))
 
 
 def _window_buckets(found: _Candidates, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    yield from _by_bucket((found.windows[0] % np.uint64(buckets)).astype(np.int64))
+    yield from _by_bucket((found.single[0] % np.uint64(buckets)).astype(np.int64))
 
 
 def _sent(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -308,20 +331,17 @@ def _sent(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
     for batch in batches:
         for i in range(batch.num_rows):
             shard = _Shard(batch, i)
-            found = _Candidates(shard, batch.column("answers")[i].as_py())
-            texts, ranks = list(found.texts), np.array(found.ranks, np.int64)
-            anchors = np.array(found.anchors, np.uint64)
+            found = _Candidates(shard, batch.column("answers")[i].as_py() or [])
+            texts, ranks = found.texts, found.ranks
             out: list[tuple[int, int, bytes]] = []
             for bucket, at in _piece_buckets(found, buckets):
                 own = [texts[k] for k in at]
-                body = b"".join([
-                    struct.pack("<I", len(own)), ranks[at].tobytes(), anchors[at].tobytes(),
-                    bytes(map(len, own)), *own,
-                ])
+                steps = np.diff(ranks[at], prepend=0)
+                body = b"".join([struct.pack("<I", len(own)), steps.tobytes(), bytes(map(len, own)), *own])
                 out.append((bucket, 0, coder.compress(body)))
             for bucket, at in _window_buckets(found, buckets):
-                body = struct.pack("<I", len(at)) + found.window_rank[at].tobytes()
-                body += found.windows[0][at].tobytes() + found.windows[1][at].tobytes()
+                body = struct.pack("<I", len(at)) + found.single_rank[at].tobytes()
+                body += found.single[0][at].tobytes() + found.single[1][at].tobytes()
                 out.append((bucket, 1, coder.compress(body)))
             for some in range(0, len(out), 256):
                 part = out[some : some + 256]
@@ -333,8 +353,6 @@ def _judged(messages: list[tuple]) -> Iterator[tuple]:
     """Per piece a bit for each window, per window a byte: whether a smaller rank has it, too."""
     opened = [zstandard.ZstdDecompressor().decompress(m[4]) for m in messages]
     of_piece: dict[bytes, int] = {}
-    least: list[int] = []
-    anchor_of: list[int] = []
     pieces_sent, windows_sent = [], []
     for message, body in zip(messages, opened, strict=True):
         n = struct.unpack_from("<I", body)[0]
@@ -342,22 +360,15 @@ def _judged(messages: list[tuple]) -> Iterator[tuple]:
         if message[3]:
             windows_sent.append((message, rank, *(np.frombuffer(body, np.uint64, n, 4 + 8 * n * k) for k in (1, 2))))
             continue
-        anchor = np.frombuffer(body, np.uint64, n, 4 + 8 * n).tolist()
-        at, number = 4 + 17 * n, np.empty(n, np.int64)
-        sizes = body[4 + 16 * n : at]
-        for k, (size, r) in enumerate(zip(sizes, rank.tolist(), strict=True)):
-            text = body[at : at + size]
-            at += size
-            number[k] = j = of_piece.setdefault(text, len(least))
-            if j == len(least):
-                least.append(r)
-                anchor_of.append(anchor[k])
-            elif r < least[j]:
-                least[j] = r
-        pieces_sent.append((message, rank, number))
+        ends = 4 + 9 * n + np.cumsum(np.frombuffer(body, np.uint8, n, 4 + 8 * n), dtype=np.int64)
+        edges, add = [4 + 9 * n, *ends.tolist()], of_piece.setdefault
+        number = [add(body[a:b], len(of_piece)) for a, b in zip(edges, edges[1:], strict=False)]
+        pieces_sent.append((message, np.cumsum(rank), np.array(number, np.int64)))
     del opened
-    smallest = np.array(least, np.int64)
-    elsewhere = _elsewhere(list(of_piece), smallest, np.array(anchor_of, np.uint64))
+    smallest = np.full(len(of_piece), NO_ID)
+    for _, rank, number in pieces_sent:
+        np.minimum.at(smallest, number, rank)
+    elsewhere = _elsewhere(list(of_piece), smallest)
     whole = np.array([(1 << len(t) - LENGTH + 1) - 1 for t in of_piece], np.uint32)
     for message, rank, number in pieces_sent:
         found = np.where(rank > smallest[number], whole[number], elsewhere[number]) if len(number) else whole
@@ -373,11 +384,21 @@ def _judged(messages: list[tuple]) -> Iterator[tuple]:
             yield (*message[:4], found[begin:end].tobytes())
 
 
-def _elsewhere(texts: list[bytes], ranks: np.ndarray, anchors: np.ndarray) -> np.ndarray:
+def _anchors_of(texts: list[bytes]) -> np.ndarray:
+    """Anchor of each piece: the smallest hash among the grams of its first window."""
+    lengths = np.array(list(map(len, texts)))
+    begins = np.cumsum(lengths) - lengths
+    hashes = gram_hashes(np.frombuffer(b"".join(texts), np.uint8), GRAM)
+    edges = np.column_stack([begins, begins + LENGTH - GRAM + 1]).ravel()
+    return np.minimum.reduceat(np.append(hashes, hashes[-1:]), edges)[::2] >> np.uint64(8)
+
+
+def _elsewhere(texts: list[bytes], ranks: np.ndarray) -> np.ndarray:
     """For each distinct piece the windows (as bits) that another piece with a smaller rank has."""
     out = np.zeros(len(texts), np.uint32)
     if not len(texts):
         return out
+    anchors = _anchors_of(texts)
     order = np.argsort(anchors, kind="stable")
     new = np.r_[True, anchors[order][1:] != anchors[order][:-1]]
     size = np.diff(np.r_[np.flatnonzero(new), len(order)])
@@ -415,28 +436,25 @@ def _covered(
             bits = np.zeros(len(found.ranks), np.uint32)
             for bucket, at in _piece_buckets(found, buckets):
                 bits[at] = np.frombuffer(judged[bucket, 0], "<u4")
-            single = np.zeros(len(found.window_rank), bool)
+            single = np.zeros(len(found.single_rank), bool)
             for bucket, at in _window_buckets(found, buckets):
                 single[at] = np.frombuffer(judged[bucket, 1], np.uint8)
             # Windows that a smaller rank has: a later document of the shard has all of a piece's.
-            flags = np.zeros(len(shard.array) + 1, np.int32)
-            if found.seen:
-                doc, first, windows, number = np.array(found.seen, np.int64).T
-                whole = ((np.int64(1) << windows) - 1).astype(np.uint32)
-                later = shard.ranks[doc] > np.array(found.ranks, np.int64)[number]
-                mine = np.where(later, whole, bits[number])
-                for bit in range(int(windows.max())):
-                    here = (mine >> np.uint32(bit) & np.uint32(1)).astype(bool)
-                    flags[shard.begins[doc[here]] + first[here] + bit] = 1
-            if len(found.window_of):
-                later = shard.ranks[found.window_doc] > found.window_rank[found.window_of]
-                here = later | single[found.window_of]
-                flags[shard.begins[found.window_doc[here]] + found.window_at[here]] = 1
-            starts = np.flatnonzero(flags)
-            cover = np.zeros(len(flags) + LENGTH, np.int32)
-            np.add.at(cover, starts, 1)
-            np.add.at(cover, starts + LENGTH, -1)
-            removed = np.cumsum(cover)[: len(shard.array)] > 0
+            flags = np.zeros(len(shard.array) + 1, bool)
+            whole = ((np.int64(1) << found.windows) - 1).astype(np.uint32)
+            later = shard.ranks[found.doc] > found.ranks[found.number]
+            mine = np.where(later, whole, bits[found.number])
+            some = np.flatnonzero(mine)
+            mine, first = mine[some], found.first[some]
+            for bit in range(LENGTH - GRAM + 1):
+                flags[first[(mine >> np.uint32(bit) & np.uint32(1)).astype(bool)] + bit] = True
+            later = shard.ranks[found.single_doc] > found.single_rank[found.single_of]
+            flags[found.single_at[later | single[found.single_of]]] = True
+            # Each flagged window covers LENGTH bytes; no window crosses a document's edge.
+            cover = np.zeros(len(flags) + LENGTH, np.int8)
+            cover[: len(flags)] = flags
+            cover[LENGTH:] -= flags
+            removed = np.cumsum(cover, dtype=np.int32)[: len(shard.array)] > 0
             rows = []
             for a, b in zip(shard.begins.tolist(), shard.ends.tolist(), strict=True):
                 gone = removed[a:b]
@@ -473,13 +491,13 @@ def removals(
         return common.map_arrow(dealt, _per_bucket, MESSAGE, answer)
 
     key = ["s1", "s2"]
-    # One exchange of the shards and one of the answers serve both later steps.
+    # One exchange of the shards and one of the answers serve both later steps, as both join them alike.
     spread = shards.repartition(n, *key)
     repeated = ask(common.map_arrow(shards, _anchors, MESSAGE, buckets), partial(_repeated, hot=hot))
     answers = repeated.groupBy(*key).agg(F.collect_list("data").alias("answers"))
     with_answers = spread.join(answers, key, "left")
     judged = ask(
-        common.map_arrow(with_answers.filter("answers is not null"), _sent, MESSAGE, buckets), _judged
+        common.map_arrow(with_answers, _sent, MESSAGE, buckets), _judged
     )
     results = judged.groupBy(*key).agg(F.collect_list(F.struct("bucket", "kind", "data")).alias("judged"))
     return common.map_arrow(
@@ -491,6 +509,7 @@ def removals(
 
 def dedup(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows with all their columns; the text is what stays of it."""
+    docs = common.rooted(docs)
     kept = removals(docs, id, text, with_texts=True).select("_file", "_row", F.col("kept"))
     rest = common.keyed(docs, doc=F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c != text]))
     both = rest.join(kept, ["_file", "_row"])

@@ -14,13 +14,11 @@ from collections.abc import Callable
 
 #: White space as the tokenizers' patterns see it (Unicode White_Space).
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-#: Letters whose lower case and normal form do not depend on what stands around them.
-LETTERS = "A-Za-z\\xc0-\\xd6\\xd8-\\xf6\\xf8-\\xff"
+#: ASCII signs that follow a word; an apostrophe may belong to a contraction.
+SIGNS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _pieces = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+").findall
 _double_space = re.compile(f"[{SPACE}][{SPACE}]").search
-#: One word and ASCII signs after it; an apostrophe may belong to a contraction.
-_simple = re.compile(f"( ?[{LETTERS}]+)([!-&(-/:-@\\[-`{{-~]*)").fullmatch
 _encoders: dict[str, Encoder] = {}
 
 
@@ -47,7 +45,7 @@ class Encoder:
     case. Strings of special tokens in a text are ordinary text. ``most`` bounds the pieces kept.
     """
 
-    def __init__(self, path: str, keep_space: bool, most: int = 100_000) -> None:
+    def __init__(self, path: str, keep_space: bool, most: int = 300_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -55,12 +53,11 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.keep_space = keep_space
-        #: Pieces as they stand, words that stand after a space or a line end, single words, and signs.
-        self.piece = _Kept(self._piece, most)
-        self.spaced = _Kept(self._spaced, most)
-        self.word, self.sign = _Kept(self._word, most), _Kept(self._plain, 10_000)
+        #: Pieces as they stand, words that stand after a space or a line end, and signs.
+        self.piece, self.spaced = _Kept(self._piece, most), _Kept(self._spaced, most)
+        self.sign = _Kept(self._plain, 10_000)
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
-        latin = [chr(i) for i in range(0x20, 0x7F)] + [chr(i) for i in range(0xC0, 0x100)]
+        latin = [chr(i) for i in (*range(0x20, 0x7F), *range(0xA1, 0x100))]
         self.letters = str.maketrans({c: to_bytes(c)[0][0] for c in latin})
 
     def _plain(self, text: str) -> bytes:
@@ -70,17 +67,25 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(word.translate(self.letters))]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        parts = _simple(piece)
-        if parts is None:
+        word = piece.rstrip(SIGNS)
+        if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
+            # Also signs alone, contractions, figures and what normal forms may change.
             return self._plain(piece)
-        word, signs = parts.groups()
-        word = word if self.keep_space else word.lstrip(" ").lower()
-        return self.word[word] + self.sign[signs] if signs else self.word[word]
+        if len(word) < len(piece):
+            return self.piece[word] + self.sign[piece[len(word) :]]
+        if not self.keep_space and (lower := word.lower()) != word:
+            return self.piece[lower]
+        return self._word(word)
 
     def _spaced(self, piece: str) -> bytes:
         if piece[:1] == "\n":
             return self.sign["\n"] + self.piece[piece[1:]]
-        return self._piece(" " + piece)
+        word = piece.rstrip(SIGNS)
+        if not word.isalpha() or not (word.isascii() or max(word) <= "\xff"):
+            return self._plain(" " + piece)
+        if len(word) < len(piece):
+            return self.spaced[word] + self.sign[piece[len(word) :]]
+        return self._word(" " + word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return [self.ids(t) for t in texts]
