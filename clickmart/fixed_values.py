@@ -1,6 +1,6 @@
 """Fixed values of the data model.
 
-Everything in this module is a fixed value: results are only right with these names, weights,
+Everything in this module is a fixed value: results are only right with these names,
 lengths and formats.
 """
 
@@ -17,18 +17,11 @@ EVENT_KEYS = ("session_id", "aid", "ts", "event_type")
 PROFILE_COLUMNS = ("gender", "age_group", "region", "membership", "platform")
 PROFILE_SOURCES = {"platform": "preferred_device"}
 
-# Weights of the user attributes, in percent, in display order.
-GENDERS = {"M": 50, "F": 50}
-AGE_GROUPS = {"10대": 5, "20대": 25, "30대": 30, "40대": 20, "50대": 12, "60대 이상": 8}
-REGIONS = {
-    "서울": 30, "부산": 7, "인천": 6, "대구": 5, "대전": 4, "광주": 4, "울산": 3, "세종": 1,
-    "경기": 22, "강원": 2, "충북": 2, "충남": 2, "전북": 2, "전남": 2, "경북": 3, "경남": 3, "제주": 2,
-}
-DEVICES = {"web": 40, "ios": 35, "android": 25}
-MEMBERSHIPS = {"일반": 60, "실버": 25, "골드": 12, "플래티넘": 3}
+# Display order of user attributes.
+GENDERS = ("F", "M")
+AGE_GROUPS = ("10대", "20대", "30대", "40대", "50대", "60대 이상")
 
-# Limits of ingestion and landing.
-EVENT_LIMIT = 10_000
+# Fixed value: longest wait of a landing batch.
 FLUSH_SECONDS = 60
 
 # Names of the marts and of the tables they are loaded into.

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,12 +9,3 @@ from pyspark.sql import functions as F
 def hash_number(text: Column, digits: int = 8) -> Column:
     """The first hex ``digits`` (up to 15) of the text's MD5 as a number."""
     return F.conv(F.left(F.md5(text.cast("string")), F.lit(digits)), 16, 10).cast("bigint")
-
-
-def weighted_choice(key: Column, name: str, weights: dict[str, int]) -> Column:
-    """Draw one of the values of ``weights`` for ``key``; ``name`` makes draws independent."""
-    draw = hash_number(F.concat(key.cast("string"), F.lit(":"), F.lit(name))) % sum(weights.values())
-    chain = F
-    for value, upper in zip(weights, accumulate(weights.values()), strict=True):
-        chain = chain.when(draw < upper, value)
-    return chain

@@ -9,20 +9,24 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.fixed_values import AGE_GROUPS, EVENT_LIMIT, GENDERS
+from clickmart.fixed_values import AGE_GROUPS, GENDERS
 from clickmart.operators import ingest, profile, quality
 from clickmart.plans import daily
-from clickmart.schemas import EVENT_ORDER
+from clickmart.schemas import EVENT, EVENT_ORDER, columns
+from clickmart.session import configured
 from clickmart.sources import files, jdbc, kafka
 from clickmart.streaming import events as streams
 
 
 def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.types:
+        raise ValueError("days can only be replaced with the events of all types")
     if args.landed:
-        return files.read_landed(spark, args.raw, args.types, args.days)
-    return files.read_raw(spark, args.raw, args.ext, args.types or ("",), args.days or ("",))
+        return files.read_landed(spark, args.raw, days=args.days)
+    return files.read_raw(spark, args.raw, args.ext, days=args.days or ("",))
 
 
 def _users(spark: SparkSession, args: argparse.Namespace) -> DataFrame | None:
@@ -33,12 +37,17 @@ def _database(spark: SparkSession) -> tuple[str, dict[str, str]]:
     settings = {k: spark.conf.get(f"spark.clickmart.jdbc.{k}", None)
                 for k in ("url", "driver", "user", "password")}
     given = {k: v for k, v in settings.items() if v}
+    if "url" not in given:
+        raise ValueError("set spark.clickmart.jdbc.url")
     return given.pop("url"), given
 
 
 def transform(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Raw zone to staging table; shows a sample and the events per type."""
-    stg = daily.stage(spark, _raw(spark, args), args.base, _users(spark, args))
+    """Raw zone to staging table; shows a sample and the events per type.
+
+    With --days only these arrival days are read, and the event days they touch are replaced.
+    """
+    stg = daily.stage(spark, _raw(spark, args), args.base, _users(spark, args), bool(args.days))
     profile.sample(stg, EVENT_ORDER).show(truncate=False)
     profile.type_stats(stg).show()
 
@@ -74,18 +83,22 @@ def load_stg(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Transform, check, marts and, if a database is set, its load."""
+    """Transform (see there), check, marts and, if a database is set, its load."""
     target = (None, None)
     if spark.conf.get("spark.clickmart.jdbc.url", None):
         target = _database(spark)
-    daily.run(spark, _raw(spark, args), args.base, _users(spark, args), *target).show()
+    daily.run(
+        spark, _raw(spark, args), args.base, _users(spark, args), *target, merge=bool(args.days)
+    ).show()
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """Session log to keyed messages in Kafka."""
     sessions, users = files.read_sessions(spark, args.log), _users(spark, args)
-    events = ingest.build_events(sessions, users, strict=True)
+    events = ingest.normalize_types(ingest.explode_events(sessions), strict=True)
+    # The limit comes before the user join, so its passes over the log do not join.
     events = ingest.limit_events(events, EVENT_ORDER, args.limit)
+    events = ingest.assign_users(events, users).select(*columns(EVENT))
     messages = ingest.to_messages(events, ingest.topic_names(args.topics))
     kafka.write_messages(messages, args.servers)
 
@@ -94,9 +107,8 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
     """Kafka to the raw zone, until stopped or, with --drain, until all is read."""
     topics = ingest.topic_names(args.topics).values()
     messages = kafka.read_messages(spark, args.servers, topics, args.batch)
-    events = streams.decode(messages).drop("topic", "key")
     trigger = streams.DRAIN if args.drain else streams.EVERY_FLUSH
-    streams.land_raw(events, args.raw, args.checkpoint, trigger).awaitTermination()
+    streams.land_raw(messages, args.raw, args.checkpoint, trigger).awaitTermination()
 
 
 def user_stats(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -104,7 +116,8 @@ def user_stats(spark: SparkSession, args: argparse.Namespace) -> None:
     users = _users(spark, args)
     dimensions = ("gender", "age_group", "region", "membership")
     orders = {"gender": sorted(GENDERS), "age_group": list(AGE_GROUPS)}
-    profile.value_shares(users, dimensions, orders).orderBy("dimension", "place").show(100)
+    shares = profile.value_shares(users, dimensions, orders).orderBy("dimension", "place")
+    shares.show(shares.count())
     profile.top_k(users, "region").show()
 
 
@@ -134,7 +147,7 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--ext", default="jsonl", help="extension of raw files")
         sub.add_argument("--landed", action="store_true", help="raw zone written by the land job")
         sub.add_argument("--multiline", action="store_true", help="users are one JSON array")
-        sub.add_argument("--limit", type=int, default=EVENT_LIMIT, help="events to publish, 0: all")
+        sub.add_argument("--limit", type=int, default=0, help="events to publish, 0: all")
         sub.add_argument("--topics", default="shop", help="prefix of the topics")
         sub.add_argument("--batch", type=int, help="most messages per batch")
         sub.add_argument("--drain", action="store_true")
@@ -142,7 +155,11 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(arguments: Sequence[str] | None = None) -> None:
-    """Run one job in the session that spark-submit configures."""
+    """Run one job in a session with the library's settings, unless spark-submit sets others."""
     args = parser().parse_args(arguments)
-    spark = SparkSession.builder.appName(f"clickmart-{args.job}").getOrCreate()
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        builder = SparkSession.builder.appName(f"clickmart-{args.job}")
+        given = dict(SparkConf().getAll())
+        spark = configured(builder, args.job == "land", given).getOrCreate()
     JOBS[args.job][0](spark, args)

@@ -8,19 +8,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmart import schemas
-from clickmart.fixed_values import (
-    EVENT_LIMIT,
-    LOG_TYPES,
-    PROFILE_COLUMNS,
-    PROFILE_SOURCES,
-    UNKNOWN_TYPE,
-)
-from clickmart.functions.hashing import hash_number, weighted_choice
+from clickmart.fixed_values import LOG_TYPES, PROFILE_COLUMNS, PROFILE_SOURCES, UNKNOWN_TYPE
+from clickmart.functions.hashing import hash_number
 from clickmart.functions.times import hour_path
-from clickmart.operators.joins import BROADCAST_BYTES, join_dimension, measure
+from clickmart.operators.joins import join_dimension
 from clickmart.operators.limits import first_rows
 
 INDEX_BUCKETS = 1024
+CORRUPT = "_corrupt_record"
 
 
 def topic_names(prefix: str = "shop") -> dict[str, str]:
@@ -70,24 +65,17 @@ def index_users(users: DataFrame, buckets: int = INDEX_BUCKETS) -> DataFrame:
     )
 
 
-def assign_users(
-    events: DataFrame,
-    users: DataFrame,
-    session: str = "session_id",
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def assign_users(events: DataFrame, users: DataFrame, session: str = "session_id") -> DataFrame:
     """Give every session a user of the pool: always the same one, by hash of the session.
 
-    Works on events and, cheaper, on session log lines before they are unnested.
+    Works on events and, cheaper, on session log lines before they are unnested. The pool is
+    counted when the plan is built.
     """
-    pool, size = measure(users.select("user_id"))
+    pool = users.count()
     if pool == 0:
         raise ValueError("the user pool is empty")
     drawn = events.withColumn("user_index", hash_number(F.col(session), 15) % pool)
-    indexed = index_users(users)
-    return join_dimension(
-        drawn, indexed, "user_index", size=size + 16 * pool, broadcast_bytes=broadcast_bytes
-    ).drop("user_index")
+    return join_dimension(drawn, index_users(users), "user_index").drop("user_index")
 
 
 def build_events(
@@ -108,28 +96,16 @@ def profiles(users: DataFrame) -> DataFrame:
     return users.select("user_id", *named)
 
 
-def enrich(
-    events: DataFrame,
-    users: DataFrame,
-    size: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
+def enrich(events: DataFrame, users: DataFrame) -> DataFrame:
     """Fill the profile columns of the events from the user dimension.
 
-    ``size`` is that of its ``profiles`` in bytes, where known.
+    The dimension wins, column by column; where it has no value (or no such user), the event keeps
+    what it was delivered with.
     """
-    bare = events.drop(*PROFILE_COLUMNS)
-    joined = join_dimension(
-        bare, profiles(users), "user_id", size=size, broadcast_bytes=broadcast_bytes
-    )
-    return joined.select(*bare.columns, *PROFILE_COLUMNS)
-
-
-def weighted_attribute(
-    frame: DataFrame, key: str, name: str, weights: Mapping[str, int]
-) -> DataFrame:
-    """Add attribute ``name``, drawn for each ``key`` by weight."""
-    return frame.withColumn(name, weighted_choice(F.col(key), name, dict(weights)))
+    named = {c: f"_{c}" for c in PROFILE_COLUMNS}
+    joined = join_dimension(events, profiles(users).withColumnsRenamed(named), "user_id")
+    filled = {c: F.coalesce(F.col(named[c]), F.col(c)) for c in PROFILE_COLUMNS}
+    return joined.select(*(filled.get(c, F.col(c)).alias(c) for c in events.columns))
 
 
 def to_messages(events: DataFrame, topics: Mapping[str, str] | None = None) -> DataFrame:
@@ -144,7 +120,21 @@ def to_messages(events: DataFrame, topics: Mapping[str, str] | None = None) -> D
     )
 
 
-def limit_events(frame: DataFrame, order: Sequence[str], n: int = EVENT_LIMIT) -> DataFrame:
+def from_messages(messages: DataFrame, schema: str = schemas.RAW, corrupt: bool = False) -> DataFrame:
+    """Messages of all topics to events: topic, key and the fields of ``schema``.
+
+    A field that cannot be read is NULL; with ``corrupt`` the value of such a message is kept whole
+    in ``_corrupt_record``.
+    """
+    options = {"columnNameOfCorruptRecord": CORRUPT}
+    parsed = F.from_json(
+        F.col("value").cast("string"), f"{schema}, {CORRUPT} STRING" if corrupt else schema, options
+    )
+    named = messages.select("topic", F.col("key").cast("string").alias("key"), parsed.alias("event"))
+    return named.select("topic", "key", "event.*")
+
+
+def limit_events(frame: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows in ``order``; 0 keeps all."""
     if n == 0:
         return frame

@@ -5,59 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 1000
-HOT_ROWS = 1_000_000
 SALTS = 1000
 
 
-def measure(frame: DataFrame) -> tuple[int, int]:
-    """Rows and bytes: those of all text values, plus 16 per value."""
-    per_row = F.lit(16 * len(frame.columns)).cast("bigint")
-    for name, kind in frame.dtypes:
-        if kind == "string":
-            per_row = per_row + F.coalesce(F.octet_length(name), F.lit(0))
-    rows, size = frame.agg(F.count(F.lit(1)), F.sum(per_row)).first()
-    return rows, size or 0
-
-
-def hot_keys(facts: DataFrame, on: str, at_least: int = HOT_ROWS, most: int = HOT_KEYS) -> list:
-    """The most frequent keys with ``at_least`` so many rows, ``most`` of them at the most.
-
-    A key that is not among them has fewer than ``at_least`` rows or at most one in ``most``.
-    """
-    counts = facts.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("n"))
-    frequent = counts.filter(F.col("n") >= at_least).orderBy(F.desc("n")).limit(most)
-    return [row[0] for row in frequent.collect()]
-
-
 def join_dimension(
-    facts: DataFrame,
-    dimension: DataFrame,
-    on: str,
-    how: str = "left",
-    size: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
-    hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
+    facts: DataFrame, dimension: DataFrame, on: str, how: str = "left", salts: int = SALTS
 ) -> DataFrame:
     """Equi-join of ``facts`` to a ``dimension`` with unique ``on``.
 
-    The dimension is measured (unless ``size`` says how many bytes it has). Small enough, it is
-    broadcast and the facts are not shuffled. Beyond that both sides are shuffled on the key and a
-    salt: the facts of a hot key are spread over ``salts`` tasks and its dimension row is repeated
-    for each of them; facts without a key are spread too, and all other keys have one salt. The
-    salt is a hash of the fact itself, hence the same when a lost task is run again.
+    Spark picks the strategy: it broadcasts a dimension below its threshold, and otherwise adaptive
+    execution splits the partitions of hot keys, however many there are. Facts without a key match
+    nothing, so they are spread over ``salts`` values; the salt is a hash of the fact itself, hence
+    the same when a lost task is run again.
     """
-    if size is None:
-        size = measure(dimension)[1]
-    if size <= broadcast_bytes:
-        return facts.join(F.broadcast(dimension), on, how)
-    hot = hot_keys(facts, on, hot_rows)
-    is_hot = F.col(on).isin(hot) if hot else F.lit(False)
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
-    last_copy = F.when(is_hot, salts - 1).otherwise(0)
-    salt = F.when(is_hot | F.col(on).isNull(), spread).otherwise(0)
-    salted = facts.withColumn("_salt", salt)
-    copies = dimension.withColumn("_salt", F.explode(F.sequence(F.lit(0), last_copy)))
-    return salted.join(copies, [on, "_salt"], how).drop("_salt")
+    salted = facts.withColumn("_salt", F.when(F.col(on).isNull(), spread).otherwise(0))
+    return salted.join(dimension.withColumn("_salt", F.lit(0)), [on, "_salt"], how).drop("_salt")

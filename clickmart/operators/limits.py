@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,8 @@ def _not_behind(frame: DataFrame, order: Sequence[str], n: int, steps: int) -> C
         return column.isNull() if before >= n else F.lit(True)
     while size > n and low < high:
         width = -(-(high - low + 1) // steps)
-        part = F.call_function("div", column.cast("decimal(20,0)") - low, F.lit(width))
+        # Both ends of a bigint range together do not fit a bigint.
+        part = F.call_function("div", column.cast("decimal(20,0)") - F.lit(Decimal(low)), F.lit(Decimal(width)))
         inside = frame.filter(column.between(low, high)).groupBy(part.alias("part"))
         counts = sorted((r["part"], r["count"]) for r in inside.count().collect())
         for place, size in counts:

@@ -61,14 +61,13 @@ def cohort_size(first: DataFrame) -> DataFrame:
 
 
 def _cohort_activity(stg: DataFrame) -> DataFrame:
-    # A user's first month is the smallest of the active ones, so the staging table is read and
-    # shuffled once, by user. The set of a user holds a date per calendar month at most, however
-    # many events there are, and is built before the shuffle.
-    users = stg.filter(F.col("user_id").isNotNull()).groupBy("user_id")
-    users = users.agg(F.collect_set(F.trunc("event_date", "month")).alias("months"))
-    return users.select(
-        "user_id", F.array_min("months").alias("cohort"), F.explode("months").alias("activity")
-    )
+    # A user's first month is the smallest of the active ones, so the staging table is read once.
+    # Months are combined before the shuffle, by hash; what is left, a row per user and calendar
+    # month at most, is what the window sorts.
+    known = stg.filter(F.col("user_id").isNotNull())
+    active = known.select("user_id", F.trunc("event_date", "month").alias("activity")).distinct()
+    cohort = F.min("activity").over(Window.partitionBy("user_id"))
+    return active.select("user_id", cohort.alias("cohort"), "activity").filter("activity IS NOT NULL")
 
 
 def cohort_activity(stg: DataFrame) -> DataFrame:

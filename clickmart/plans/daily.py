@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart.fixed_values import MART_TABLES
-from clickmart.operators import clean, ingest, joins, marts, quality
+from clickmart.operators import clean, ingest, marts, quality
 from clickmart.sources import files, jdbc
 
 
@@ -28,20 +28,33 @@ def stage(
     raw: DataFrame,
     base: str,
     users: DataFrame | None = None,
-    broadcast_bytes: int = joins.BROADCAST_BYTES,
+    merge: bool = False,
 ) -> DataFrame:
-    """Clean ``raw``, fill the profiles from ``users``, replace the staging table and return it."""
-    rows = clean.transform(raw)
+    """Clean ``raw``, fill the profiles from ``users``, write the staging table and return it.
+
+    Without ``merge`` the table is replaced. With it, ``raw`` is what some arrival days brought: the
+    event days it touches, late ones too, are united with their stored rows, de-duplicated and
+    replaced; all other days stay as they are, and a second run changes nothing.
+    """
+    path, rows = stg_path(base), clean.transform(raw)
+    if merge:
+        fresh = files.scratch_table(spark, rows, "arrived")
+        days = fresh.select("event_date").distinct()
+        if files.exists(spark, path):
+            # One small row per event day; events without a day are a day of their own.
+            touched = F.broadcast(days.withColumnRenamed("event_date", "day"))
+            stored = files.read_stg(spark, path)
+            stored = stored.join(touched, F.col("event_date").eqNullSafe(F.col("day")), "left_semi")
+            fresh = fresh.unionByName(stored)
+        rows = clean.dedup(fresh)
     if users is not None:
-        size = joins.measure(ingest.profiles(users))[1]
-        if size > broadcast_bytes:
-            # The join first looks for hot users, so it reads the events twice: write them before.
-            cleaned = f"{base.rstrip('/')}/cleaned"
-            files.write_stg(rows, cleaned)
-            rows = files.read_stg(spark, cleaned)
-        rows = ingest.enrich(rows, users, size, broadcast_bytes)
-    files.write_stg(rows, stg_path(base))
-    return files.read_stg(spark, stg_path(base))
+        rows = ingest.enrich(rows, users)
+    if merge:
+        # Written apart first: the days that are replaced are read until then.
+        files.replace_days(files.scratch_table(spark, rows, "merged"), path)
+    else:
+        files.write_stg(rows, path)
+    return files.read_stg(spark, path)
 
 
 def build_marts(spark: SparkSession, stg: DataFrame, base: str) -> dict[str, DataFrame]:
@@ -58,30 +71,28 @@ def run(
     users: DataFrame | None = None,
     jdbc_url: str | None = None,
     jdbc_options: Mapping[str, str] | None = None,
-    broadcast_bytes: int = joins.BROADCAST_BYTES,
+    merge: bool = False,
 ) -> DataFrame:
     """Run all steps and return (step, rows, sessions); sessions where the step has them.
 
     A failed check stops the run before any mart is touched. Each step starts from the table the
     step before has written, not from its plan, and so do the counts. Raw lines are counted without
-    being parsed again.
+    being parsed again. With ``merge`` (see ``stage``) marts are still built from the whole table.
     """
-    stg = quality.gate(stage(spark, raw, base, users, broadcast_bytes))
-    tables = {"raw": raw.select(), "stg": stg} | build_marts(spark, stg, base)
+    stg = quality.gate(stage(spark, raw, base, users, merge))
+    tables = {"raw": raw.select()} | build_marts(spark, stg, base)
     if jdbc_url:
         jdbc.load_marts(spark, mart_base(base), jdbc_url, jdbc_options or {})
-    return reduce(DataFrame.unionByName, (_counts(name, t) for name, t in tables.items()))
+    counts = [_counts(name, t, "sessions" if name == "session" else None) for name, t in tables.items()]
+    # The session mart holds every staging row's session, so the staging table is not grouped again.
+    counts.append(_counts("stg", tables["session"], "sessions", F.sum("event_count")))
+    return reduce(DataFrame.unionByName, counts)
 
 
-def _counts(step: str, table: DataFrame) -> DataFrame:
-    if "session_id" not in table.columns:
-        return table.agg(F.lit(step).alias("step"), F.count(F.lit(1)).alias("rows")).withColumn(
-            "sessions", F.lit(None).cast("bigint")
-        )
-    # Rows are first added up per session, which also counts the distinct sessions.
-    per_session = table.groupBy("session_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_session.agg(
+def _counts(step: str, table: DataFrame, sessions: str | None = None, rows: Column | None = None) -> DataFrame:
+    number = F.count_distinct("session_id") if sessions else F.lit(None).cast("bigint")
+    return table.agg(
         F.lit(step).alias("step"),
-        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-        F.count("session_id").alias("sessions"),
+        F.coalesce(F.count(F.lit(1)) if rows is None else rows, F.lit(0)).alias("rows"),
+        number.alias("sessions"),
     )

@@ -10,31 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import schemas
-from clickmart.fixed_values import (
-    AGE_GROUPS,
-    DEVICES,
-    GENDERS,
-    LOG_TYPES,
-    MEMBERSHIPS,
-    PROFILE_COLUMNS,
-    REGIONS,
-)
-from clickmart.functions.hashing import weighted_choice
+from clickmart.fixed_values import AGE_GROUPS, LOG_TYPES
 from clickmart.functions.times import epoch_ms, utc_time
 from clickmart.operators.clean import transform
 from clickmart.operators.ingest import to_messages
 from clickmart.sources import files
 
 SOURCE_TYPES = {"view": "click", "click": "cart", "purchase": "order"}
-USER_ATTRIBUTES = {
-    "gender": GENDERS,
-    "age_group": AGE_GROUPS,
-    "region": REGIONS,
-    "membership": MEMBERSHIPS,
-    "preferred_device": DEVICES,
-}
+#: Profile that some users' events are delivered with.
+DELIVERED = {
+    "gender": "F", "age_group": "20대", "region": "delivered", "membership": "VIP", "platform": "app",
+}
+LATE_PLATFORM = "late"
 EVENT_COLUMNS = schemas.columns(schemas.EVENT)
 EVENTS_PER_LINE = 1000
+#: Balances below which customers count as one age group after the other.
+AGE_LIMITS = (0, 2000, 4000, 6000, 8000)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,24 +53,27 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _identified_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unknown = F.when(F.col("user_id") % 26 == 0, "u").otherwise("")
     return _events(spark, sf_dir).select(
         "event_id",
         _session().alias("session_id"),
         F.when(F.col("event_id") % 89 != 0, F.col("item")).alias("aid"),
         epoch_ms(F.col("ts")).alias("ts"),
         _event_type(SOURCE_TYPES).alias("event_type"),
-        F.when(F.col("event_id") % 97 != 0, F.col("user_id").cast("string")).alias("user_id"),
-        *(F.lit(None).cast("string").alias(c) for c in PROFILE_COLUMNS),
+        F.when(F.col("event_id") % 97 != 0, F.concat(unknown, F.col("user_id"))).alias("user_id"),
+        *(F.when(F.col("user_id") % 13 == 0, value).alias(c) for c, value in DELIVERED.items()),
     )
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw events: some delivered twice, some without item or user, some of unknown types."""
+    """Raw events: some delivered twice, with another platform the second time, some without item or
+    user, some of unknown types, some with a profile, some of users that no dimension knows."""
     deliveries = F.when(F.col("event_id") % 10 == 0, 2).otherwise(1)
     delivered = _identified_raw(spark, sf_dir).withColumn(
         "delivery", F.explode(F.sequence(F.lit(1), deliveries))
     )
-    return delivered.drop("event_id", "delivery")
+    late = F.when(F.col("delivery") == 2, LATE_PLATFORM).otherwise(F.col("platform"))
+    return delivered.withColumn("platform", late).drop("event_id", "delivery")
 
 
 def stg(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -109,12 +103,21 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The user dimension: every customer, with drawn attributes."""
+    """The user dimension: every customer, described by nation, market segment and balance."""
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer")
-    known = {"user_id": F.col("c_custkey").cast("string"), "name": F.col("c_name")}
-    known |= {
-        name: weighted_choice(F.col("c_custkey"), name, weights)
-        for name, weights in USER_ATTRIBUTES.items()
+    customer = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    balance, age = F.col("c_acctbal"), F
+    for upper, group in zip(AGE_LIMITS, AGE_GROUPS, strict=False):
+        age = age.when(balance < upper, group)
+    known = {
+        "user_id": F.col("c_custkey").cast("string"),
+        "name": F.col("c_name"),
+        "gender": F.when(F.col("c_nationkey") % 2 == 0, "F").otherwise("M"),
+        "age_group": age.otherwise(AGE_GROUPS[-1]),
+        "region": F.col("n_name"),
+        "membership": F.col("c_mktsegment"),
+        "preferred_device": F.when(balance < 3000, "web").when(balance < 6000, "ios").otherwise("android"),
     }
     missing = F.lit(None).cast("string")
     return customer.select(*(known.get(c, missing).alias(c) for c in schemas.columns(schemas.USERS)))
@@ -135,6 +138,20 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_messages(raw(spark, sf_dir))
 
 
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``messages`` of which some are no JSON, some have a further key, some an item that is no integer."""
+    ts = F.col("ts")
+    whole = F.to_json(F.struct(*(F.col(c) for c in EVENT_COLUMNS if c != "aid")))
+    value = (
+        F.when(ts % 53 == 0, F.concat(F.lit("broken { "), ts.cast("string")))
+        .when(ts % 59 == 0, F.concat(F.lit('{"campaign":"x",'), F.substr(whole, F.lit(2))))
+        .when(ts % 61 == 0, F.concat(F.lit('{"aid":2.5,'), F.substr(whole, F.lit(2))))
+        .otherwise(F.concat(F.lit("plain "), ts.cast("string")))
+    )
+    events = raw(spark, sf_dir)
+    return events.select(F.lit("shop").alias("topic"), F.col("user_id").alias("key"), value.alias("value"))
+
+
 def arrival() -> Column:
     """Arrival time of a raw event: events arrive at midnight (UTC) of the day they happened."""
     return utc_time(F.col("ts")).cast("date").cast("timestamp_ntz")

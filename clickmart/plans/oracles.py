@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from itertools import accumulate
-
 from clickmart.fixed_values import AGE_GROUPS, EVENT_TYPES, LOG_TYPES, MART_TABLES
-from clickmart.plans import fixtures, queries
+from clickmart.plans import queries
 from clickmart.schemas import CONTRACTS, Contract
 
 PROFILES = "gender, age_group, region, membership, platform"
@@ -19,17 +17,6 @@ def _number(text: str, digits: int = 8) -> str:
     return f"('0x' || substr(md5({text}), 1, {digits}))::BIGINT"
 
 
-def _draw(name: str, weights: dict[str, int]) -> str:
-    bucket = f"{_number(f"c_custkey || ':{name}'")} % 100"
-    branches = " ".join(
-        f"WHEN {bucket} < {upper} THEN '{value}'"
-        for value, upper in zip(weights, accumulate(weights.values()), strict=True)
-    )
-    return f"CASE {branches} END AS {name}"
-
-
-ATTRIBUTES = ", ".join(_draw(name, weights) for name, weights in fixtures.USER_ATTRIBUTES.items())
-
 # Building blocks: the common table expressions of the fixture views.
 
 RAW_IDENTIFIED = """
@@ -40,35 +27,57 @@ identified AS (
          epoch_us(ts) // 1000 AS ts,
          CASE event_type WHEN 'view' THEN 'click' WHEN 'click' THEN 'cart'
                          WHEN 'purchase' THEN 'order' ELSE event_type END AS event_type,
-         CASE WHEN event_id % 97 <> 0 THEN user_id::VARCHAR END AS user_id,
-         NULL::VARCHAR AS gender, NULL::VARCHAR AS age_group, NULL::VARCHAR AS region,
-         NULL::VARCHAR AS membership, NULL::VARCHAR AS platform
+         CASE WHEN event_id % 97 = 0 THEN NULL WHEN user_id % 26 = 0 THEN 'u' || user_id
+              ELSE user_id::VARCHAR END AS user_id,
+         CASE WHEN user_id % 13 = 0 THEN 'F' END AS gender,
+         CASE WHEN user_id % 13 = 0 THEN '20대' END AS age_group,
+         CASE WHEN user_id % 13 = 0 THEN 'delivered' END AS region,
+         CASE WHEN user_id % 13 = 0 THEN 'VIP' END AS membership,
+         CASE WHEN user_id % 13 = 0 THEN 'app' END AS platform
   FROM events)"""
 
 RAW = f"""{RAW_IDENTIFIED},
 raw AS (
   SELECT * EXCLUDE (event_id) FROM identified
   UNION ALL
-  SELECT * EXCLUDE (event_id) FROM identified WHERE event_id % 10 = 0)"""
+  SELECT * EXCLUDE (event_id) REPLACE ('late' AS platform) FROM identified WHERE event_id % 10 = 0)"""
+
+KEYS = "session_id, aid, ts, event_type"
+# Of copies that differ the smallest survives, missing values first.
+SURVIVOR = f"""QUALIFY row_number() OVER (PARTITION BY {KEYS} ORDER BY user_id NULLS FIRST,
+  gender NULLS FIRST, age_group NULLS FIRST, region NULLS FIRST, membership NULLS FIRST,
+  platform NULLS FIRST) = 1"""
 
 STG = f"""{RAW},
 stg AS (
-  SELECT DISTINCT session_id, aid, ts,
+  SELECT session_id, aid, ts,
          make_timestamp((ts // 1000) * 1000000) AS event_dt,
          make_timestamp((ts // 1000) * 1000000)::DATE AS event_date,
          event_type, user_id, {PROFILES}
   FROM raw
   WHERE session_id IS NOT NULL AND aid IS NOT NULL AND ts IS NOT NULL
-    AND user_id IS NOT NULL AND event_type IN ({VALID}))"""
+    AND user_id IS NOT NULL AND event_type IN ({VALID})
+  {SURVIVOR})"""
 
 USERS = f"""
 users AS (
-  SELECT c_custkey::VARCHAR AS user_id, c_name AS name, {ATTRIBUTES} FROM customer)"""
+  SELECT c_custkey::VARCHAR AS user_id, c_name AS name,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'F' ELSE 'M' END AS gender,
+         CASE WHEN c_acctbal < 0 THEN '10대' WHEN c_acctbal < 2000 THEN '20대'
+              WHEN c_acctbal < 4000 THEN '30대' WHEN c_acctbal < 6000 THEN '40대'
+              WHEN c_acctbal < 8000 THEN '50대' ELSE '60대 이상' END AS age_group,
+         n_name AS region, c_mktsegment AS membership,
+         CASE WHEN c_acctbal < 3000 THEN 'web' WHEN c_acctbal < 6000 THEN 'ios'
+              ELSE 'android' END AS preferred_device
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey)"""
 
 ENRICHED = f"""{STG}, {USERS},
 enriched AS (
   SELECT e.session_id, e.aid, e.ts, e.event_dt, e.event_date, e.event_type, e.user_id,
-         u.gender, u.age_group, u.region, u.membership, u.preferred_device AS platform
+         coalesce(u.gender, e.gender) AS gender, coalesce(u.age_group, e.age_group) AS age_group,
+         coalesce(u.region, e.region) AS region,
+         coalesce(u.membership, e.membership) AS membership,
+         coalesce(u.preferred_device, e.platform) AS platform
   FROM stg e LEFT JOIN users u USING (user_id))"""
 
 LOG = """
@@ -219,14 +228,15 @@ read AS (
   SELECT broken OR fraction AS bad,
          {", ".join(f"CASE WHEN NOT broken THEN {c} END AS {c}"
                     for c in ("session_id", "ts", "event_type", "user_id"))},
-         CASE WHEN NOT broken AND NOT fraction THEN aid END AS aid, {PROFILES}
+         CASE WHEN NOT broken AND NOT fraction THEN aid END AS aid, broken, fraction
   FROM lines)"""
 
 
 def _type_range() -> str:
+    # Broken lines name no field, so nothing of theirs counts as a lost field; a fraction loses the item.
     columns = "session_id, aid, ts, event_type, user_id, " + PROFILES
     tests = {"corrupt_record": "bad"}
-    tests |= {f"unreadable_{c}": f"bad AND {c} IS NULL" for c in columns.split(", ")}
+    tests |= {f"unreadable_{c}": "fraction" if c == "aid" else "false" for c in columns.split(", ")}
     low, high = queries.RANGE_MS
     tests["ts_range"] = f"ts NOT BETWEEN {low} AND {high}"
     return " UNION ALL ".join(
@@ -236,6 +246,13 @@ def _type_range() -> str:
     )
 
 
+# What is left of an event's JSON, NULL fields left out, behind its first key.
+REST = """'"session_id":' || session_id || ',"ts":' || ts || ',"event_type":"' || event_type || '"' ||
+  CASE WHEN user_id IS NULL THEN '' ELSE ',"user_id":"' || user_id || '"' END || '}'"""
+DAMAGED_VALUE = f"""CASE WHEN ts % 53 = 0 THEN 'broken {{ ' || ts
+  WHEN ts % 59 = 0 THEN '{{"campaign":"x",' || {REST}
+  WHEN ts % 61 = 0 THEN '{{"aid":2.5,' || {REST} ELSE 'plain ' || ts END"""
+
 PATH = "strftime(make_timestamp(ts * 1000), '%Y/%m/%d/%H')"
 TOPIC = "CASE event_type " + " ".join(
     f"WHEN '{event}' THEN 'shop.{log}'" for log, event in LOG_TYPES.items()
@@ -245,10 +262,20 @@ MESSAGES = f"WITH {RAW} SELECT {TOPIC}, user_id AS key, {RAW_EVENT} FROM raw"
 SELECT_RAW = f"WITH {RAW} SELECT * FROM raw"
 SELECT_STG = f"WITH {STG} SELECT {STG_COLUMNS} FROM stg"
 SELECT_FUNNEL = f"WITH {STG}, {FUNNEL} SELECT * FROM funnel"
-MART_COUNTS = " UNION ALL ".join(
-    f"SELECT '{mart}' AS mart, count(*) AS rows FROM {cte}"
-    for mart, cte in zip(MART_TABLES, ("funnel", "sessions", "cohorts", "items"), strict=True)
-)
+
+
+def _mart_values() -> str:
+    parts = []
+    for mart, cte in zip(MART_TABLES, ("funnel", "sessions", "cohorts", "items"), strict=True):
+        key = " || '|' || ".join(f"{c}::VARCHAR" for c in CONTRACTS[mart].key)
+        for column in queries.mart_numbers(mart):
+            parts.append(
+                f"SELECT '{mart}' AS mart, {key} AS key, '{column}' AS \"column\", "
+                f"{column}::DOUBLE AS value, true AS created FROM {cte}"
+            )
+    return " UNION ALL ".join(parts)
+
+
 EVENT_COHORTS = COHORTS.replace("o_custkey::VARCHAR", "user_id").replace(
     "o_orderdate", "event_dt").replace("FROM orders", "FROM stg")
 ALL_MARTS = f"{FUNNEL}, {EVENT_COHORTS}, {ITEMS}"
@@ -257,7 +284,7 @@ ORACLES: dict[str, str] = {
     "clean_dropna": f"""WITH {RAW} SELECT * FROM raw WHERE session_id IS NOT NULL AND aid IS NOT NULL
         AND ts IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL""",
     "clean_valid_types": f"WITH {RAW} SELECT * FROM raw WHERE event_type IN ({VALID})",
-    "clean_dedup": f"WITH {RAW} SELECT DISTINCT * FROM raw",
+    "clean_dedup": f"WITH {RAW} SELECT * FROM raw {SURVIVOR}",
     "ts_to_event_dt": f"""WITH {RAW} SELECT session_id, ts,
         make_timestamp((ts // 1000) * 1000000) AS event_dt,
         make_timestamp((ts // 1000) * 1000000)::DATE AS event_date FROM raw""",
@@ -288,7 +315,6 @@ ORACLES: dict[str, str] = {
     "build_events": f"""WITH {NORMALIZED}, {ASSIGNED}
         SELECT {RAW_EVENT} FROM normalized JOIN assigned USING (session_id)""",
     "enrich_profile": f"WITH {ENRICHED} SELECT {STG_COLUMNS} FROM enriched",
-    "weighted_attributes": f"SELECT c_custkey, {ATTRIBUTES} FROM customer",
     "encode_messages": MESSAGES,
     "limit_events": f"""WITH {NORMALIZED} SELECT * FROM normalized
         ORDER BY session_id, ts, aid NULLS FIRST, event_type NULLS FIRST LIMIT 5000""",
@@ -319,6 +345,7 @@ ORACLES: dict[str, str] = {
     "scan_users": f"""WITH {USERS} SELECT user_id, name, gender, age_group, region,
         NULL::VARCHAR AS city, NULL::VARCHAR AS email, NULL::VARCHAR AS phone, membership,
         preferred_device, NULL::VARCHAR AS signup_date FROM users""",
+    "incremental_run": f"WITH {ENRICHED} SELECT {STG_COLUMNS} FROM enriched",
     "stg_roundtrip": SELECT_STG,
     "scan_stg_pruned": f"""{SELECT_STG} WHERE event_date IN
         ({", ".join(f"DATE '{d}'" for d in queries.PRUNED_DAYS)})
@@ -329,11 +356,12 @@ ORACLES: dict[str, str] = {
         SELECT {STG_COLUMNS} FROM enriched WHERE event_date = DATE '{queries.REPLACED_DAY}'""",
     "mart_roundtrip": SELECT_FUNNEL,
     "jdbc_roundtrip_stg": SELECT_STG,
-    "jdbc_roundtrip_marts": f"WITH {STG}, {ALL_MARTS}, {_session('stg')} {MART_COUNTS}",
-    "stream_source_decode": MESSAGES,
-    "stream_raw_landing": SELECT_RAW,
+    "jdbc_roundtrip_marts": f"WITH {STG}, {ALL_MARTS}, {_session('stg')} {_mart_values()}",
+    "stream_source_decode": MESSAGES.replace(" FROM raw", ", NULL::VARCHAR AS _corrupt_record FROM raw"),
+    "stream_raw_landing": f"WITH {RAW} SELECT 'shop' AS topic, user_id AS key, {DAMAGED_VALUE} AS value FROM raw",
     "stream_type_counts": f"WITH {RAW} SELECT event_type, count(*) AS n FROM raw GROUP BY 1",
-    "stream_clean": SELECT_STG,
+    "stream_clean": f"""WITH {STG} SELECT session_id, aid, ts, event_dt, event_date, event_type, user_id
+        FROM stg""",
     "stream_funnel": SELECT_FUNNEL,
     "daily_run_counts": f"""WITH {ENRICHED}, {ALL_MARTS}, {_session('enriched')}
         SELECT 'raw' AS step, count(*) AS rows, NULL::BIGINT AS sessions FROM raw

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import schemas
-from clickmart.fixed_values import AGE_GROUPS, GENDERS, MART_TABLES, STG_TABLE
+from clickmart.fixed_values import AGE_GROUPS, GENDERS, MART_TABLES, PROFILE_COLUMNS, STG_TABLE
 from clickmart.functions.rates import rate
 from clickmart.functions.times import utc_time
 from clickmart.operators import clean, ingest, marts, profile, quality
@@ -21,7 +21,7 @@ from clickmart.streaming import events as streams
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-REPLACED_DAY = "2024-01-15"
+REPLACED_DAY, NEXT_DAY = "2024-01-15", "2024-01-16"
 PRUNED_DAYS = ("2024-01-10", "2024-01-11", "2024-01-12")
 PRUNED_TYPES = ("cart", "order")
 RANGE_MS = (1_704_412_800_000, 1_706_140_800_000)
@@ -182,14 +182,6 @@ def enrich_profile(spark, sf_dir):
     return ingest.enrich(fixtures.stg(spark, sf_dir), fixtures.users(spark, sf_dir))
 
 
-@query
-def weighted_attributes(spark, sf_dir):
-    customers = fixtures.table(spark, sf_dir, "customer").select("c_custkey")
-    for name, weights in fixtures.USER_ATTRIBUTES.items():
-        customers = ingest.weighted_attribute(customers, "c_custkey", name, weights)
-    return customers
-
-
 @query
 def encode_messages(spark, sf_dir):
     # The value is compared by its fields: the two JSON texts differ in white space.
@@ -329,6 +321,19 @@ def incremental_day(spark, sf_dir):
     return files.read_stg(spark, path)
 
 
+@query
+def incremental_run(spark, sf_dir):
+    # A seventh of the events arrive a day late; the first arrival day is run a second time at the end.
+    base, raw, users = files.scratch_dir(spark, "shop"), fixtures.raw(spark, sf_dir), fixtures.users(spark, sf_dir)
+    late = F.when(F.col("ts") % 7 == 0, 1).otherwise(0)
+    arrival = F.date_add(fixtures.arrival().cast("date"), late)
+    first, second = (F.to_date(F.lit(d)) for d in (REPLACED_DAY, NEXT_DAY))
+    daily.stage(spark, raw.filter((arrival != first) & (arrival != second)), base, users)
+    for day in (first, second, first):
+        stg = daily.stage(spark, raw.filter(arrival == day), base, users, merge=True)
+    return stg
+
+
 @query
 def mart_roundtrip(spark, sf_dir):
     base = files.scratch_dir(spark, "mart")
@@ -361,6 +366,23 @@ def jdbc_roundtrip_stg(spark, sf_dir):
     return jdbc.read_table(spark, url, STG_TABLE, options, split="ts")
 
 
+def mart_numbers(name: str) -> list[str]:
+    """Number columns of a mart beside its key."""
+    fields = (part.split() for part in schemas.MARTS[name].split(", "))
+    return [c for c, kind in fields if kind in ("BIGINT", "DOUBLE") and c not in schemas.CONTRACTS[name].key]
+
+
+def _loaded_values(spark: SparkSession, url: str, options: dict[str, str], name: str) -> DataFrame:
+    """Every number that the database has of a mart, and whether its load time is set."""
+    table = jdbc.read_table(spark, url, MART_TABLES[name], options)
+    key = F.concat_ws("|", *(F.col(c).cast("string") for c in schemas.CONTRACTS[name].key))
+    wide = table.select(
+        F.lit(name).alias("mart"), key.alias("key"), F.col("created_at").isNotNull().alias("created"),
+        *(F.col(c).cast("double") for c in mart_numbers(name)),
+    )
+    return wide.unpivot(["mart", "key", "created"], mart_numbers(name), "column", "value")
+
+
 @query
 def jdbc_roundtrip_marts(spark, sf_dir):
     url, options = _database(spark)
@@ -368,53 +390,52 @@ def jdbc_roundtrip_marts(spark, sf_dir):
     stg = fixtures.stg(spark, sf_dir)
     for name in MART_TABLES:
         files.write_mart(marts.build(stg, name), base, name)
-    loaded = jdbc.load_marts(spark, base, url, options, audit=True)
-    return spark.createDataFrame(list(loaded.items()), "mart STRING, rows BIGINT")
+    jdbc.load_marts(spark, base, url, options, audit=True)
+    return reduce(DataFrame.unionByName, (_loaded_values(spark, url, options, name) for name in MART_TABLES))
 
 
 # Streams
 
 
-def _message_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _message_stream(spark: SparkSession, sf_dir: str, damaged: bool = False) -> DataFrame:
     path = files.scratch_dir(spark, "messages")
-    fixtures.messages(spark, sf_dir).write.parquet(path)
+    messages = fixtures.damaged_messages if damaged else fixtures.messages
+    messages(spark, sf_dir).write.parquet(path)
     return spark.readStream.schema(schemas.MESSAGE).parquet(path)
 
 
 @query
 def stream_source_decode(spark, sf_dir):
     path = files.scratch_dir(spark, "decoded")
-    decoded = streams.decode(_message_stream(spark, sf_dir), schemas.EVENT)
+    decoded = streams.decode(_message_stream(spark, sf_dir), schemas.EVENT, corrupt=True)
     streams.start_append(decoded, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
-    return spark.read.schema(f"topic STRING, key STRING, {schemas.EVENT}").parquet(path)
+    schema = f"topic STRING, key STRING, {schemas.EVENT}, {files.CORRUPT} STRING"
+    return spark.read.schema(schema).parquet(path)
 
 
 @query
 def stream_raw_landing(spark, sf_dir):
     path = files.scratch_dir(spark, "landed")
-    events = streams.decode(_message_stream(spark, sf_dir)).drop("topic", "key")
-    streams.land_raw(events, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
-    return files.read_landed(spark, path)
+    messages = _message_stream(spark, sf_dir, damaged=True)
+    streams.land_raw(messages, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    return files.read_messages(spark, path)
 
 
 @query
 def stream_type_counts(spark, sf_dir):
     path = files.scratch_dir(spark, "type-counts")
     counts = streams.type_counts(streams.decode(_message_stream(spark, sf_dir)))
-    streams.start_batches(
-        counts, "complete", path, f"{path}-offsets", streams.DRAIN, files=1
-    ).awaitTermination()
-    return streams.read_batches(spark, path, "event_type STRING, n BIGINT", latest=True)
+    streams.start_totals(counts, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    return streams.read_totals(spark, path, "event_type STRING, n BIGINT")
 
 
 @query
 def stream_clean(spark, sf_dir):
     path = files.scratch_dir(spark, "cleaned")
     cleaned = streams.clean(streams.decode(_message_stream(spark, sf_dir)), "60 days")
-    streams.start_batches(
-        cleaned, "update", path, f"{path}-offsets", streams.DRAIN
-    ).awaitTermination()
-    return streams.read_batches(spark, path, schemas.STG)
+    streams.start_batches(cleaned, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    # Of copies with different profiles the first to arrive stays, so these columns are left out.
+    return files.read_stg(spark, path).drop(*PROFILE_COLUMNS)
 
 
 @query
@@ -422,10 +443,8 @@ def stream_funnel(spark, sf_dir):
     source, path = files.scratch_dir(spark, "stg"), files.scratch_dir(spark, "funnel")
     files.write_stg(fixtures.stg(spark, sf_dir), source)
     stg = spark.readStream.schema(schemas.STG).parquet(source)
-    streams.start_batches(
-        streams.funnel(stg), "complete", path, f"{path}-offsets", streams.DRAIN, files=1
-    ).awaitTermination()
-    return streams.read_batches(spark, path, schemas.MARTS["funnel_daily"], latest=True)
+    streams.start_totals(streams.funnel(stg), path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    return streams.read_totals(spark, path, schemas.MARTS["funnel_daily"])
 
 
 # The daily run

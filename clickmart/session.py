@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Container
+
 from pyspark.sql import SparkSession
 
 COMMON_SETTINGS = {
@@ -35,9 +37,13 @@ STREAM_SETTINGS = {
 }
 
 
-def configured(builder: SparkSession.Builder, streaming: bool = False) -> SparkSession.Builder:
-    """``builder`` with the settings for batch jobs, or for streams."""
+def configured(
+    builder: SparkSession.Builder, streaming: bool = False, given: Container[str] = ()
+) -> SparkSession.Builder:
+    """``builder`` with the settings for batch jobs, or for streams, but for those that are ``given``."""
     settings = COMMON_SETTINGS | (STREAM_SETTINGS if streaming else BATCH_SETTINGS)
     for key, value in settings.items():
+        if key in given:
+            continue
         builder = builder.config(key, value)
     return builder

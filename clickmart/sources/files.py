@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 
 from clickmart import schemas
 from clickmart.fixed_values import UNKNOWN_TYPE
+from clickmart.operators.ingest import CORRUPT, from_messages
 
-CORRUPT = "_corrupt_record"
 LANDING_PARTS = ("et", "y", "m", "d", "h")
 
 
@@ -29,7 +29,7 @@ def is_local(spark: SparkSession) -> bool:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder in the shared folder that ``spark.checkpoint.dir`` names.
 
-    Without that setting only a local session gets one, in the temporary folder of the machine.
+    Without that setting only a local session gets one, as in tests: a folder of the machine.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -39,6 +39,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/clickmart/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_table(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """The rows as a written table in a scratch folder."""
+    path = scratch_dir(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at a path of any file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def remove_batches(spark: SparkSession, path: str, before: int) -> None:
+    """Remove the folders ``batch=<id>`` of ``path`` with a smaller id."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in system.listStatus(place):
+        name = folder.getPath().getName()
+        if name.startswith("batch=") and int(name.removeprefix("batch=")) < before:
+            system.delete(folder.getPath(), True)
+
+
 # Session log and users
 
 
@@ -75,7 +98,8 @@ def landing_parts(event_type: Column, arrival: Column) -> list[Column]:
 def write_raw(events: DataFrame, base: str, arrival: Column) -> None:
     """Land events as JSON lines by type and arrival hour."""
     parts = landing_parts(F.col("event_type"), arrival)
-    landed = events.select("*", *parts)
+    # Without the rebalance every input partition would write a file into every folder.
+    landed = events.select("*", *parts).hint("rebalance", *LANDING_PARTS)
     landed.write.mode("overwrite").partitionBy(*LANDING_PARTS).json(base)
 
 
@@ -104,20 +128,35 @@ def read_raw(
 
 
 def read_landed(
-    spark: SparkSession, base: str, types: Sequence[str] = (), days: Sequence[str] = ()
+    spark: SparkSession,
+    base: str,
+    types: Sequence[str] = (),
+    days: Sequence[str] = (),
+    corrupt: bool = False,
 ) -> DataFrame:
-    """Raw events that a landing stream has committed to ``base``.
+    """Raw events of the messages that a landing stream has committed to ``base``.
+
+    With ``corrupt``, a message that could not be read whole is kept in ``_corrupt_record``.
 
     Reading the folder as a whole goes through the sink's log, so files of failed attempts do not
     count; ``types`` and ``days`` prune folders.
     """
+    landed = read_messages(spark, base, types, days)
+    names = [*schemas.columns(schemas.RAW), *([CORRUPT] if corrupt else [])]
+    return from_messages(landed, schemas.RAW, corrupt).select(*names)
+
+
+def read_messages(
+    spark: SparkSession, base: str, types: Sequence[str] = (), days: Sequence[str] = ()
+) -> DataFrame:
+    """Landed messages as they were delivered: ``topic``, ``key``, ``value``."""
     parts = ", ".join(f"{name} STRING" for name in LANDING_PARTS)
-    landed = spark.read.schema(f"{schemas.RAW}, {parts}").json(base)
+    landed = spark.read.schema(f"{schemas.MESSAGE}, {parts}").json(base)
     if types:
         landed = landed.filter(F.col("et").isin(*types))
     if days:
         landed = landed.filter(F.concat_ws("-", "y", "m", "d").isin(*days))
-    return landed.select(*schemas.columns(schemas.RAW))
+    return landed.select(*schemas.columns(schemas.MESSAGE))
 
 
 # Staging table
@@ -159,6 +198,16 @@ def replace_day(stg: DataFrame, path: str, day: str) -> None:
     balanced.write.mode("overwrite").partitionBy("event_type").parquet(folder)
 
 
+def replace_days(stg: DataFrame, path: str) -> None:
+    """Replace the (day, type) folders that ``stg`` has rows of; all others stay.
+
+    ``stg`` must not be read from ``path`` itself.
+    """
+    balanced = stg.hint("rebalance", *schemas.STG_PARTITIONS)
+    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*schemas.STG_PARTITIONS).parquet(path)
+
+
 # Marts
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -10,56 +12,57 @@ from clickmart import schemas
 from clickmart.fixed_values import EVENT_KEYS, FLUSH_SECONDS
 from clickmart.functions.times import FIRST_MS, utc_time
 from clickmart.operators.clean import add_event_time, drop_null_core, keep_valid_types
+from clickmart.operators.ingest import from_messages
 from clickmart.operators.marts import funnel_daily
-from clickmart.sources.files import LANDING_PARTS, landing_parts
+from clickmart.sources.files import LANDING_PARTS, landing_parts, remove_batches
 
 EVERY_FLUSH = {"processingTime": f"{FLUSH_SECONDS} seconds"}
 DRAIN = {"availableNow": True}
 
 
-def decode(messages: DataFrame, schema: str = schemas.RAW) -> DataFrame:
-    """Messages of all topics to events; a value that is not JSON gives an event of NULLs."""
-    event = F.from_json(F.col("value").cast("string"), schema).alias("event")
-    return messages.select("topic", F.col("key").cast("string").alias("key"), event).select(
-        "topic", "key", "event.*"
-    )
+decode = from_messages
 
 
 def land_raw(
-    events: DataFrame, base: str, checkpoint: str, trigger: dict | None = None
+    messages: DataFrame, base: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Land a stream in the raw zone by type and hour of arrival, each event exactly once.
+    """Land messages (``topic``, ``key``, ``value``) verbatim, by type and hour of arrival, exactly once.
 
-    Offsets are committed with the files, so a restart neither loses nor repeats events.
+    The value is only decoded to find the folder, so broken texts, unknown keys and wrong types stay
+    as they came, and the raw zone can be read again with another schema. Offsets are committed with
+    the files, so a restart neither loses nor repeats messages.
     """
     arrival = utc_time(F.unix_millis(F.current_timestamp()))
-    landed = events.select("*", *landing_parts(F.col("event_type"), arrival))
+    text = messages.select("topic", *(F.col(c).cast("string").alias(c) for c in ("key", "value")))
+    kind = F.from_json("value", "event_type STRING")["event_type"]
+    landed = text.select("*", *landing_parts(kind, arrival))
     writer = landed.writeStream.format("json").partitionBy(*LANDING_PARTS)
     writer = writer.option("path", base).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or EVERY_FLUSH)).start()
 
 
+def _sound() -> Column:
+    # A time ahead of the clock must not carry the watermark along.
+    return F.col("ts").between(F.lit(FIRST_MS), F.unix_millis(F.current_timestamp()))
+
+
 def clean(events: DataFrame, delay: str) -> DataFrame:
-    """Streaming form of the batch cleaning, for ``start_batches`` in update mode.
+    """Streaming form of the batch cleaning, for ``start_batches`` in append mode.
 
-    Copies of an event up to ``delay`` apart in event time are removed, also across batches: an
-    event is emitted in the batch that saw its first copy. Being an aggregate, copies are combined
-    before the shuffle. Events later than ``delay`` are dropped by the watermark; they stay in the
-    raw zone for the batch job.
+    The first copy of an event to arrive stays; copies up to ``delay`` later in event time are removed,
+    also across batches. Which one is first does not depend on a clock, and keys leave the state
+    with the watermark. Events later than ``delay`` are dropped by it; they stay in the raw zone for
+    the batch job, as do those of ``unsound``.
     """
-    valid = keep_valid_types(drop_null_core(events))
-    # A time ahead of the clock must not carry the watermark along; such an event has no instant,
-    # and its key stays in the state.
-    sound = F.col("ts").between(F.lit(FIRST_MS), F.unix_millis(F.current_timestamp()))
-    timed = valid.withColumn("instant", F.when(sound, F.timestamp_millis("ts")))
-    timed = timed.withColumn("batch_time", F.current_timestamp()).withWatermark("instant", delay)
-    rest = [c for c in schemas.columns(schemas.RAW) if c not in EVENT_KEYS]
-    seen = timed.groupBy(*EVENT_KEYS, "instant").agg(
-        F.min(F.struct(*rest)).alias("rest"), F.min("batch_time").alias("first_batch")
-    )
-    fresh = seen.filter(F.col("first_batch") == F.current_timestamp())
-    rows = fresh.select(*EVENT_KEYS, "rest.*")
-    return add_event_time(rows).select(*schemas.columns(schemas.STG))
+    valid = keep_valid_types(drop_null_core(events)).filter(_sound())
+    timed = valid.withColumn("instant", F.timestamp_millis("ts")).withWatermark("instant", delay)
+    fresh = timed.dropDuplicatesWithinWatermark(list(EVENT_KEYS)).drop("instant")
+    return add_event_time(fresh).select(*schemas.columns(schemas.STG))
+
+
+def unsound(events: DataFrame) -> DataFrame:
+    """Valid events that ``clean`` leaves out: their time is ahead of the clock or out of all range."""
+    return keep_valid_types(drop_null_core(events)).filter(~_sound())
 
 
 def type_counts(events: DataFrame) -> DataFrame:
@@ -82,35 +85,53 @@ def start_append(
 
 def start_batches(
     frame: DataFrame,
-    mode: str,
     path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    files: int | None = None,
+    partitions: Sequence[str] = schemas.STG_PARTITIONS,
+    spread: int = 2,
+) -> StreamingQuery:
+    """Write every micro-batch of an append-mode ``frame`` to its own folder ``batch=<id>`` of ``path``.
+
+    A batch is laid out like the staging table, with ``spread`` files per (day, type) at most, so
+    ``read_stg`` reads ``path`` and prunes it. A batch that is run again replaces its folder: its rows
+    count once. (Micro-batches run without adaptive execution, hence no rebalance here.)
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        part = F.pmod(F.xxhash64(*batch.columns), F.lit(spread))
+        balanced = batch.repartition(*partitions, part)
+        balanced.write.mode("overwrite").partitionBy(*partitions).parquet(f"{path}/batch={batch_id}")
+
+    writer = frame.writeStream.outputMode("append").foreachBatch(write)
+    writer = writer.option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or EVERY_FLUSH)).start()
+
+
+def start_totals(
+    frame: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write every micro-batch of ``frame`` to its own folder ``batch=<id>`` of ``path``.
+    """Write the totals of a complete-mode ``frame`` after every micro-batch.
 
-    A batch that is run again after a failure replaces its folder, so its rows count once.
-    A folder has one file per state partition, or as many as ``files`` says.
+    A batch's totals get a folder of their own; when it is written, all but the one before it go, so
+    a reader always finds whole totals and old ones do not pile up.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.repartition(files) if files else batch
-        rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        # Totals are a few rows.
+        batch.coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        remove_batches(batch.sparkSession, path, before=batch_id - 1)
 
-    writer = frame.writeStream.outputMode(mode).foreachBatch(write)
+    writer = frame.writeStream.outputMode("complete").foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or EVERY_FLUSH)).start()
 
 
-def read_batches(spark: SparkSession, path: str, schema: str, latest: bool = False) -> DataFrame:
-    """What ``start_batches`` wrote: all batches, or the ``latest`` (for complete mode)."""
-    names = schemas.columns(schema)
+def read_totals(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The last totals that ``start_totals`` wrote."""
     rows = spark.read.schema(f"{schema}, batch BIGINT").parquet(path)
-    if latest:
-        last = rows.agg(F.max("batch")).first()[0]
-        rows = rows.filter(F.col("batch") == last)
-    return rows.select(*names)
+    last = rows.agg(F.max("batch")).first()[0]
+    return rows.filter(F.col("batch") == last).select(*schemas.columns(schema))
 
 
 def events_per_second(query: StreamingQuery) -> float | None:

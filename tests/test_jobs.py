@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from test_ingest import same
 
 from clickmart import jobs
@@ -34,7 +36,7 @@ def database(spark):
 
 def test_jobs_one_after_the_other(spark, sf_dir, shop, database, capsys):
     url, options = database
-    jobs.main(["transform", "--raw", f"{shop}/raw", "--landed", "--users", f"{shop}/users", "--base", shop])
+    jobs.main(["transform", "--raw", f"{shop}/raw", "--ext", "json", "--users", f"{shop}/users", "--base", shop])
     expected = ingest.enrich(fixtures.stg(spark, sf_dir), fixtures.users(spark, sf_dir))
     assert same(files.read_stg(spark, daily.stg_path(shop)), expected)
     jobs.main(["check", "--base", shop])
@@ -46,17 +48,60 @@ def test_jobs_one_after_the_other(spark, sf_dir, shop, database, capsys):
         assert jdbc.count_rows(spark, url, table, options) == rows > 0
     jobs.main(["load-stg", "--base", shop])
     assert jdbc.count_rows(spark, url, "stg_events", options) == expected.count()
-    jobs.main(["load-stg", "--base", shop, "--days", "2024-01-15"])
-    day = expected.filter("event_date = date'2024-01-15'").count()
-    assert jdbc.count_rows(spark, url, "stg_events", options) == expected.count() + day
+    with pytest.raises(ValueError, match="already has rows"):
+        jobs.main(["load-stg", "--base", shop, "--days", "2024-01-15"])
+    assert jdbc.count_rows(spark, url, "stg_events", options) == expected.count()
+
+
+def test_a_day_is_loaded_once(spark, sf_dir, database, tmp_path):
+    url, options = database
+    stg = fixtures.stg(spark, sf_dir)
+    files.write_stg(stg.filter("event_date < date'2024-01-15'"), f"{tmp_path}/stg")
+    loaded = jdbc.load_stg(spark, f"{tmp_path}/stg", url, options)
+    files.write_stg(stg, f"{tmp_path}/stg")
+    day = jdbc.load_stg(spark, f"{tmp_path}/stg", url, options, days=("2024-01-15",))
+    assert day == stg.filter("event_date = date'2024-01-15'").count() > 0
+    with pytest.raises(ValueError, match="already has rows"):
+        jdbc.load_stg(spark, f"{tmp_path}/stg", url, options, days=("2024-01-15",))
+    assert jdbc.count_rows(spark, url, "stg_events", options) == loaded + day
+
+
+def test_a_broken_contract_stops_the_load(spark, sf_dir, database, tmp_path):
+    url, options = database
+    stg = fixtures.stg(spark, sf_dir).withColumn("user_id", F.repeat("user_id", F.lit(70)))
+    files.write_stg(stg, f"{tmp_path}/stg")
+    with pytest.raises(ValueError, match="length.user_id"):
+        jdbc.load_stg(spark, f"{tmp_path}/stg", url, options)
+    daily.build_marts(spark, stg, str(tmp_path))
+    with pytest.raises(ValueError, match="mart_session"):
+        jdbc.load_marts(spark, daily.mart_base(str(tmp_path)), url, options)
+
 
+def test_a_missing_database_is_named(shop):
+    with pytest.raises(ValueError, match="spark.clickmart.jdbc.url"):
+        jobs.main(["load-marts", "--base", shop])
 
-def test_run_of_one_raw_day_and_type(spark, shop, tmp_path):
-    jobs.main(["run", "--raw", f"{shop}/raw", "--ext", "json", "--days", "2024-01-15", "--types", "cart",
-               "--base", str(tmp_path)])
+
+def test_a_run_over_one_arrival_day_leaves_all_other_days(spark, shop, tmp_path):
+    base, raw = str(tmp_path), ["--raw", f"{shop}/raw", "--ext", "json", "--base", str(tmp_path)]
+    jobs.main(["run", *raw])
+    whole = files.read_stg(spark, daily.stg_path(base)).collect()
+    for _ in range(2):
+        jobs.main(["run", *raw, "--days", "2024-01-15"])
+        assert Counter(files.read_stg(spark, daily.stg_path(base)).collect()) == Counter(whole)
+    funnel = files.read_mart(spark, daily.mart_base(base), "funnel_daily")
+    assert funnel.count() == len({r.event_date for r in whole})
+
+
+def test_a_first_run_may_have_days(spark, shop, tmp_path):
+    jobs.main(["transform", "--raw", f"{shop}/raw", "--ext", "json", "--days", "2024-01-15", "--base", str(tmp_path)])
     stg = files.read_stg(spark, daily.stg_path(str(tmp_path)))
-    kinds = {(str(r.event_date), r.event_type) for r in stg.select("event_date", "event_type").distinct().collect()}
-    assert kinds == {("2024-01-15", "cart")}
+    assert {str(r[0]) for r in stg.select("event_date").distinct().collect()} == {"2024-01-15"}
+
+
+def test_types_do_not_restrict_a_run(shop, tmp_path):
+    with pytest.raises(ValueError, match="all types"):
+        jobs.main(["run", "--raw", f"{shop}/raw", "--types", "cart", "--base", str(tmp_path)])
 
 
 def test_check_fails_on_an_empty_table(spark, shop, tmp_path):
@@ -68,7 +113,7 @@ def test_check_fails_on_an_empty_table(spark, shop, tmp_path):
 def test_user_stats(shop, capsys):
     jobs.main(["user-stats", "--users", f"{shop}/users"])
     out = capsys.readouterr().out
-    assert "플래티넘" in out and "서울" in out
+    assert "MACHINERY" in out and "50대" in out
 
 
 def test_missing_options_are_refused():

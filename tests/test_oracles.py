@@ -9,9 +9,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
-
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from clickmart.plans.oracles import ORACLES
+from clickmart.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")

@@ -67,6 +67,13 @@ def test_cleaning_filters_before_the_only_shuffle(spark, sf_dir, tmp_path):
     assert "IsNotNull(aid)" in pushed and "In(event_type" in pushed
 
 
+def test_cohorts_are_combined_by_hash(stg):
+    text = plan(marts.cohort(stg))
+    assert "ObjectHashAggregate" not in text and "SortAggregate" not in text
+    scan = text[text.rindex("Exchange hashpartitioning"):]
+    assert "HashAggregate" in scan and "Sort " not in scan
+
+
 def test_checks_combine_copies_before_the_shuffle(stg):
     text = plan(quality.run_checks(stg))
     assert shuffles(quality.run_checks(stg)) == 1 and "SortAggregate" not in text
@@ -74,12 +81,12 @@ def test_checks_combine_copies_before_the_shuffle(stg):
 
 
 def test_small_dimensions_are_broadcast_and_large_ones_are_not(stg, spark, sf_dir):
-    users = fixtures.users(spark, sf_dir)
+    users = files.scratch_table(spark, fixtures.users(spark, sf_dir), "users")
     assert "BroadcastHashJoin" in plan(ingest.enrich(stg, users))
     assert shuffles(ingest.enrich(stg, users)) == 0
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(ingest.enrich(stg, users, broadcast_bytes=0))
+        text = plan(ingest.enrich(stg, users))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in text and "Broadcast" not in text

@@ -51,15 +51,12 @@ def test_unreadable_lines_lose_fields_not_the_job(spark, tmp_path):
     assert {(r.session_id, r.aid) for r in rows} == {(None, None), (None, 1), (3, None)}
 
 
-def test_landed_events_are_pruned_by_folder(spark, tmp_path):
+def test_raw_events_are_pruned_by_folder(spark, tmp_path):
     events = raw(spark, (1, 1, 0, "click", "u"), (2, 1, 86_400_000, "cart", "u"), (3, 1, 5, None, "u"))
     base = str(tmp_path / "zone")
     files.write_raw(events, base, fixtures.arrival())
     assert os.path.isdir(f"{base}/et=click/y=1970/m=01/d=01/h=00")
     assert os.path.isdir(f"{base}/et=unknown")
-    assert same(files.read_landed(spark, base), events)
-    assert ids(files.read_landed(spark, base, types=["cart"])) == [2]
-    assert ids(files.read_landed(spark, base, days=["1970-01-01"])) == [1, 3]
     assert same(files.read_raw(spark, base, ext="json"), events)
     assert ids(files.read_raw(spark, base, ext="json", days=["1970-01-02"])) == [2]
 
@@ -187,7 +184,8 @@ def test_load_stops_at_the_first_failure(spark, database, tmp_path):
     files.write_mart(marts.build(stg, "funnel_daily"), str(tmp_path), "funnel_daily")
     with pytest.raises(Exception, match="session"):
         jdbc.load_marts(spark, str(tmp_path), url, options)
-    assert jdbc.count_rows(spark, url, "mart_funnel_daily", options) == 1
+    with pytest.raises(Exception, match="(?i)mart_funnel_daily"):
+        jdbc.count_rows(spark, url, "mart_funnel_daily", options)
 
 
 def test_daily_run_from_raw_files_to_the_database(spark, database, sf_dir, tmp_path):
@@ -207,9 +205,13 @@ def test_daily_run_from_raw_files_to_the_database(spark, database, sf_dir, tmp_p
 def test_daily_run_with_a_large_user_dimension_gives_the_same_table(spark, sf_dir, tmp_path):
     events, users = fixtures.raw(spark, sf_dir), fixtures.users(spark, sf_dir)
     small = daily.run(spark, events, f"{tmp_path}/a", users)
-    large = daily.run(spark, events, f"{tmp_path}/b", users, broadcast_bytes=0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = daily.run(spark, events, f"{tmp_path}/b", users)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert same(small, large)
-    assert not Path(f"{tmp_path}/a/cleaned").exists() and Path(f"{tmp_path}/b/cleaned").exists()
+    assert sorted(p.name for p in tmp_path.glob("b/*")) == ["mart", "stg"]
     assert same(files.read_stg(spark, f"{tmp_path}/a/stg"), files.read_stg(spark, f"{tmp_path}/b/stg"))
 
 
