@@ -185,9 +185,9 @@ def links(nodes: DataFrame, bits: int = BITS) -> DataFrame:
     lists = [F.col("fp").bitwiseAND(F.lit(_mask(c))) for c in choices(bits)]
     index = nodes.select("fp", F.posexplode(F.array(*lists)).alias("pos", "at"))
     n = common.partitions(nodes.sparkSession)
-    return common.map_arrow(
-        index.repartition(n, "pos", "at").sortWithinPartitions("pos", "at"), _links, "a long, b long", bits
-    )
+    # Sorted to the last column, so a task that is repeated emits the same tree.
+    dealt = index.repartition(n, "pos", "at").sortWithinPartitions("pos", "at", "fp")
+    return common.map_arrow(dealt, _links, "a long, b long", bits)
 
 
 def groups(
