@@ -73,6 +73,8 @@ _markup = re.compile(
     re.DOTALL,
 )
 _attribute = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(hidden)\b")
+#: Classes that tell what an element has, not what it is.
+_states = re.compile(r"(?:has|no|with|without|is)[-_]").match
 _words = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
@@ -161,7 +163,8 @@ class Page:
             return
         _, path, beside, inside = self.open[-1]
         found = _attributes(raw) if raw else {}
-        words = [w.lower() for x in ("class", "id") for w in _words.findall(found.get(x, ""))]
+        marks = [m for x in ("class", "id") for m in found.get(x, "").split() if not _states(m)]
+        words = [w.lower() for m in marks for w in _words.findall(m)]
         if name not in ("html", "body"):
             beside = (
                 beside or name in BESIDE or found.get("role", "").lower() in BESIDE_ROLES
