@@ -189,8 +189,12 @@ def held_out(id: Column) -> Column:
 
 def _sample(rows: DataFrame, n: int) -> np.ndarray:
     """The features of the ``n`` rows with the smallest hashes of id and features."""
-    order = F.xxhash64(F.lit(17), "_id", "x")
-    found = rows.select(order.alias("o"), "x").orderBy("o").limit(n).select("x").toArrow()
+    hashed = rows.select(F.xxhash64(F.lit(17), "_id", "x").alias("o"), "x")
+    total = rows.count()
+    if total > 4 * n:
+        # Twice as many as needed pass, so that the order is made of them, not of n rows of every partition.
+        hashed = hashed.filter(F.col("o") < -(1 << 63) + (2 * n * (1 << 64)) // total)
+    found = hashed.orderBy("o").limit(n).select("x").toArrow()
     flat = found["x"].combine_chunks() if found.num_rows else None
     return flat.flatten().to_numpy().reshape(-1, WIDTH).astype(np.float64) if found.num_rows else np.zeros((0, WIDTH))
 

@@ -128,6 +128,14 @@ def test_odd_rows_and_no_labels(spark, frame, odd_rows):
     assert pu_classifier.scores(frame([]), labels).count() == 0
 
 
+def test_samples_are_bounded_and_do_not_depend_on_the_partitioning(spark):
+    rows = [(i, [float(i)] + [0.0] * (pu_classifier.WIDTH - 1)) for i in range(2000)]
+    known = spark.createDataFrame(rows, "_id long, x array<float>")
+    for n in (0, 50, 3000):
+        one, two = (pu_classifier._sample(known.repartition(k), n) for k in (1, 7))
+        assert one.shape == two.shape == (min(n, 2000), pu_classifier.WIDTH) and (one == two).all()
+
+
 def test_the_prior_is_near_the_share_of_positives():
     rng = np.random.default_rng(0)
     pos, neg = rng.normal(2, 1, (4000, 5)), rng.normal(-2, 1, (4000, 5))
@@ -154,6 +162,7 @@ NAV = "<nav><ul><li><a href='/a'>Home</a></li></ul></nav>"
         (page("<article><p>in</p><aside>side</aside><form>f</form><section class='comments'><p>c</p></section></article>"),
          "in"),
         (page("<div class='sidebar'>s</div><div id='cookie-notice'>n</div><main><p>m</p></main><div class=ad>a</div>"), "m"),
+        (page("<div class='content has-sidebar no-ads'><p>c</p></div><div class='left-sidebar'>s</div>"), "c"),
         (page("<div class='post'><p>only text</p></div><div class='menu'>m</div>"), "only text"),
         ("<p>cut &am", "cut &am"), ("", ""), ("plain < text", "plain < text"), ("<article><p>a<p", "a"),
         (page("<article><p title='a > b'>quoted</p><p hidden>h</p><ul><li>1<li>2</ul></article>"), "quoted\n1\n2"),
