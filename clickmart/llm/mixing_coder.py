@@ -32,8 +32,8 @@ SHARE, CONTEXT = 10, 18
 LEVELS = 8
 #: Order 0 adds STEP to the count of an id, and halves all counts beyond MOST in total.
 STEP, MOST = 8, 1 << 19
-#: Steps after which the shared statistics take up what was seen (each of the first ones does).
-EVERY, FIRST = 8, 16
+#: The shared statistics take up what was seen after these first steps, and then after every so many.
+FIRST, EVERY = (1, 2, 4, 8), 16
 
 #: A lane gives out its upper 32 bits when its range falls below this.
 BOTTOM = np.uint64(1 << 32)
@@ -98,7 +98,7 @@ class _Model:
             table[place] = np.where(hit, found + (sure < LEVELS - 1), missed)
         self.pending.append(ids)
         self.steps += 1
-        if self.steps <= FIRST or self.steps % EVERY == 0:
+        if self.steps in FIRST or self.steps % EVERY == 0:
             at2, at1, missed2 = self.found2 & 7, self.found1 & 7, ~hit2
             self.tries[0] += np.bincount(at2, minlength=LEVELS)
             self.hits[0] += np.bincount(at2[hit2], minlength=LEVELS)

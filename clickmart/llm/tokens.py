@@ -45,7 +45,7 @@ class Encoder:
     case. Strings of special tokens in a text are ordinary text. ``most`` bounds the pieces kept.
     """
 
-    def __init__(self, path: str, keep_space: bool, most: int = 300_000) -> None:
+    def __init__(self, path: str, keep_space: bool, most: int = 500_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
@@ -64,6 +64,10 @@ class Encoder:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _word(self, word: str) -> bytes:
+        if word.isascii():
+            # ASCII letters stand for themselves in byte-level vocabularies, too; a space in front does not.
+            form = self.letters[32] + word[1:] if word[0] == " " else word
+            return array("I", [t.id for t in self.model.tokenize(form)]).tobytes()
         return array("I", [t.id for t in self.model.tokenize(word.translate(self.letters))]).tobytes()
 
     def _piece(self, piece: str) -> bytes:
