@@ -3,12 +3,15 @@
 Pages of one host come from templates. A page is read as a sequence of tokens: element starts, told apart by their path
 of block elements with classes. The occurrence vector of a token says how often each page of the host has it; tokens with
 equal vectors form an equivalence class (a vector is folded to the exclusive-or of a hash of every page and count,
-so tasks add theirs up before anything is shuffled, whatever the size of a host). Classes whose tokens enclose one
-another on every page are valid; each is nested into the class of its nearest outer token. That tree is the template; the
-text positions of its tokens are the slots. The template's main element is the one token, present once per page, that
-holds the article: an article or main element, else the innermost one that holds most of the text that differs
-between pages. Extraction reads the slots inside it, but for those of menus, headers, footers, sidebars,
-notices, adverts, forms, scripts, styles and comments.
+so tasks add theirs up before anything is shuffled, whatever the size of a host). A class is valid if on every page each
+of its outermost elements holds every other one of its tokens exactly once; a class that is not is split until its parts
+are. Each is nested into the class of its nearest outer token. Those trees are the templates; the text positions of the
+tokens are the slots. A template's main element is the token of a valid class, present once on each of the class's pages,
+that holds the article: an article or main element, else the innermost one that holds most of the text of those pages.
+
+A page is read by the classes it has: the first main element of the host that is on it. Extraction reads the slots
+inside, but for those of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, and
+but for texts that a slot repeats on nearly all pages of its class (``CONSTANT``, at least ``LEAST`` different pages).
 
 Text rules: character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by one line feed; nothing else is dropped.
@@ -22,7 +25,8 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections.abc import Iterator, Sequence, Set
 from typing import NamedTuple
 
 import pandas as pd
@@ -66,6 +70,11 @@ OUTER = frozenset(["header"])
 OUTER_WORDS = frozenset("header masthead banner side widget widgets toolbar topbar".split())
 MAIN = ("article", "main")
 
+#: Different pages of a host that a template must have, and that must repeat a text, unless it has half the host's pages.
+LEAST = 3
+#: Part of a class's different pages on which a slot's text is the template's.
+CONSTANT = 0.9
+
 _markup = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
     r"|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>?"
@@ -99,6 +108,10 @@ class Page:
 
     def __init__(self, source: str) -> None:
         self.elements: list[str] = []
+        #: Elements opened so far by path: the last one's number, and the most open elements that two of them share.
+        self.last: dict[str, int] = {}
+        self.shared: dict[str, int] = {}
+        self.numbers: list[int] = []
         self.blocks: list[Block] = []
         #: Open elements: name, path, whether beside the article, whether inside an article or main element.
         self.open: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
@@ -140,6 +153,7 @@ class Page:
     def _close_to(self, depth: int) -> None:
         self._flush()
         del self.open[depth:]
+        del self.numbers[depth - 1 :]
 
     def _start(self, name: str, raw: str) -> None:
         if name in INLINE:
@@ -174,7 +188,13 @@ class Page:
                 or (name in MAIN and not {"comment", "comments"}.isdisjoint(words))
                 or (not inside and name not in MAIN and (name in OUTER or not OUTER_WORDS.isdisjoint(words)))
             )
-        path = f"{path}/{name}" + "".join(f".{c}" for c in sorted(set(found.get("class", "").split())))
+        classes = sorted(set(found.get("class", "").replace("/", "|").split()))
+        path = f"{path}/{name}" + "".join(f".{c}" for c in classes)
+        if path in self.last:
+            shared = bisect_left(self.numbers, self.last[path])
+            self.shared[path] = max(shared, self.shared.get(path, 0))
+        self.last[path] = len(self.elements)
+        self.numbers.append(len(self.elements))
         self.elements.append(path)
         self.open.append((name, path, beside, inside or name in MAIN or found.get("role", "").lower() == "main"))
 
@@ -203,28 +223,44 @@ def is_main(path: str) -> bool:
     return any(step.partition(".")[0] in MAIN for step in path.split("/"))
 
 
-def main_text(source: str, element: str | None) -> str:
-    """The text in the template's main element; without one, in articles, else in all that is not beside one."""
+def slot_key(path: str, text: str) -> int:
+    """A slot and its text."""
+    return xxhash.xxh64_intdigest(f"{path} {text}") >> 1
+
+
+def main_text(source: str, element: str | Sequence[str] | None, constant: Set[int] = frozenset()) -> str:
+    """The text in the first main element of the templates that the page has; without one, in articles, else in all that
+    is not beside one. Texts of slots in ``constant`` are the template's."""
+    elements = [element] if isinstance(element, str) else element or []
     blocks = [b for b in Page(source).blocks if not b.beside]
-    chosen = [b for b in blocks if element and inside(b.path, element)]
-    chosen = chosen or [b for b in blocks if is_main(b.path)] or blocks
-    return "\n".join(b.text for b in chosen)
+    for main in elements:
+        chosen = [b for b in blocks if inside(b.path, main)]
+        if chosen:
+            break
+    else:
+        chosen = [b for b in blocks if is_main(b.path)] or blocks
+    return "\n".join(b.text for b in chosen if not constant or slot_key(b.path, b.text) not in constant)
 
 
 # Templates
 
+FIGURES = ["pages", "vector", "single", "free", "of", "shared"]
+
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per task, host and token: pages, folded occurrence vector, pages with one occurrence, and free text inside."""
+    """Per task, host and token: pages, folded occurrence vector, pages with one occurrence, free text inside and on all
+    of its pages, and the open elements that two occurrences share at most. Further rows have a slot's text and page
+    (hashes); those of every text have none."""
     held: dict[tuple[str, str], list[int]] = {}
+    slots: set[tuple[str, str, int | None, int]] = set()
 
     def out() -> pa.RecordBatch:
-        names = ["host", "token", "pages", "vector", "single", "free"]
-        keys, values = list(held), list(zip(*held.values(), strict=True))
-        columns = [pa.array([k[i] for k in keys], pa.string()) for i in (0, 1)]
-        return pa.RecordBatch.from_arrays(
-            columns + [pa.array(v, pa.int64()) for v in values], names=names
-        )
+        keys = [(*k, None, None) for k in held] + list(slots)
+        types = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate(types)]
+        for i in range(len(FIGURES)):
+            columns.append(pa.array([v[i] for v in held.values()] + [0] * len(slots), pa.int64()))
+        return pa.RecordBatch.from_arrays(columns, names=["host", "token", "text", "page", *FIGURES])
 
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("host", "_file", "_row")]
@@ -234,8 +270,12 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path in page.elements:
                 counts[path] = counts.get(path, 0) + 1
             free: dict[str, int] = {}
-            for block in page.blocks:
-                if not block.beside and block.free:
+            kept = [b for b in page.blocks if not b.beside]
+            same = xxhash.xxh64_intdigest("\n".join(b.text for b in kept)) >> 1
+            for block in kept:
+                slots.add((host, block.path, None, same))
+                slots.add((host, block.path, slot_key(block.path, block.text), same))
+                if block.free:
                     path = block.path
                     while True:
                         free[path] = free.get(path, 0) + block.free
@@ -243,50 +283,71 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             break
                         path = path.rpartition("/")[0]
             for path, n in counts.items():
-                figures = held.setdefault((host, path), [0, 0, 0, 0])
+                figures = held.setdefault((host, path), [0, 0, 0, 0, 0, 0])
                 figures[0] += 1
                 figures[1] ^= xxhash.xxh64_intdigest(f"{file} {row} {n}") >> 1
                 figures[2] += n == 1
                 figures[3] += free.get(path, 0)
-        if len(held) > 100_000:
+                figures[4] += free.get("", 0)
+                figures[5] = max(figures[5], page.shared.get(path, 0))
+        if len(held) + len(slots) > 100_000:
             yield out()
-            held = {}
+            held, slots = {}, set()
     if held:
         yield out()
 
 
 def deduce(tokens: pd.DataFrame) -> dict:
-    """Template of a host from its tokens: classes with their parents and slots, and the main element."""
+    """Templates of a host from its tokens: valid classes with their parents and slots, and the main elements, those to
+    be tried first in front."""
     pages = int(tokens.pages[tokens.token == ""].iloc[0])
     rows = {r.token: r for r in tokens.itertuples()}
-    classes: dict[tuple[int, int], list[str]] = {}
+    vectors: dict[tuple[int, int], list[str]] = {}
     for token in sorted(rows):
         if token:
-            classes.setdefault((rows[token].pages, rows[token].vector), []).append(token)
+            vectors.setdefault((rows[token].pages, rows[token].vector), []).append(token)
 
-    def outer(token: str) -> str:
-        """The nearest enclosing token of another class."""
-        own = rows[token].pages, rows[token].vector
+    def above(token: str) -> Iterator[str]:
         while token := token.rpartition("/")[0]:
-            if token in rows and (rows[token].pages, rows[token].vector) != own:
-                return token
-        return ""
+            if token in rows:
+                yield token
+
+    # As tokens of a class are equally many on every page, each element of an outer token holds one of an inner token
+    # exactly if none holds two. Tokens without such an outer token begin a class, which is valid by that.
+    classes: dict[str, list[str]] = {}
+    of: dict[str, str] = {}
+    for members in vectors.values():
+        own = set(members)
+        for token in members:
+            outer = next((t for t in above(token) if t in own and rows[token].shared < t.count("/")), None)
+            once = rows[token].single == rows[token].pages == pages
+            of[token] = of[outer] if outer else "" if once else token
+            classes.setdefault(of[token], []).append(token)
+    names = {first: i for i, first in enumerate(classes)}
+
+    def parent(members: list[str]) -> int:
+        """The class of the nearest enclosing token of another class."""
+        found = (next((names[of[t]] for t in above(m) if of[t] != of[m]), -1) for m in members)
+        return min(found)
 
-    names = {token: i for i, members in enumerate(classes.values()) for token in members}
     template = [
         {
-            "pages": key[0], "tokens": members, "parent": min((names.get(outer(t), -1) for t in members)),
+            "pages": int(rows[members[0]].pages), "tokens": members, "parent": parent(members),
             "slots": [t for t in members if rows[t].free],
         }
-        for key, members in classes.items()
+        for members in classes.values()
     ]
-    total = rows[""].free
-    # Once on nearly every page (truncated pages may lack it), with most of the free text inside.
-    once = [t for t, r in rows.items() if t and r.single == r.pages and 2 * r.pages >= pages]
-    named = [t for t in once if _name(t) in MAIN and 2 * rows[t].free > total]
-    holders = [t for t in once if _name(t) not in TEXTUAL and 4 * rows[t].free > 3 * total]
-    main = max(named or holders, key=lambda t: (t.count("/"), t), default=None)
-    return {"pages": pages, "classes": template, "main": main}
+    # Once on every page of the class, with most of the free text of those pages inside.
+    mains = []
+    for members in classes.values():
+        r = rows[members[0]]
+        if r.single == r.pages and (r.pages >= LEAST or 2 * r.pages >= pages):
+            named = [t for t in members if _name(t) in MAIN and 2 * rows[t].free > rows[t].of]
+            holders = [t for t in members if _name(t) not in TEXTUAL and 4 * rows[t].free > 3 * rows[t].of]
+            mains += [(bool(named), max(named or holders, key=lambda t: (t.count("/"), t)))] if named or holders else []
+    mains = [t for _, t in sorted(mains, key=lambda m: (m[0], m[1].count("/"), rows[m[1]].pages, m[1]), reverse=True)]
+    most = max(mains, key=lambda t: rows[t].pages, default=None)
+    return {"pages": pages, "classes": template, "mains": mains, "main": most}
 
 
 def host(url: Column) -> Column:
@@ -296,36 +357,51 @@ def host(url: Column) -> Column:
 
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Per host: number of ``pages``, the ``template`` as JSON, and its ``main`` element."""
+    """Per host: number of ``pages``, the ``template`` as JSON, the ``main`` element of most pages, all ``mains`` in the order in
+    which pages try them, and the ``constant`` texts of slots (hashes)."""
     rows = common.keyed(pages, host=host(F.col(url)), _text=html)
     counted = common.map_arrow(
-        rows, _tokens, "host string, token string, pages long, vector long, single long, free long"
+        rows, _tokens, "host string, token string, text long, page long, " + ", ".join(f"{c} long" for c in FIGURES)
+    )
+    added = {"vector": F.bit_xor, "shared": F.max}
+    tokens = common.stored(
+        counted.groupBy("host", "token", "text", "page").agg(*(added.get(c, F.sum)(c).alias(c) for c in FIGURES)),
+        "tokens",
     )
-    tokens = counted.groupBy("host", "token").agg(
-        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"),
-        F.sum("single").alias("single"), F.sum("free").alias("free"),
+    # Copies of a page count once, so that an article with copies is not taken for the template.
+    slots = tokens.filter("page IS NOT NULL").groupBy("host", "token", "text").agg(F.count("*").alias("n"))
+    slots = common.stored(slots.filter(f"n >= {LEAST}"), "slots")
+    sizes = tokens.filter("page IS NULL AND token = ''").select("host", F.col("pages").alias("of_host"))
+    every = slots.filter("text IS NULL").select("host", "token", F.col("n").alias("of")).join(sizes, "host")
+    every = every.filter("of * 50 >= of_host").drop("of_host")
+    constant = (
+        slots.filter("text IS NOT NULL").join(every, ["host", "token"]).filter(f"n >= {CONSTANT} * of")
+        .groupBy("host").agg(F.sort_array(F.collect_set("text")).alias("constant"))
     )
-    tokens = common.stored(tokens, "tokens")
-    sizes = tokens.filter("token = ''").select("host", F.col("pages").alias("of"))
+    tokens = tokens.filter("page IS NULL").drop("text", "page")
     # Tokens on at least a fiftieth of a host's pages: at most fifty times the tokens of a page, however large the host.
-    often = tokens.join(sizes, "host").filter("pages * 50 >= of").drop("of")
+    often = tokens.join(sizes, "host").filter("pages * 50 >= of_host").drop("of_host")
 
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         found = deduce(rows)
         return pd.DataFrame(
-            [[rows["host"].iloc[0], found["pages"], json.dumps(found["classes"]), found["main"]]],
-            columns=["host", "pages", "template", "main"],
+            [[rows["host"].iloc[0], found["pages"], json.dumps(found["classes"]), found["main"], found["mains"]]],
+            columns=["host", "pages", "template", "main", "mains"],
         )
 
-    return common.stored(
-        often.groupBy("host").applyInPandas(one, "host string, pages long, template string, main string"), "templates"
+    deduced = often.groupBy("host").applyInPandas(
+        one, "host string, pages long, template string, main string, mains array<string>"
     )
+    return common.stored(deduced.join(constant, "host", "left"), "templates")
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        mains = batch.column("main").to_pylist()
-        found = [main_text(t, m) for t, m in zip(common.texts(batch.column("_text")), mains, strict=True)]
+        columns = (batch.column(c).to_pylist() for c in ("mains", "constant"))
+        found = [
+            main_text(t, m, frozenset(c or ()))
+            for t, m, c in zip(common.texts(batch.column("_text")), *columns, strict=True)
+        ]
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), batch.column("_url"), pa.array(found, pa.string())], names=["_id", "_url", "text"]
         )
@@ -337,8 +413,8 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     total = found.agg(F.sum("pages")).first()[0] or 0
     rows = pages.select(F.col(id).alias("_id"), F.col(url).alias("_url"), F.col(html).alias("_text"),
                         host(F.col(url)).alias("host"))
-    both = common.attach(rows, found.select("host", "pages", "main"), ["host"], "pages", total)
+    both = common.attach(rows, found.select("host", "pages", "mains", "constant"), ["host"], "pages", total)
     kind = rows.schema["_id"].dataType.simpleString()
     return common.map_arrow(
-        both.select("_id", "_url", "_text", "main"), _extracted, f"_id {kind}, _url string, text string"
+        both.select("_id", "_url", "_text", "mains", "constant"), _extracted, f"_id {kind}, _url string, text string"
     )

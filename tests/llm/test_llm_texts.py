@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -196,6 +197,37 @@ def test_occurrence_vectors_make_classes(spark):
     assert found["main"] == "/html/body/article"
 
 
+def test_classes_choose_the_template_of_a_page_and_its_slots(spark):
+    rows = []
+    for i in range(16):
+        kind = "abcd"[i % 4]
+        text = f"<h2>H{i}</h2><p>{words((i * 40, i * 40 + 40))}</p>"
+        rows.append((i, "http://t.example/", page(f"<div class='{kind}'>{text}<div class='k'>Thanks for reading {kind}</div>"
+                                                  f"</div><div class='z{kind}'>short {i}</div>")))
+    same = page("<article><p>the same</p><p>on every page</p></article>")
+    rows += [(100 + i, "http://copies.example/", same) for i in range(9)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["host"]: r for r in html_extract.templates(frame).collect()}
+    assert sorted(found["t.example"]["mains"][:4]) == [f"/html/body/div.{k}" for k in "abcd"]
+    texts = {r["_id"]: r["text"] for r in html_extract.extract(frame).collect()}
+    assert all(texts[i] == f"H{i}\n{words((i * 40, i * 40 + 40))}" for i in range(16))
+    assert all(texts[100 + i] == "the same\non every page" for i in range(9))
+
+
+def test_classes_that_do_not_nest_are_split(spark):
+    # As many /div/b as /div/u/li on every page, but an element of the one never holds one of the other.
+    rows = [
+        (i, "http://n.example/", "<div class='r'>" + "<section>a</section>" * 2 + "<ul><li>x</li><li>y</li></ul></div>")
+        for i in range(3)
+    ]
+    rows += [(5, "http://s.example/", "<div><section><h3>a</h3><h3>b</h3></section><section></section></div>")]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["host"]: json.loads(r["template"]) for r in html_extract.templates(frame).collect()}
+    tokens = {h: sorted(c["tokens"] for c in t) for h, t in found.items()}
+    assert tokens["n.example"] == [["/div.r", "/div.r/ul"], ["/div.r/section"], ["/div.r/ul/li"]]
+    assert tokens["s.example"] == [["/div"], ["/div/section"], ["/div/section/h3"]]
+
+
 # Chats
 
 PARTS = st.lists(
