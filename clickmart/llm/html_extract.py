@@ -12,6 +12,8 @@ that holds the article: an article or main element, else the innermost one that
 A page is read by the classes it has: the first main element of the host that is on it. Extraction reads the slots
 inside, but for those of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, and
 but for texts that a slot repeats on nearly all pages of its class (``CONSTANT``, at least ``LEAST`` different pages).
+Inside an article or main element only a whole class name tells such an element at once; a single word of its class
+or id does if most pages of the host have the element. Ids of headings, paragraphs and the like never tell.
 
 Text rules: character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by one line feed; nothing else is dropped.
@@ -96,6 +98,16 @@ class Block(NamedTuple):
     free: int
 
 
+def _marks(value: str) -> list[str]:
+    """Names in a class or id that tell what an element is."""
+    return [m for m in value.split() if not _states(m)]
+
+
+def _told(marks: list[str]) -> bool:
+    """Whether a word of them tells an element beside the article."""
+    return any(w.lower() in BESIDE_WORDS for m in marks for w in _words.findall(m))
+
+
 def _attributes(raw: str) -> dict[str, str]:
     found = {}
     for name, a, b, c, flag in _attribute.findall(raw):
@@ -113,6 +125,8 @@ class Page:
         self.shared: dict[str, int] = {}
         self.numbers: list[int] = []
         self.blocks: list[Block] = []
+        #: Elements inside the article that a word of their class or id tells: beside it if most pages have them.
+        self.suspects: set[str] = set()
         #: Open elements: name, path, whether beside the article, whether inside an article or main element.
         self.open: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
         self.text: list[str] = []
@@ -177,25 +191,31 @@ class Page:
             return
         _, path, beside, inside = self.open[-1]
         found = _attributes(raw) if raw else {}
-        marks = [m for x in ("class", "id") for m in found.get(x, "").split() if not _states(m)]
-        words = [w.lower() for m in marks for w in _words.findall(m)]
+        marks, ids = _marks(found.get("class", "")), _marks(found.get("id", ""))
+        ids = [] if name in TEXTUAL else ids
+        words = {w.lower() for m in marks + ids for w in _words.findall(m)}
+        whole = {m.lower() for m in marks}
         if name not in ("html", "body"):
             beside = (
                 beside or name in BESIDE or found.get("role", "").lower() in BESIDE_ROLES
                 or "hidden" in found or found.get("aria-hidden", "").lower() == "true"
                 or "display:none" in found.get("style", "").replace(" ", "").lower()
-                or (name not in MAIN and not BESIDE_WORDS.isdisjoint(words))
+                or (name not in MAIN and not BESIDE_WORDS.isdisjoint(whole if inside else words))
                 or (name in MAIN and not {"comment", "comments"}.isdisjoint(words))
                 or (not inside and name not in MAIN and (name in OUTER or not OUTER_WORDS.isdisjoint(words)))
             )
         classes = sorted(set(found.get("class", "").replace("/", "|").split()))
         path = f"{path}/{name}" + "".join(f".{c}" for c in classes)
+        if inside and name not in MAIN and _told(ids):
+            path += "#" + "_".join(ids).replace("/", "|")
         if path in self.last:
             shared = bisect_left(self.numbers, self.last[path])
             self.shared[path] = max(shared, self.shared.get(path, 0))
         self.last[path] = len(self.elements)
         self.numbers.append(len(self.elements))
         self.elements.append(path)
+        if inside and not beside and name not in (*MAIN, *TEXTUAL) and _told(marks + ids):
+            self.suspects.add(path)
         self.open.append((name, path, beside, inside or name in MAIN or found.get("role", "").lower() == "main"))
 
     def _end(self, name: str) -> None:
@@ -212,7 +232,7 @@ class Page:
 
 
 def _name(path: str) -> str:
-    return path.rpartition("/")[2].partition(".")[0]
+    return path.rpartition("/")[2].partition("#")[0].partition(".")[0]
 
 
 def inside(path: str, element: str) -> bool:
@@ -228,11 +248,15 @@ def slot_key(path: str, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{path} {text}") >> 1
 
 
-def main_text(source: str, element: str | Sequence[str] | None, constant: Set[int] = frozenset()) -> str:
+def main_text(
+    source: str, element: str | Sequence[str] | None, constant: Set[int] = frozenset(), common: Sequence[str] = ()
+) -> str:
     """The text in the first main element of the templates that the page has; without one, in articles, else in all that
-    is not beside one. Texts of slots in ``constant`` are the template's."""
+    is not beside one. Texts of slots in ``constant`` are the template's, suspects in ``common`` are beside the article."""
     elements = [element] if isinstance(element, str) else element or []
-    blocks = [b for b in Page(source).blocks if not b.beside]
+    page = Page(source)
+    dropped = [p for p in common if p in page.suspects]
+    blocks = [b for b in page.blocks if not b.beside and not any(inside(b.path, p) for p in dropped)]
     for main in elements:
         chosen = [b for b in blocks if inside(b.path, main)]
         if chosen:
@@ -244,12 +268,12 @@ def main_text(source: str, element: str | Sequence[str] | None, constant: Set[in
 
 # Templates
 
-FIGURES = ["pages", "vector", "single", "free", "of", "shared"]
+FIGURES = ["pages", "vector", "single", "free", "of", "shared", "suspect"]
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task, host and token: pages, folded occurrence vector, pages with one occurrence, free text inside and on all
-    of its pages, and the open elements that two occurrences share at most. Further rows have a slot's text and page
+    of its pages, the open elements that two occurrences share at most, and pages where it is a suspect. Further rows have a slot's text and page
     (hashes); those of every text have none."""
     held: dict[tuple[str, str], list[int]] = {}
     slots: set[tuple[str, str, int | None, int]] = set()
@@ -283,13 +307,14 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             break
                         path = path.rpartition("/")[0]
             for path, n in counts.items():
-                figures = held.setdefault((host, path), [0, 0, 0, 0, 0, 0])
+                figures = held.setdefault((host, path), [0] * len(FIGURES))
                 figures[0] += 1
                 figures[1] ^= xxhash.xxh64_intdigest(f"{file} {row} {n}") >> 1
                 figures[2] += n == 1
                 figures[3] += free.get(path, 0)
                 figures[4] += free.get("", 0)
                 figures[5] = max(figures[5], page.shared.get(path, 0))
+                figures[6] += path in page.suspects
         if len(held) + len(slots) > 100_000:
             yield out()
             held, slots = {}, set()
@@ -347,7 +372,8 @@ def deduce(tokens: pd.DataFrame) -> dict:
             mains += [(bool(named), max(named or holders, key=lambda t: (t.count("/"), t)))] if named or holders else []
     mains = [t for _, t in sorted(mains, key=lambda m: (m[0], m[1].count("/"), rows[m[1]].pages, m[1]), reverse=True)]
     most = max(mains, key=lambda t: rows[t].pages, default=None)
-    return {"pages": pages, "classes": template, "mains": mains, "main": most}
+    often = [t for t, r in rows.items() if r.suspect >= LEAST and 2 * r.suspect > pages]
+    return {"pages": pages, "classes": template, "mains": mains, "main": most, "common": sorted(often)}
 
 
 def host(url: Column) -> Column:
@@ -358,7 +384,7 @@ def host(url: Column) -> Column:
 
 def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Per host: number of ``pages``, the ``template`` as JSON, the ``main`` element of most pages, all ``mains`` in the order in
-    which pages try them, and the ``constant`` texts of slots (hashes)."""
+    which pages try them, suspects that most pages have (``common``), and the ``constant`` texts of slots (hashes)."""
     rows = common.keyed(pages, host=host(F.col(url)), _text=html)
     counted = common.map_arrow(
         rows, _tokens, "host string, token string, text long, page long, " + ", ".join(f"{c} long" for c in FIGURES)
@@ -385,22 +411,23 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     def one(rows: pd.DataFrame) -> pd.DataFrame:
         found = deduce(rows)
         return pd.DataFrame(
-            [[rows["host"].iloc[0], found["pages"], json.dumps(found["classes"]), found["main"], found["mains"]]],
-            columns=["host", "pages", "template", "main", "mains"],
-        )
+            [[rows["host"].iloc[0], found["pages"], json.dumps(found["classes"]),
+              *(found[c] for c in ("main", "mains", "common"))]],
+            columns=["host", "pages", "template", "main", "mains", "common"],
+        )
 
     deduced = often.groupBy("host").applyInPandas(
-        one, "host string, pages long, template string, main string, mains array<string>"
+        one, "host string, pages long, template string, main string, mains array<string>, common array<string>"
     )
     return common.stored(deduced.join(constant, "host", "left"), "templates")
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("mains", "constant"))
+        columns = (batch.column(c).to_pylist() for c in ("mains", "constant", "common"))
         found = [
-            main_text(t, m, frozenset(c or ()))
-            for t, m, c in zip(common.texts(batch.column("_text")), *columns, strict=True)
+            main_text(t, m, frozenset(c or ()), often or ())
+            for t, m, c, often in zip(common.texts(batch.column("_text")), *columns, strict=True)
         ]
         yield pa.RecordBatch.from_arrays(
             [batch.column("_id"), batch.column("_url"), pa.array(found, pa.string())], names=["_id", "_url", "text"]
@@ -413,8 +440,8 @@ def extract(pages: DataFrame, id: str = "page_id", url: str = "url", html: str =
     total = found.agg(F.sum("pages")).first()[0] or 0
     rows = pages.select(F.col(id).alias("_id"), F.col(url).alias("_url"), F.col(html).alias("_text"),
                         host(F.col(url)).alias("host"))
-    both = common.attach(rows, found.select("host", "pages", "mains", "constant"), ["host"], "pages", total)
+    both = common.attach(rows, found.select("host", "pages", "mains", "constant", "common"), ["host"], "pages", total)
     kind = rows.schema["_id"].dataType.simpleString()
     return common.map_arrow(
-        both.select("_id", "_url", "_text", "mains", "constant"), _extracted, f"_id {kind}, _url string, text string"
+        both.select("_id", "_url", "_text", "mains", "constant", "common"), _extracted, f"_id {kind}, _url string, text string"
     )

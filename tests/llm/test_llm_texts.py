@@ -228,6 +228,31 @@ def test_classes_that_do_not_nest_are_split(spark):
     assert tokens["s.example"] == [["/div"], ["/div/section"], ["/div/section/h3"]]
 
 
+@pytest.mark.parametrize(
+    "body, text",
+    [
+        ("<article><h2 id='related-work'>Related work</h2><p id='search-engines'>p</p></article>", "Related work\np"),
+        ("<main><section id='social-history'><h2>S</h2><p>p</p></section><div class='menu-design'>d</div></main>", "S\np\nd"),
+        ("<div class='post'><h2 id='side-effects'>Side effects</h2><p>p</p></div>", "Side effects\np"),
+        ("<article><p class='notice'>n</p><div class='share'>s</div><p>p</p></article>", "p"),
+    ],
+)
+def test_single_words_inside_an_article_drop_nothing(body, text):
+    assert html_extract.main_text(page(body), None) == text
+
+
+def test_words_tell_elements_that_most_pages_have(spark):
+    rows = []
+    for i in range(6):
+        topic = f"<section id='social-history'><p>history {i}</p></section>" if i == 2 else ""
+        body = f"<p>{words((i * 50, i * 50 + 50))}</p>{topic}<div id='related-posts'>post {i}</div>"
+        body += f"<div class='share-box'>shared {i}</div>"
+        rows.append((i, "http://w.example/", page(f"<article>{body}</article>")))
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = {r["_id"]: r["text"] for r in html_extract.extract(frame).collect()}
+    assert all(t == words((i * 50, i * 50 + 50)) + "\nhistory 2" * (i == 2) for i, t in texts.items())
+
+
 # Chats
 
 PARTS = st.lists(
