@@ -13,8 +13,9 @@ only needs to be sought among pieces with its anchor.
 3. Shards get back which windows occur in a document with a smaller id, and cover them.
 
 Equal pieces meet in each shard before they are sent, so a passage that many documents share arrives once per shard.
-An anchor of ``HOT`` documents or more, whose pieces may differ in each of them, is split: its windows are sent one by one, by
-two 64-bit hashes of the whole window, with their smallest id.
+An anchor with ``HOT`` pieces or more (the distinct ones of each shard, added up) is split, however few documents they are
+from: its windows are sent one by one, by two 64-bit hashes of the whole window, with their smallest id. So no index
+is built over more than 20,000 and ``HOT`` pieces.
 
 Defined results: ids are integers; a missing id is larger than all others, and equal ids are not smaller than each other, so
 repeated rows do not remove each other. A missing text is empty; texts shorter than ``LENGTH`` stay whole. An
@@ -39,8 +40,10 @@ from .run_index import RunIndex
 
 LENGTH = 50
 GRAM = 24
-#: Documents that share an anchor, from which on its windows go one by one.
+#: Pieces with one anchor, from which on its windows go one by one.
 HOT = 10_000
+#: Pieces of a shard with one anchor, from which on they are told apart to be counted.
+MANY = 16
 #: Bytes of text in a shard, unless one document is longer.
 SHARD = 8 << 20
 #: Buckets for each shuffle partition.
@@ -182,7 +185,7 @@ MESSAGE = "bucket int, s1 long, s2 long, kind int, data binary"
 
 
 def _packed(numbers: np.ndarray) -> bytes:
-    """Ascending numbers, their bytes by place, compressed."""
+    """Numbers, their bytes by place, compressed."""
     planes = np.ascontiguousarray(numbers.view(np.uint8).reshape(-1, 8).T)
     return zstandard.ZstdCompressor(level=1).compress(struct.pack("<I", len(numbers)) + planes.tobytes())
 
@@ -203,13 +206,27 @@ def _by_bucket(bucket: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[order[a]]), order[a:b]
 
 
+def _distinct_pieces(shard: _Shard, first: np.ndarray, windows: np.ndarray, anchor: np.ndarray) -> np.ndarray:
+    """For each distinct anchor, in order, the number of its different pieces; fewer than MANY count as different."""
+    order = np.argsort(anchor, kind="stable")
+    begins = np.flatnonzero(np.append(True, anchor[order][1:] != anchor[order][:-1]))
+    count = np.diff(begins, append=len(order))
+    for k in np.flatnonzero(count >= MANY):
+        own = order[begins[k] : begins[k] + count[k]]
+        ends = first[own] + windows[own] + LENGTH - 1
+        count[k] = len({shard.data[a:b] for a, b in zip(first[own].tolist(), ends.tolist(), strict=True)})
+    return count
+
+
 def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
-    """Distinct anchors of a shard, each with the number of its documents in the low byte (at most 255)."""
+    """Distinct anchors of a shard, each with the number of its documents in the low byte (at most 255), and then the
+    numbers of their pieces."""
     for batch in batches:
         for i in range(batch.num_rows):
             shard = _Shard(batch, i)
-            _, _, anchor, doc = shard.pieces()
+            starts, windows, anchor, doc = shard.pieces()
             if len(anchor):
+                pieces_of = _distinct_pieces(shard, starts, windows, anchor).astype(np.uint64)
                 # Once per document, then with the number of documents.
                 order = np.lexsort((doc, anchor))
                 anchor, doc = anchor[order], doc[order]
@@ -220,7 +237,7 @@ def _anchors(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Rec
                 packed = found << np.uint64(8) | np.minimum(count, 255).astype(np.uint64)
                 parts = list(_by_bucket((found % np.uint64(buckets)).astype(np.int64)))
                 yield _message([(shard.s1, shard.s2)] * len(parts), [b for b, _ in parts], [0] * len(parts),
-                               [_packed(packed[at]) for _, at in parts])
+                               [_packed(np.concatenate([packed[at], pieces_of[at]])) for _, at in parts])
 
 
 def _per_bucket(
@@ -247,11 +264,12 @@ def _per_bucket(
 
 def _repeated(messages: list[tuple], hot: int) -> Iterator[tuple]:
     """For each shard its anchors that two documents or more have; the low byte is 1 if they are hot."""
-    sent = [_unpacked(m[4]) for m in messages]
+    sent, numbers = zip(*(np.split(_unpacked(m[4]), 2) for m in messages), strict=True)
     every = np.concatenate(sent)
     found, at = np.unique(every >> np.uint64(8), return_inverse=True)
     count = np.bincount(at, weights=(every & np.uint64(255)).astype(np.float64))
-    answer = found << np.uint64(8) | (count >= hot).astype(np.uint64)
+    pieces_of = np.bincount(at, weights=np.concatenate(numbers).astype(np.float64))
+    answer = found << np.uint64(8) | (pieces_of >= hot).astype(np.uint64)
     end = 0
     for message, own in zip(messages, sent, strict=True):
         begin, end = end, end + len(own)

@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -219,6 +220,32 @@ def test_removals(frame, odd_rows, hot, size):
     assert sorted((tuple(r) for r in found.select(*columns).collect()), key=str) == brute_removals(rows)
 
 
+def lines_with_one_gram(n):
+    """Different lines whose windows have one anchor: a gram of a very small hash in their middle."""
+    rng = np.random.default_rng(3)
+    grams = rng.integers(97, 123, (1 << 16) + suffix_dedup.GRAM, dtype=np.uint8)
+    least = int(np.argmin(suffix_dedup.gram_hashes(grams, suffix_dedup.GRAM)))
+    gram = grams[least : least + suffix_dedup.GRAM].tobytes().decode()
+    around = rng.integers(97, 123, (n, 60), dtype=np.uint8)
+    return [bytes(a[:30]).decode() + gram + bytes(a[30:]).decode() for a in around]
+
+
+def test_an_anchor_of_few_documents_with_many_pieces_is_split(frame):
+    lines = lines_with_one_gram(400)
+    rows = [(1, "\n".join(lines)), (2, "\n".join(lines[::3]))]
+    batch = pa.RecordBatch.from_pydict(
+        {"_file": [0, 0], "_row": [0, 1], "_id": [1, 2], "_text": [t for _, t in rows]}
+    )
+    sent = suffix_dedup._anchors(suffix_dedup._sharded(iter([batch]), 8 << 20), 1)
+    messages = [tuple(m.values()) for b in sent for m in b.to_pylist()]
+    split = {hot: sum(int((suffix_dedup._unpacked(m[4]) & np.uint64(1)).sum())
+                      for m in suffix_dedup._repeated(messages, hot)) for hot in (200, 10_000)}
+    assert split == {200: 1, 10_000: 0}
+    found = suffix_dedup.removals(frame(rows), hot=200)
+    columns = ("_id", "n_bytes", "n_removed", "n_spans", "kept")
+    assert sorted((tuple(r) for r in found.select(*columns).collect()), key=str) == brute_removals(rows)
+
+
 def test_removal_keeps_rows_and_columns(frame, odd_rows):
     docs = frame(odd_rows)
     found = suffix_dedup.dedup(docs)
