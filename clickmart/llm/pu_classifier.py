@@ -9,6 +9,10 @@ did not see, the share of unlabelled documents above a score, over the share of
 above, and the tightest bound over all scores with enough positives is taken. Labels of poor quality are never
 used.
 
+The threshold lies where the share of unlabelled documents above it is the prior, give or take what the estimate may be off
+by: within that, in the widest gap between their scores. As the estimate can be too low, the threshold is never less than
+``SPREAD`` robust deviations below the positives' median; a few wrong labels move neither of the two.
+
 Features are read from the whole text: shares of character kinds and of single signs, word and line statistics.
 Doc id, language and source are no inputs. The model is fitted on bounded samples (parameters ``positives`` and
 ``unlabelled``: rows with the smallest hashes of id and features), every document is scored.
@@ -33,8 +37,10 @@ from . import common
 #: Bounds of the samples the model is fitted on.
 POSITIVES, UNLABELLED = 20_000, 40_000
 THRESHOLD = 0.7
-#: All trusted positives but this part score at least the threshold, with this margin in the logit.
-PASSING, MARGIN = 0.003, 1.6
+#: Part of the unlabelled documents that a gap between scores is measured over.
+GAP = 0.005
+#: Deviations (by the median absolute one) below the median that positives may reach without being rejected.
+SPREAD = 3
 
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _KINDS = np.zeros((256, 6), np.float64)
@@ -151,6 +157,25 @@ def _train(
     return theta[0], theta[1], theta[2], float(theta[3][0])
 
 
+def _slack(n_pos: int, n_unl: int) -> float:
+    """What shares in two samples of these sizes may be off by."""
+    return float(np.sqrt(np.log(20) / 2) * (n_pos**-0.5 + n_unl**-0.5))
+
+
+def cut(unl: np.ndarray, prior: float, n_pos: int) -> float:
+    """The logit above which the ``prior`` part of the unlabelled documents lies, within the widest gap near there."""
+    found, n = np.sort(unl), len(unl)
+    off = _slack(n_pos, n)
+    width = max(1, round(GAP * n))
+    low = int(np.clip((1 - prior - off) * n, 0, n - 1))
+    high = int(np.clip((1 - prior + off) * n, low, n - 1))
+    # A gap of several documents begins at each place; past the last one it ends there.
+    begins = np.arange(low, high + 1)
+    ends = np.minimum(begins + width, n - 1)
+    best = int(np.argmax(found[ends] - found[begins]))
+    return float(found[begins[best]] + found[ends[best]]) / 2
+
+
 def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0) -> float:
     """Share of positives among the unlabelled, from scores of rows that the first model did not see."""
     if len(pos) < 2 or len(unl) < 2:
@@ -160,7 +185,7 @@ def estimate_prior(pos: np.ndarray, unl: np.ndarray, seed: int = 0) -> float:
     for fold in (0, 1):
         w1, b1, w2, b2 = _train(pos[fold::2], unl[fold::2], 0.5, seed)
         sp, su = (np.maximum(x[1 - fold :: 2] @ w1 + b1, 0) @ w2 + b2 for x in (pos, unl))
-        slack = np.sqrt(np.log(20) / 2) * (len(sp) ** -0.5 + len(su) ** -0.5)
+        slack = _slack(len(sp), len(su))
         for cut in np.quantile(sp, np.linspace(0.01, 0.8, 200)):
             above_p, above_u = np.mean(sp >= cut), np.mean(su >= cut)
             best = min(best, (above_u - slack * 0.1) / above_p)
@@ -175,9 +200,11 @@ def fit(pos: np.ndarray, unl: np.ndarray, seed: int = 0) -> Model | None:
     zp, zu = (np.clip((x - mean) / scale, -6, 6) for x in (pos, unl))
     prior = estimate_prior(zp, zu, seed)
     model = Model(mean, scale, *_train(zp, zu, prior, seed), prior)
-    # Scores are shifted so that nearly all trusted positives reach the threshold.
-    low = np.quantile(model.logit(pos), PASSING)
-    model.b2 += float(np.log(THRESHOLD / (1 - THRESHOLD)) + MARGIN - low)
+    # Scores are shifted so that the cut lands at the threshold.
+    known = model.logit(pos)
+    middle = np.median(known)
+    least = middle - SPREAD * 1.4826 * np.median(np.abs(known - middle))
+    model.b2 += float(np.log(THRESHOLD / (1 - THRESHOLD)) - min(least, cut(model.logit(unl), prior, len(pos))))
     return model
 
 

@@ -144,6 +144,15 @@ def test_the_prior_is_near_the_share_of_positives():
     assert abs(pu_classifier.estimate_prior(pos[:2000], mixed) - 2 / 3) < 0.08
 
 
+def test_wrong_labels_do_not_move_the_threshold_to_the_junk():
+    rng = np.random.default_rng(0)
+    good, bad = (np.tile(rng.normal(m, 1, (n, 5)), (1, 2)) for m, n in ((2, 6000), (-2, 1000)))
+    positives = np.concatenate([good[:2000], bad[:40]])
+    model = pu_classifier.fit(positives, np.concatenate([good[2000:5000], bad[40:700]]))
+    kept = [np.mean(model.score(x) >= pu_classifier.THRESHOLD) for x in (good[5000:], bad[700:])]
+    assert kept[0] > 0.97 and kept[1] < 0.1
+
+
 # Pages
 
 
