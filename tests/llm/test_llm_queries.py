@@ -41,6 +41,13 @@ def test_quality_of_held_out_documents(spark, sf_dir):
     assert len(labels) > 50 and np.mean(right) > 0.95 and np.mean(good) > 0.95
 
 
+def test_good_held_out_documents_are_kept(spark, sf_dir):
+    scored = {r["doc_id"]: r for r in QUERIES["op5_quality_classifier"](spark, sf_dir).collect()}
+    labels = [r for r in common.read(spark, sf_dir, "labels").collect() if scored[r["doc_id"]]["held_out"]]
+    good = [scored[r["doc_id"]]["predicted"] for r in labels if r["quality"] == 1]
+    assert len(good) > 40 and np.mean(good) > 0.98
+
+
 def test_the_pipeline_works_on_what_each_stage_kept(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
     columns, seen = docs.columns, []
