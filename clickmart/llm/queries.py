@@ -9,7 +9,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_tree, chat_format, common, exact_dedup, fingerprints, html_extract, packing, pu_classifier, simhash_dedup, suffix_dedup, token_files
+from . import (
+    bpe_prefix,
+    bpe_tree,
+    chat_format,
+    common,
+    exact_dedup,
+    fingerprints,
+    html_extract,
+    importance,
+    packing,
+    prefix_trie,
+    pu_classifier,
+    simhash_dedup,
+    suffix_dedup,
+    token_files,
+)
 from .common import read
 
 
@@ -136,14 +151,55 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all conversations, whose first turns are those of every hundredth."""
+    own = common.stored(prefix_trie.turns(read(spark, sf_dir, "conversations")), "own")
+    conv = F.col("conv_id")
+    number = F.crc32(conv.cast("string").cast("binary")) % 6
+    local = prefix_trie.local_nodes(*prefix_trie.borrowed(own, conv - conv % 100, number))
+    found = prefix_trie.with_end_digests(prefix_trie.trie(local), prefix_trie.ends(local))
+    return found.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves",
+        F.col("saved").alias("saved_tokens"), "ends_sha256",
+    )
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document against the benchmark, and the rank of those drawn."""
+    docs, target = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    found = importance.resample(docs, target, run=1, buckets=10_000, least=20, percent=10, seed=2024)
+    return found.withColumnRenamed("_id", "doc_id")
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded by the merges of a vocabulary with word ends."""
+    path = tokenizer_path(spark, "word_bpe_49k.json")
+    return bpe_prefix.encode(read(spark, sf_dir, "documents"), path, digest=True).withColumnRenamed("_id", "doc_id")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_best_fit_packing, op3_simhash_dedup, op4_token_files, op5_quality_classifier,
-        op6_exact_dedup, op7_suffix_dedup, op8_byte_bpe, op9_html_extract, op10_chat_format,
+        op6_exact_dedup, op7_suffix_dedup, op8_byte_bpe, op9_html_extract, op10_chat_format, op11_prefix_trie,
+        op12_importance, op13_word_bpe,
     )
 }
 
+#: CRC-32 in SQL: a table made by its rule, and a fold over the bytes of a text.
+CRC_TABLE = """
+    tab AS MATERIALIZED (
+        SELECT list(list_reduce(list_prepend(i, range(8)), LAMBDA c, k : xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t
+        FROM range(256) AS r (i))"""
+
+
+def crc_sql(text: str) -> str:
+    """SQL for the unsigned CRC-32 of a text's UTF-8 bytes; ``tab`` is among the tables."""
+    read_bytes = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), LAMBDA h : ('0x' || h)::BIGINT)"
+    step = "xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {read_bytes}), LAMBDA c, b : {step}), 4294967295)"
+
+
 ORACLES = {
     "op6_exact_dedup": r"""
         WITH d AS (
@@ -157,4 +213,79 @@ ORACLES = {
                sha256(norm) AS text_sha256
         FROM d WINDOW best AS (PARTITION BY norm ORDER BY chars DESC, doc_id NULLS LAST)
     """,
+    "op11_prefix_trie": f"""
+        WITH {CRC_TABLE},
+        own AS (
+            SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+                   row_number() OVER (PARTITION BY conv_id
+                                      ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS p
+            FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT c, c - c % 100 AS base, {crc_sql("c::VARCHAR")} % 6 AS h FROM (SELECT DISTINCT c FROM own), tab),
+        taken AS (SELECT v.c, o.p, o.r, o.x FROM convs v JOIN own o ON o.c = v.base AND o.p < v.h),
+        short AS (SELECT c, count(*) AS n FROM taken GROUP BY c),
+        turns AS (
+            SELECT * FROM taken UNION ALL
+            SELECT o.c, o.p - v.h + coalesce(s.n, 0), o.r, o.x
+            FROM own o JOIN convs v USING (c) LEFT JOIN short s USING (c) WHERE o.p >= v.h),
+        path AS (
+            SELECT c, p + 1 AS d, length(x) AS chars,
+                   sha256(string_agg(sha256(length(r) || ':' || r || x), '') OVER (PARTITION BY c ORDER BY p)) AS k
+            FROM turns
+            UNION ALL SELECT c, 0, 0, 'root' FROM convs),
+        sizes AS (SELECT c, max(d) AS n FROM path GROUP BY c),
+        nodes AS (
+            SELECT k, d, any_value(chars) AS chars, min(c) AS rep, count(*) AS members,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = n), '')) AS ends
+            FROM path JOIN sizes USING (c) GROUP BY k, d),
+        parents AS (
+            SELECT v.k, v.d, p.k AS parent, m.rep AS parent_rep
+            FROM nodes v JOIN path p ON p.c = v.rep AND p.d = v.d - 1 JOIN nodes m ON m.k = p.k AND m.d = p.d),
+        children AS (SELECT parent AS k, count(*) AS n FROM parents GROUP BY parent),
+        sums AS (
+            SELECT a.k, sum((v.members - 1) * v.chars) AS saved, count(*) FILTER (WHERE w.n IS NULL) AS leaves
+            FROM path a JOIN nodes v ON v.rep = a.c AND v.d >= a.d LEFT JOIN children w ON w.k = v.k
+            GROUP BY a.k)
+        SELECT v.rep AS conv_id, v.d::BIGINT AS depth, p.parent_rep AS parent_conv_id, v.members AS n_convs,
+               coalesce(w.n, 0) AS n_children, s.leaves AS n_leaves, s.saved::BIGINT AS saved_tokens, v.ends AS ends_sha256
+        FROM nodes v JOIN sums s ON s.k = v.k LEFT JOIN parents p ON p.k = v.k LEFT JOIN children w ON w.k = v.k
+    """,
+    "op12_importance": rf"""
+        WITH {CRC_TABLE},
+        texts AS (
+            SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL
+            SELECT 'b', item_id, text FROM benchmark),
+        found AS (
+            SELECT side, id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM texts),
+        counts AS (
+            SELECT side, id, w, count(*) AS n FROM (SELECT side, id, unnest(words) AS w FROM found) GROUP BY side, id, w),
+        hashed AS (
+            SELECT w, {crc_sql("w")} % 10000 AS bucket FROM (SELECT DISTINCT w FROM counts), tab),
+        totals AS (
+            SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0) AS s,
+                   coalesce(sum(n) FILTER (WHERE side = 'b'), 0) AS t
+            FROM counts JOIN hashed USING (w) GROUP BY bucket),
+        sums AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM totals),
+        gains AS (
+            SELECT bucket, floor(1000 * ln(((t + 1)::DOUBLE * (s_all + 10000)) / ((s + 1)::DOUBLE * (t_all + 10000)))) AS gain
+            FROM totals, sums),
+        weights AS (
+            SELECT id, sum(n * gain)::BIGINT AS weight
+            FROM counts JOIN hashed USING (w) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+        scored AS (
+            SELECT id, len(words) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln(
+                       (('0x' || substr(sha256('2024:' || id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT
+                       AS score
+            FROM found LEFT JOIN weights USING (id) WHERE side = 'd'),
+        ranked AS (
+            SELECT id, row_number() OVER (ORDER BY score DESC, id) AS place, count(*) OVER () AS number
+            FROM scored WHERE n_features >= 20)
+        SELECT id AS doc_id, n_features, weight, score,
+               CASE WHEN place <= number * 10 // 100 THEN place END AS rank
+        FROM scored LEFT JOIN ranked USING (id)
+    """,
 }

@@ -17,7 +17,7 @@ from clickmart.llm.queries import ORACLES, QUERIES
 
 def test_all_operators_are_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(entry.queries()) >= {*QUERIES, "pipeline"} and set(ORACLES) <= set(entry.oracle_sql())
 
 
