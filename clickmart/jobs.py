@@ -17,13 +17,11 @@ from clickmart.operators import ingest, profile, quality
 from clickmart.plans import daily
 from clickmart.schemas import EVENT, EVENT_ORDER, columns
 from clickmart.session import configured
-from clickmart.sources import files, jdbc, kafka
+from clickmart.sources import files, jdbc, kafka, published
 from clickmart.streaming import events as streams
 
 
 def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    if args.types:
-        raise ValueError("days can only be replaced with the events of all types")
     if args.landed:
         return files.read_landed(spark, args.raw, days=args.days)
     return files.read_raw(spark, args.raw, args.ext, days=args.days or ("",))
@@ -54,7 +52,7 @@ def transform(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def check(spark: SparkSession, args: argparse.Namespace) -> None:
     """Report the checks of the staging table; fails if one does."""
-    report = quality.report(quality.run_checks(files.read_stg(spark, daily.stg_path(args.base))))
+    report = quality.report(quality.run_checks(files.read_stg(spark, daily.shop(spark, args.base))))
     rows = report.collect()
     for row in rows:
         print(f"{row.status}  {row.check}: {row.n}")
@@ -64,21 +62,20 @@ def check(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def marts(spark: SparkSession, args: argparse.Namespace) -> None:
     """Staging table to marts."""
-    tables = daily.build_marts(spark, files.read_stg(spark, daily.stg_path(args.base)), args.base)
-    for name, table in tables.items():
+    for name, table in daily.build_marts(spark, args.base).items():
         print(f"{name}: {table.count()} rows")
 
 
 def load_marts(spark: SparkSession, args: argparse.Namespace) -> None:
     """Marts to the database."""
-    for name, rows in jdbc.load_marts(spark, daily.mart_base(args.base), *_database(spark)).items():
+    for name, rows in jdbc.load_marts(spark, daily.shop(spark, args.base), *_database(spark)).items():
         print(f"{name}: {rows} rows")
 
 
 def load_stg(spark: SparkSession, args: argparse.Namespace) -> None:
     """Staging table to the database; with --days, these days are appended."""
     url, options = _database(spark)
-    rows = jdbc.load_stg(spark, daily.stg_path(args.base), url, options, days=tuple(args.days))
+    rows = jdbc.load_stg(spark, daily.shop(spark, args.base), url, options, days=tuple(args.days))
     print(f"{rows} rows")
 
 
@@ -111,6 +108,11 @@ def land(spark: SparkSession, args: argparse.Namespace) -> None:
     streams.land_raw(messages, args.raw, args.checkpoint, trigger).awaitTermination()
 
 
+def clean(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Remove folders that the last two published states do not name; not while a run is writing."""
+    print(f"{published.clean(spark, args.base)} folders removed")
+
+
 def user_stats(spark: SparkSession, args: argparse.Namespace) -> None:
     """Show how the users are distributed, and their most frequent regions."""
     users = _users(spark, args)
@@ -130,6 +132,7 @@ JOBS = {
     "run": (run, ("raw", "base")),
     "publish": (publish, ("log", "users", "servers")),
     "land": (land, ("raw", "servers", "checkpoint")),
+    "clean": (clean, ("base",)),
     "user-stats": (user_stats, ("users",)),
 }
 
@@ -143,7 +146,6 @@ def parser() -> argparse.ArgumentParser:
         for option in ("raw", "base", "users", "log", "servers", "checkpoint"):
             sub.add_argument(f"--{option}", required=option in required)
         sub.add_argument("--days", nargs="*", default=[], help="yyyy-MM-dd")
-        sub.add_argument("--types", nargs="*", default=[])
         sub.add_argument("--ext", default="jsonl", help="extension of raw files")
         sub.add_argument("--landed", action="store_true", help="raw zone written by the land job")
         sub.add_argument("--multiline", action="store_true", help="users are one JSON array")

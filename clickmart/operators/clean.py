@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmart import schemas
-from clickmart.fixed_values import CORE_COLUMNS, EVENT_KEYS, EVENT_TYPES
+from clickmart.fixed_values import CORE_COLUMNS, EVENT_KEYS, EVENT_TYPES, PROFILE_COLUMNS
 from clickmart.functions.times import utc_time
 
 
@@ -45,6 +45,29 @@ def dedup(events: DataFrame, keys: Sequence[str] = EVENT_KEYS) -> DataFrame:
     return survivor.select(*keys, "rest.*").select(*events.columns)
 
 
+def merge(stored: DataFrame, arrived: DataFrame, keys: Sequence[str] = EVENT_KEYS) -> DataFrame:
+    """Rows of a staging table united with those that arrived later; each side has one row per key.
+
+    The smaller user wins, as in ``dedup``. Of two rows of one user the stored one stays, and the arrived one fills the
+    profile columns it has no value in: rows that arrive again, without the profiles that the stored ones were given,
+    change nothing.
+    """
+    rest = [c for c in stored.columns if c not in (*keys, "user_id")]
+    sides = [rows.withColumn("_side", F.lit(i)) for i, rows in enumerate((stored, arrived))]
+    row = F.struct("user_id", "_side", *rest)
+    # Two rows per key at most: the smallest is the survivor, the largest the other one.
+    both = sides[0].unionByName(sides[1]).groupBy(*keys).agg(F.min(row).alias("one"), F.max(row).alias("two"))
+    same = F.col("one.user_id") == F.col("two.user_id")
+
+    def value(column: str) -> Column:
+        chosen = F.col(f"one.{column}")
+        if column in PROFILE_COLUMNS:
+            chosen = F.coalesce(chosen, F.when(same, F.col(f"two.{column}")))
+        return chosen.alias(column)
+
+    return both.select(*keys, value("user_id"), *map(value, rest)).select(*stored.columns)
+
+
 def transform(raw: DataFrame) -> DataFrame:
     """Raw events to staging rows: complete, of a known type, one per key, with event times.
 

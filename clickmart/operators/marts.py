@@ -60,19 +60,22 @@ def cohort_size(first: DataFrame) -> DataFrame:
     return first.groupBy("cohort_month").agg(F.count("user_id").alias("cohort_size"))
 
 
-def _cohort_activity(stg: DataFrame) -> DataFrame:
-    # A user's first month is the smallest of the active ones, so the staging table is read once.
+def _active(stg: DataFrame) -> DataFrame:
     # Months are combined before the shuffle, by hash; what is left, a row per user and calendar
-    # month at most, is what the window sorts.
+    # month at most, is what the window of the cohorts sorts.
     known = stg.filter(F.col("user_id").isNotNull())
-    active = known.select("user_id", F.trunc("event_date", "month").alias("activity")).distinct()
+    return known.select("user_id", F.trunc("event_date", "month").alias("activity")).distinct()
+
+
+def _cohort_activity(active: DataFrame) -> DataFrame:
+    # A user's first month is the smallest of the active ones, so the staging table is read once.
     cohort = F.min("activity").over(Window.partitionBy("user_id"))
     return active.select("user_id", cohort.alias("cohort"), "activity").filter("activity IS NOT NULL")
 
 
 def cohort_activity(stg: DataFrame) -> DataFrame:
     """Active months of each user next to the month of first activity."""
-    return _cohort_activity(stg).select(
+    return _cohort_activity(_active(stg)).select(
         "user_id",
         month(F.col("activity")).alias("activity_month"),
         month(F.col("cohort")).alias("cohort_month"),
@@ -80,11 +83,16 @@ def cohort_activity(stg: DataFrame) -> DataFrame:
 
 
 def cohort(stg: DataFrame) -> DataFrame:
-    """Retention: how many users of each cohort were active in each month.
+    """Retention: how many users of each cohort were active in each month."""
+    return cohort_of_months(_active(stg))
+
+
+def cohort_of_months(active: DataFrame) -> DataFrame:
+    """Retention from one row per user and month of activity (``user_id``, ``activity``).
 
     Every user is active in the cohort's own month, so that cell is the size of the cohort.
     """
-    cells = _cohort_activity(stg).groupBy("cohort", "activity")
+    cells = _cohort_activity(active).groupBy("cohort", "activity")
     cells = cells.agg(F.count(F.lit(1)).alias("active_users"))
     own = F.when(F.col("activity") == F.col("cohort"), F.col("active_users"))
     sized = cells.withColumn("cohort_size", F.max(own).over(Window.partitionBy("cohort")))
@@ -99,7 +107,11 @@ def cohort(stg: DataFrame) -> DataFrame:
 
 def item_stats(stg: DataFrame) -> DataFrame:
     """Events per item and type, and carts and orders in percent of clicks."""
-    items = stg.groupBy("aid").agg(*type_counts())
+    return item_rates(stg.groupBy("aid").agg(*type_counts()))
+
+
+def item_rates(items: DataFrame) -> DataFrame:
+    """Carts and orders in percent of clicks, beside the counts of each item."""
     return items.select(
         "*",
         rate("cart_count", "click_count").alias("cart_rate"),

@@ -346,6 +346,8 @@ ORACLES: dict[str, str] = {
         NULL::VARCHAR AS city, NULL::VARCHAR AS email, NULL::VARCHAR AS phone, membership,
         preferred_device, NULL::VARCHAR AS signup_date FROM users""",
     "incremental_run": f"WITH {ENRICHED} SELECT {STG_COLUMNS} FROM enriched",
+    "incremental_without_users": f"WITH {ENRICHED} SELECT {STG_COLUMNS} FROM enriched",
+    "incremental_marts": f"WITH {ENRICHED}, {ALL_MARTS}, {_session('enriched')} {_mart_values()}",
     "stg_roundtrip": SELECT_STG,
     "scan_stg_pruned": f"""{SELECT_STG} WHERE event_date IN
         ({", ".join(f"DATE '{d}'" for d in queries.PRUNED_DAYS)})

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmart import schemas
@@ -334,6 +334,27 @@ def incremental_run(spark, sf_dir):
     return stg
 
 
+@query
+def incremental_without_users(spark, sf_dir):
+    # A day arrives once more and nobody passes the users: the stored profiles stay.
+    base, raw = files.scratch_dir(spark, "shop"), fixtures.raw(spark, sf_dir)
+    daily.stage(spark, raw, base, fixtures.users(spark, sf_dir))
+    again = raw.filter(fixtures.arrival().cast("date") == F.to_date(F.lit(REPLACED_DAY)))
+    return daily.stage(spark, again, base, merge=True)
+
+
+@query
+def incremental_marts(spark, sf_dir):
+    # Marts of all days but one arrival day, then kept by that day's delta; a seventh of it is late.
+    base, raw, users = files.scratch_dir(spark, "shop"), fixtures.raw(spark, sf_dir), fixtures.users(spark, sf_dir)
+    day = F.date_add(fixtures.arrival().cast("date"), F.when(F.col("ts") % 7 == 0, 1).otherwise(0))
+    held = F.to_date(F.lit(REPLACED_DAY))
+    daily.run(spark, raw.filter(day != held), base, users)
+    daily.run(spark, raw.filter(day == held), base, users, merge=True)
+    state = daily.shop(spark, base)
+    return reduce(DataFrame.unionByName, (_values(files.read_mart(spark, state, m), m) for m in MART_TABLES))
+
+
 @query
 def mart_roundtrip(spark, sf_dir):
     base = files.scratch_dir(spark, "mart")
@@ -372,17 +393,22 @@ def mart_numbers(name: str) -> list[str]:
     return [c for c, kind in fields if kind in ("BIGINT", "DOUBLE") and c not in schemas.CONTRACTS[name].key]
 
 
-def _loaded_values(spark: SparkSession, url: str, options: dict[str, str], name: str) -> DataFrame:
-    """Every number that the database has of a mart, and whether its load time is set."""
-    table = jdbc.read_table(spark, url, MART_TABLES[name], options)
+def _values(table: DataFrame, name: str, created: Column | bool = True) -> DataFrame:
+    """Every number of a mart by key and column."""
     key = F.concat_ws("|", *(F.col(c).cast("string") for c in schemas.CONTRACTS[name].key))
     wide = table.select(
-        F.lit(name).alias("mart"), key.alias("key"), F.col("created_at").isNotNull().alias("created"),
+        F.lit(name).alias("mart"), key.alias("key"), F.lit(created).alias("created"),
         *(F.col(c).cast("double") for c in mart_numbers(name)),
     )
     return wide.unpivot(["mart", "key", "created"], mart_numbers(name), "column", "value")
 
 
+def _loaded_values(spark: SparkSession, url: str, options: dict[str, str], name: str) -> DataFrame:
+    """Every number that the database has of a mart, and whether its load time is set."""
+    table = jdbc.read_table(spark, url, MART_TABLES[name], options)
+    return _values(table, name, F.col("created_at").isNotNull())
+
+
 @query
 def jdbc_roundtrip_marts(spark, sf_dir):
     url, options = _database(spark)

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from clickmart import schemas
 from clickmart.fixed_values import UNKNOWN_TYPE
 from clickmart.operators.ingest import CORRUPT, from_messages
+from clickmart.sources import published
+from clickmart.sources.published import State
 
 LANDING_PARTS = ("et", "y", "m", "d", "h")
 
@@ -52,6 +54,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def remove_batches(spark: SparkSession, path: str, before: int) -> None:
     """Remove the folders ``batch=<id>`` of ``path`` with a smaller id."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -163,13 +171,17 @@ def read_messages(
 
 
 def read_stg(
-    spark: SparkSession, path: str, days: Sequence[str] = (), types: Sequence[str] = ()
+    spark: SparkSession, source: str | State, days: Sequence[str] = (), types: Sequence[str] = ()
 ) -> DataFrame:
-    """Staging table; ``days`` and ``types`` prune its partitions.
+    """Staging table in a folder or of a published state; ``days`` and ``types`` prune its partitions.
 
-    The schema is given, so an empty table reads as one without rows.
+    The schema is given, so an empty table reads as one without rows. Of a published state, the folders
+    of other days are not even listed.
     """
-    stg = spark.read.schema(schemas.STG).parquet(path).select(*schemas.columns(schemas.STG))
+    if isinstance(source, State):
+        stg = published.read(spark, source, "stg", schemas.STG, [f"event_date={d}" for d in days] if days else None)
+    else:
+        stg = spark.read.schema(schemas.STG).parquet(source).select(*schemas.columns(schemas.STG))
     if days:
         stg = stg.filter(F.col("event_date").isin(*(F.to_date(F.lit(d)) for d in days)))
     if types:
@@ -198,16 +210,6 @@ def replace_day(stg: DataFrame, path: str, day: str) -> None:
     balanced.write.mode("overwrite").partitionBy("event_type").parquet(folder)
 
 
-def replace_days(stg: DataFrame, path: str) -> None:
-    """Replace the (day, type) folders that ``stg`` has rows of; all others stay.
-
-    ``stg`` must not be read from ``path`` itself.
-    """
-    balanced = stg.hint("rebalance", *schemas.STG_PARTITIONS)
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*schemas.STG_PARTITIONS).parquet(path)
-
-
 # Marts
 
 
@@ -216,6 +218,9 @@ def write_mart(mart: DataFrame, base: str, name: str) -> None:
     mart.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
 
 
-def read_mart(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A mart by name."""
+def read_mart(spark: SparkSession, source: str | State, name: str) -> DataFrame:
+    """A mart by name, in a folder or of a published state."""
+    if isinstance(source, State):
+        return published.read(spark, source, name, schemas.MARTS[name])
+    base = source
     return spark.read.schema(schemas.MARTS[name]).parquet(f"{base.rstrip('/')}/{name}")

@@ -199,7 +199,7 @@ def test_daily_run_from_raw_files_to_the_database(spark, database, sf_dir, tmp_p
     assert rows["raw"] == fixtures.raw(spark, sf_dir).count() and rows["stg"] == stg.count()
     for name, table in daily.MART_TABLES.items():
         assert jdbc.count_rows(spark, url, table, options) == rows[name] > 0
-        assert same(files.read_mart(spark, str(tmp_path / "mart"), name), marts.build(stg, name))
+        assert same(files.read_mart(spark, daily.shop(spark, str(tmp_path)), name), marts.build(stg, name))
 
 
 def test_daily_run_with_a_large_user_dimension_gives_the_same_table(spark, sf_dir, tmp_path):
@@ -211,11 +211,12 @@ def test_daily_run_with_a_large_user_dimension_gives_the_same_table(spark, sf_di
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert same(small, large)
-    assert sorted(p.name for p in tmp_path.glob("b/*")) == ["mart", "stg"]
-    assert same(files.read_stg(spark, f"{tmp_path}/a/stg"), files.read_stg(spark, f"{tmp_path}/b/stg"))
+    assert sorted(p.name for p in tmp_path.glob("b/*")) == ["_published", *sorted([*daily.MART_TABLES, "stg", "user_months"])]
+    assert same(*(files.read_stg(spark, daily.shop(spark, f"{tmp_path}/{x}")) for x in "ab"))
 
 
 def test_daily_run_stops_before_the_marts_when_a_check_fails(spark, tmp_path):
     with pytest.raises(ValueError, match="total_count=0"):
         daily.run(spark, raw(spark, (1, 1, 1, "junk", "u")), str(tmp_path))
-    assert not (Path(tmp_path) / "mart").exists()
+    with pytest.raises(ValueError, match="nothing has been published"):
+        daily.shop(spark, str(tmp_path))
