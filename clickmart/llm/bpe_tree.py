@@ -24,6 +24,7 @@ import hashlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -33,6 +34,8 @@ from . import common
 
 #: Characters (tokens) that a leaf of the text (decoding) tree has at most.
 LEAF = 4096
+#: Bytes of a window that are merged without a heap, and what long words are cut at multiples of.
+SHORT, ALIGNED = 48, 4096
 WHITE = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 
 
@@ -96,10 +99,12 @@ class Codec:
         return self._merged(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
 
     def _merged(self, data: bytes) -> list[int]:
-        """Tokens of a short window: the neighbours of the lowest rank merge until none has a rank."""
+        """Tokens of a window: the neighbours of the lowest rank merge until none has a rank."""
         whole = self.ranks.get(data)
         if whole is not None:
             return [whole]
+        if len(data) > SHORT:
+            return self._merged_by_heap(data)
         parts = [data[i : i + 1] for i in range(len(data))]
         ranks, none = self.ranks, 1 << 62
         pair = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:], strict=False)]
@@ -116,6 +121,32 @@ class Codec:
                 pair[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
         return [ranks[p] for p in parts]
 
+    def _merged_by_heap(self, data: bytes) -> list[int]:
+        """The same for a long window; the time grows a little more than its length."""
+        n, rank = len(data), self.ranks.get
+        # Parts are named by where they begin; one that was taken up by the part before it ends nowhere.
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := rank(data[i : i + 2])) is not None]
+        heapify(heap)
+        while heap:
+            _, i, stop = heappop(heap)
+            j = end[i]
+            if j < 0 or j >= n or end[j] != stop:
+                continue
+            end[i], end[j] = stop, -1
+            if stop < n:
+                before[stop] = i
+                if (r := rank(data[i : end[stop]])) is not None:
+                    heappush(heap, (r, i, end[stop]))
+            j = before[i]
+            if j >= 0 and (r := rank(data[j:stop])) is not None:
+                heappush(heap, (r, j, stop))
+        found, i = [], 0
+        while i < n:
+            found.append(self.ranks[data[i : end[i]]])
+            i = end[i]
+        return found
+
     def tokens(self, data: bytes) -> list[int]:
         """Tokens of a word's bytes, encoded by halves."""
         if len(data) <= 8:
@@ -124,6 +155,9 @@ class Codec:
         if whole is not None:
             return [whole]
         half = len(data) // 2
+        if half > ALIGNED:
+            # Runs of one sign have tokens of a power of two; cut between such tokens, halves fit at once.
+            half -= half % ALIGNED
         return self._join_tokens(self.tokens(data[:half]), self.tokens(data[half:]))
 
     def _join_tokens(self, left: list[int], right: list[int]) -> list[int]:

@@ -30,8 +30,10 @@ LANE, LANES = 256, 8192
 SHARE, CONTEXT = 10, 18
 #: Confidence of a prediction: 0 to LEVELS - 1.
 LEVELS = 8
-#: Order 0 adds STEP to the count of an id, and halves all counts beyond MOST in total.
-STEP, MOST = 8, 1 << 19
+#: What is added to a confidence after a miss and after a hit.
+CHANGE = np.array([x for c in range(LEVELS) for x in (c // 2 - c, int(c < LEVELS - 1))], np.int64)
+#: Order 0 adds STEP to the count of an id, and halves all counts until they are MOST in total at most.
+STEP, MOST = 8, 9 << 17
 #: The shared statistics take up what was seen after these first steps, and then after every so many.
 FIRST, EVERY = (1, 2, 4, 8), 16
 
@@ -56,11 +58,12 @@ class _Model:
         # Per confidence: tries and hits of order 2, and of order 1 where order 2 failed, from a mild start.
         self.tries = np.full((2, LEVELS), 64, np.int64)
         self.hits = 8 * np.arange(1, LEVELS + 1)[None, :] * np.ones((2, 1), np.int64)
+        self.outcomes = np.zeros(4 * LEVELS * LEVELS, np.int64)
         self.steps, self.pending = 0, []
         self._settle()
 
     def _settle(self) -> None:
-        if self.counts.sum() > MOST:
+        while self.counts.sum() > MOST:
             self.counts = (self.counts + 1) >> 1
         self.low = np.concatenate([[0], np.cumsum(self.counts)])
         self.total = int(self.low[-1])
@@ -84,26 +87,33 @@ class _Model:
         self.place = (self.before2 * 40503 ^ self.before1 * 9973) & ((1 << CONTEXT) - 1)
         self.found2, self.found1 = self.next2.take(self.place), self.next1.take(self.before1)
         self.named2, self.named1 = self.found2 >> 3, self.found1 >> 3
-        share = (self.found2 & 7) << 3 | self.found1 & 7
+        self.sure2, self.sure1 = self.found2 & 7, self.found1 & 7
+        share = self.share = self.sure2 << 3 | self.sure1
         return self.named2, self.named1, self.mass2.take(share), self.mass1.take(share), self.share0.take(share)
 
     def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
         """The ids of a step, and where the named ids came true."""
         fresh = ids << 3
-        for place, found, hit, table in (
-            (self.place, self.found2, hit2, self.next2), (self.before1, self.found1, hit1, self.next1)
-        ):
-            sure = found & 7
-            missed = np.where(sure == 0, fresh, found - sure + (sure >> 1))
-            table[place] = np.where(hit, found + (sure < LEVELS - 1), missed)
+        for place, found, sure, hit, table in (
+            (self.place, self.found2, self.sure2, hit2, self.next2),
+            (self.before1, self.found1, self.sure1, hit1, self.next1),
+        ):
+            # One up where the id came true, else halved; an id without confidence gives way.
+            after = found + CHANGE.take(sure << 1 | hit)
+            gone = np.flatnonzero(sure + hit == 0)
+            after[gone] = fresh.take(gone)
+            table[place] = after
         self.pending.append(ids)
+        # Confidences and outcomes of both orders as one number per lane.
+        self.outcomes += np.bincount(self.share << 2 | hit2 << 1 | hit1, minlength=4 * LEVELS * LEVELS)
         self.steps += 1
         if self.steps in FIRST or self.steps % EVERY == 0:
-            at2, at1, missed2 = self.found2 & 7, self.found1 & 7, ~hit2
-            self.tries[0] += np.bincount(at2, minlength=LEVELS)
-            self.hits[0] += np.bincount(at2[hit2], minlength=LEVELS)
-            self.tries[1] += np.bincount(at1[missed2], minlength=LEVELS)
-            self.hits[1] += np.bincount(at1[missed2 & hit1], minlength=LEVELS)
+            of2, of1 = self.outcomes.reshape(LEVELS, LEVELS, 2, 2).sum(1), self.outcomes.reshape(LEVELS, LEVELS, 2, 2).sum(0)
+            self.tries[0] += of2.sum((1, 2))
+            self.hits[0] += of2[:, 1].sum(1)
+            self.tries[1] += of1[:, 0].sum(1)
+            self.hits[1] += of1[:, 0, 1]
+            self.outcomes[:] = 0
             self.counts += STEP * np.bincount(np.concatenate(self.pending), minlength=self.size)
             self.pending = []
             self._settle()
@@ -138,8 +148,12 @@ def encode(ids: np.ndarray, vocabulary: int) -> bytes:
     for x in columns if n else ():
         named2, named1, mass2, mass1, share0 = model.predict()
         hit2, hit1 = named2 == x, named1 == x
-        start = model.low.take(x) * share0 + mass2 * (named2 < x) + mass1 * (named1 < x)
-        width = model.counts.take(x) * share0 + mass2 * hit2 + mass1 * hit1
+        start = model.low.take(x) * share0
+        start += mass2 * (named2 < x)
+        start += mass1 * (named1 < x)
+        width = model.counts.take(x) * share0
+        width += mass2 * hit2
+        width += mass1 * hit1
         span //= model.unit
         low += start.view(np.uint64) * span
         span *= width.view(np.uint64)
@@ -190,17 +204,28 @@ def decode(block: bytes) -> np.ndarray:
         over2 = target - model.low.take(named2 + 1) * share0
         over1 = target - model.low.take(named1 + 1) * share0
         first2 = named2 <= named1
-        over2 -= np.where(first2, 0, np.clip(over1, 0, mass1))
-        over1 -= np.where(first2, np.clip(over2, 0, mass2), 0)
-        x = np.where((over2 >= 0) & (over2 < mass2), named2, named1)
-        plain = np.flatnonzero(((over2 < 0) | (over2 >= mass2)) & ((over1 < 0) | (over1 >= mass1)))
+        before = np.minimum(np.maximum(over1, 0), mass1)
+        before[first2] = 0
+        over2 -= before
+        before = np.minimum(np.maximum(over2, 0), mass2)
+        before *= first2
+        over1 -= before
+        # As unsigned numbers, places before a share are beyond it.
+        in2 = over2.view(np.uint64) < mass2.view(np.uint64)
+        in1 = over1.view(np.uint64) < mass1.view(np.uint64)
+        x = np.where(in2, named2, named1)
+        plain = np.flatnonzero(~(in2 | in1))
         rest = target.take(plain)
-        rest -= np.where(over2.take(plain) >= 0, mass2.take(plain), 0)
-        rest -= np.where(over1.take(plain) >= 0, mass1.take(plain), 0)
+        rest -= mass2.take(plain) * (over2.take(plain) >= 0)
+        rest -= mass1.take(plain) * (over1.take(plain) >= 0)
         x[plain] = model.symbol(rest // share0.take(plain))
         hit2, hit1 = named2 == x, named1 == x
-        start = model.low.take(x) * share0 + mass2 * (named2 < x) + mass1 * (named1 < x)
-        width = model.counts.take(x) * share0 + mass2 * hit2 + mass1 * hit1
+        start = model.low.take(x) * share0
+        start += mass2 * (named2 < x)
+        start += mass1 * (named1 < x)
+        width = model.counts.take(x) * share0
+        width += mass2 * hit2
+        width += mass1 * hit1
         low += start.view(np.uint64) * span
         span *= width.view(np.uint64)
         out, a, b = _narrowed(low, span)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -14,7 +15,8 @@ from hypothesis import strategies as st
 from public_tokenizers import PATTERN
 from tokenizers import Tokenizer
 
-from clickmart.llm import bpe_tree, mixing_coder, packing, token_files, tokens
+from clickmart.llm import bpe_tree, common, mixing_coder, packing, token_files, tokens
+from clickmart.llm.queries import QUERIES
 
 SMALL = settings(max_examples=150, deadline=None)
 PIECES = [
@@ -24,26 +26,39 @@ PIECES = [
 TEXT = st.lists(st.sampled_from(PIECES), max_size=40).map("".join)
 
 
-def library(path):
+def library(path, plain=True):
     found = Tokenizer.from_file(path)
-    found.encode_special_tokens = True
+    found.encode_special_tokens = not plain
     return found
 
 
+@pytest.mark.parametrize("plain", [True, False])
 @pytest.mark.parametrize("name, keep_space", [("word_bpe_49k.json", False), ("byte_bpe_50k.json", True)])
-def test_ids_are_those_of_the_library(vocabulary, name, keep_space):
-    encoder, plain = tokens.Encoder(vocabulary(name), keep_space, most=50), library(vocabulary(name))
+def test_ids_are_those_of_the_library(vocabulary, name, keep_space, plain):
+    path = vocabulary(name)
+    encoder = tokens.Ranks(path, plain) if keep_space else tokens.Words(path, plain, most=50)
+    of_library = library(path, plain)
 
     @SMALL
     @given(TEXT)
     def check(text):
-        want = plain.encode(text, add_special_tokens=False).ids
+        want = of_library.encode(text, add_special_tokens=False).ids
         for _ in range(3):
             assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want
 
     check()
 
 
+def test_byte_level_ids_of_every_character_and_of_long_runs(vocabulary):
+    path = vocabulary("byte_bpe_50k.json")
+    encoder, of_library = tokens.encoder(path, True), library(path)
+    every = [chr(i) for i in range(0x20000) if not 0xD800 <= i < 0xE000]
+    texts = ["".join(f"a{c}b 1{c}{c} {c}." for c in every[i : i + 512]) for i in range(0, len(every), 512)]
+    texts += ["=" * 200_000, " " * 50_000, "\n x" * 20_000, "ab" * 50_000]
+    for text, want in zip(texts, of_library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(encoder.ids(text), "<u4").tolist() == want.ids
+
+
 # Packing
 
 
@@ -182,6 +197,23 @@ def test_long_runs(codec, reference_encoding, text):
     assert memoryview(codec.encode(text)).cast("I").tolist() == reference_encoding.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("text", ["=" * 1_000_000, "ha" * 200_000, "abc" * 100_001, "é" * 70_000, " " * 100_000])
+def test_very_long_runs_take_seconds(codec, reference_encoding, text):
+    begin = time.monotonic()
+    found = codec.encode(text)
+    assert time.monotonic() - begin < 20
+    assert memoryview(found).cast("I").tolist() == reference_encoding.encode_ordinary(text)
+    assert codec.decode(memoryview(found).cast("I")) == text.encode()
+
+
+def test_windows_merged_by_heap_and_by_list(codec):
+    rng = random.Random(1)
+    for n in (2, 7, 60, 300):
+        for letters in (b"a", b"ab", b"the re", bytes(range(256))):
+            data = bytes(rng.choices(letters, k=n))
+            assert codec._merged_by_heap(data) == codec.tokens(data)
+
+
 def test_long_words_without_pattern(codec, reference_encoding):
     rng = random.Random(0)
     for _ in range(5):
@@ -194,3 +226,16 @@ def test_documents_are_encoded_and_decoded(frame, odd_rows, vocabulary, referenc
     want = [(id, reference_encoding.encode_ordinary(text or ""), (text or "").encode()) for id, text in odd_rows]
     assert sorted([(r["_id"], r["ids"], bytes(r["decoded"])) for r in found], key=str) == sorted(want, key=str)
     assert bpe_tree.encode(frame([]), vocabulary("byte_bpe_50k.tiktoken"), PATTERN).count() == 0
+
+
+def test_registered_token_files_are_the_plain_library_call(spark, sf_dir, vocabulary):
+    """All columns of op4, end id and checksums included, against the library."""
+    of_library, start = library(vocabulary("byte_bpe_50k.json")), 0
+    docs = sorted(map(tuple, common.read(spark, sf_dir, "documents").select("doc_id", "text").collect()))
+    found = {r["doc_id"]: r for r in QUERIES["op4_token_files"](spark, sf_dir).collect()}
+    assert len(found) == len(docs)
+    for doc, text in docs:
+        ids = [*of_library.encode(text or "", add_special_tokens=False).ids, 0]
+        row = found[doc]
+        assert (row["start"], row["n_tokens"], row["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
