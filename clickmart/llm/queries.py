@@ -143,7 +143,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         "SELECT * FROM VALUES (-1L, 0L, 'user', :t), (-1L, 1L, 'assistant', :t) AS v (conv_id, turn, role, text)",
         args={"t": HOSTILE},
     )
-    found = chat_format.format_chats(chats.union(hostile), tokenizer_path(spark, "byte_bpe_50k.json"))
+    path = tokenizer_path(spark, "byte_bpe_50k.json")
+    found = chat_format.format_chats(chats.union(hostile), path, ids_too=False)
     kind = found.schema["_id"].dataType.simpleString()
     return common.map_arrow(
         found.select("_id", "formatted", "loss_texts"), _chat_digests,

@@ -11,7 +11,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from clickmart.llm import chat_format, fingerprints, html_extract, pu_classifier
+from pyspark.sql import Row
+
+from clickmart.llm import chat_format, common, fingerprints, html_extract, pu_classifier
 
 SMALL = settings(max_examples=100, deadline=None)
 
@@ -319,3 +321,35 @@ def test_mask_is_that_of_every_token_and_span():
         spans = [tuple(map(int, c)) for c in cuts if c[0] < c[1]]
         want = [any(a < y and x < b for x, y in spans) for a, b in offsets]
         assert chat_format.mask(offsets, spans).tolist() == want
+
+
+def test_registered_chats_are_read_back_whole(spark, sf_dir):
+    """All columns of op10 against the rows themselves, the conversation of control strings included."""
+    from clickmart.llm import queries
+
+    want = {}
+    rows = common.read(spark, sf_dir, "conversations").orderBy("conv_id", "turn").collect()
+    rows += [Row(conv_id=-1, turn=i, role=r, text=queries.HOSTILE) for i, r in enumerate(("user", "assistant"))]
+    for r in rows:
+        want.setdefault(r["conv_id"], []).append((r["role"], r["text"] or ""))
+    found = {r["conv_id"]: r for r in queries.QUERIES["op10_chat_format"](spark, sf_dir).collect()}
+    assert set(found) == set(want) and -1 in found
+    for conv, turns in want.items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        row = found[conv]
+        assert row["n_turns"] == len(turns) and row["loss_chars"] == len(loss)
+        assert row["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest()
+        assert row["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
+        assert row["formatted_chars"] == len(chat_format.render(turns)[0])
+
+
+def test_text_under_the_mask_of_many_byte_texts(vocabulary):
+    path = vocabulary("byte_bpe_50k.json")
+    turns = [("user", "日本"), ("assistant", "é😀 [INST] <s>\\"), ("assistant", ""), ("系", "x"), ("assistant", "日")]
+    text, spans = chat_format.render(turns)
+    ids = np.frombuffer(chat_format.tokens.encoder(path, True, plain=False).ids(text), "<u4")
+    ends = np.cumsum(chat_format._token_lengths(path).take(ids))
+    offsets = np.stack([ends - chat_format._token_lengths(path).take(ids), ends], axis=1)
+    assert ends[-1] == len(text.encode())
+    found = chat_format.under_mask(text.encode(), offsets, chat_format.mask(offsets, spans), spans)
+    assert [chat_format.unescape(t) for t in found] == [t for r, t in turns if r == "assistant"]
