@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-from clickmart.fixed_values import AGE_GROUPS, GENDERS
+from clickmart.fixed_values import AGE_GROUPS, FLUSH_SECONDS, GENDERS
 from clickmart.operators import ingest, profile, quality
 from clickmart.plans import daily
 from clickmart.schemas import EVENT, EVENT_ORDER, columns
@@ -22,6 +22,8 @@ from clickmart.streaming import events as streams
 
 
 def _raw(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    if args.manifest:
+        return files.read_batches(spark, args.raw, args.days)
     if args.landed:
         return files.read_landed(spark, args.raw, days=args.days)
     return files.read_raw(spark, args.raw, args.ext, days=args.days or ("",))
@@ -103,9 +105,12 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
     """Kafka to the raw zone, until stopped or, with --drain, until all is read."""
     topics = ingest.topic_names(args.topics).values()
-    messages = kafka.read_messages(spark, args.servers, topics, args.batch)
-    trigger = streams.DRAIN if args.drain else streams.EVERY_FLUSH
-    streams.land_raw(messages, args.raw, args.checkpoint, trigger).awaitTermination()
+    delay = f"{FLUSH_SECONDS}s" if args.least else None
+    messages = kafka.read_messages(spark, args.servers, topics, args.batch, args.least, delay)
+    # With --least a batch is due when it is full or the time is up, so both are looked at more often.
+    often = {"processingTime": "1 second"} if args.least else streams.EVERY_FLUSH
+    write = streams.land_batches if args.manifest else streams.land_raw
+    write(messages, args.raw, args.checkpoint, streams.DRAIN if args.drain else often).awaitTermination()
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -152,6 +157,8 @@ def parser() -> argparse.ArgumentParser:
         sub.add_argument("--limit", type=int, default=0, help="events to publish, 0: all")
         sub.add_argument("--topics", default="shop", help="prefix of the topics")
         sub.add_argument("--batch", type=int, help="most messages per batch")
+        sub.add_argument("--least", type=int, help="messages a batch waits for, a minute at most")
+        sub.add_argument("--manifest", action="store_true", help="raw zone by manifest instead of the sink's log")
         sub.add_argument("--drain", action="store_true")
     return top
 

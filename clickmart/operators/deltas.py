@@ -16,9 +16,9 @@ from clickmart import schemas
 from clickmart.fixed_values import EVENT_TYPES
 from clickmart.functions.times import seconds_between
 from clickmart.operators import marts
+from clickmart.operators.marts import SESSION_KEY
 
 COUNTS = tuple(f"{t}_count" for t in EVENT_TYPES)
-SESSION_KEY = ("session_id", "user_id", "platform", "region")
 SESSION_SUMS = ("event_count", *COUNTS)
 USER_MONTHS = "user_id STRING, events BIGINT, month DATE"
 
@@ -58,11 +58,6 @@ def user_months_after(months: DataFrame, gone: DataFrame, new: DataFrame) -> Dat
     return every.groupBy("user_id", "month").agg(F.sum("events").alias("events")).filter("events > 0")
 
 
-def _sessions(rows: DataFrame) -> DataFrame:
-    ends = (F.min("event_dt").alias("session_start"), F.max("event_dt").alias("session_end"))
-    return rows.groupBy(*SESSION_KEY).agg(*ends, F.count(F.lit(1)).alias("event_count"), *marts.type_counts())
-
-
 def same_session(a: DataFrame, b: DataFrame) -> Column:
     """Whether two rows have the same session key; missing parts of it count as equal."""
     same = F.lit(True)
@@ -84,7 +79,7 @@ def sessions(
 
     ``other_days`` gives the staging rows of days (``event_date``) that were not touched.
     """
-    taken, added = _sessions(gone), _sessions(new)
+    taken, added = marts.session_parts(gone), marts.session_parts(new)
     both = before.join(taken, same_session(before, taken))
     lost = (before["session_start"] == taken["session_start"]) | (before["session_end"] == taken["session_end"])
     edge = both.filter(lost & (before["event_count"] > taken["event_count"])).select(
@@ -92,7 +87,7 @@ def sessions(
     )
     span = F.sequence(F.to_date("session_start"), F.to_date("session_end"))
     rest = other_days(edge.select(F.explode(span).alias("event_date")).distinct())
-    rest = _sessions(rest.join(edge.select(*SESSION_KEY), same_session(rest, edge), "left_semi"))
+    rest = marts.session_parts(rest.join(edge.select(*SESSION_KEY), same_session(rest, edge), "left_semi"))
     tagged = [rows.select(*SESSION_KEY, "session_start", "session_end", *SESSION_SUMS, F.lit(kind).alias("kind"))
               for kind, rows in (("before", before), ("gone", taken), ("new", added), ("rest", rest))]
     every = tagged[0]

@@ -21,16 +21,39 @@ def first_rows(frame: DataFrame, order: Sequence[str], n: int, steps: int = STEP
     return frame.filter(_not_behind(frame, order, n, steps)).orderBy(*order).limit(n)
 
 
+def _rising(frame: DataFrame, name: str) -> tuple[Column | None, bool]:
+    """An integer that is never smaller for a later value of the column, and whether different values
+    always differ in it; None for types without one.
+
+    Times count in seconds; texts by their first seven bytes, which is how Spark compares texts.
+    """
+    kind, column = dict(frame.dtypes)[name], F.col(name)
+    if kind in NUMBERS:
+        return column, True
+    if kind == "date":
+        return F.unix_date(column).cast("bigint"), True
+    if kind == "timestamp":
+        return F.unix_seconds(column), False
+    if kind == "timestamp_ntz":
+        seconds = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        return F.unix_date(column.cast("date")).cast("bigint") * 86400 + seconds, False
+    if kind == "string":
+        start = F.hex(F.substring(column.cast("binary"), 1, 7))
+        return F.conv(F.rpad(start, 14, "0"), 16, 10).cast("bigint"), False
+    return None, False
+
+
 def _not_behind(frame: DataFrame, order: Sequence[str], n: int, steps: int) -> Column:
     """A condition that the first ``n`` rows meet, and at most about ``n`` others.
 
     The column's range is counted in ``steps`` parts, then the part with the n-th row again, and so
     on. If one value alone has more than ``n`` rows, they are cut by the next column. Each pass
-    reads the columns needed and returns ``steps`` counts.
+    reads the columns needed and returns ``steps`` counts. Texts and times are counted by a number
+    that goes up with them (see ``_rising``).
     """
-    if not order or dict(frame.dtypes)[order[0]] not in NUMBERS:
+    column, exact = _rising(frame, order[0]) if order else (None, False)
+    if column is None:
         return F.lit(True)
-    column = F.col(order[0])
     nulls, low, high = frame.agg(F.count_if(column.isNull()), F.min(column), F.max(column)).first()
     before, size = nulls, n + 1
     if low is None or before >= n:
@@ -49,7 +72,7 @@ def _not_behind(frame: DataFrame, order: Sequence[str], n: int, steps: int) -> C
             return F.lit(True)
         low, high = low + place * width, min(high, low + (place + 1) * width - 1)
     earlier = column.isNull() | (column <= high)
-    if size <= n:
+    if size <= n or not exact:
         return earlier
     ties = _not_behind(frame.filter(column == high), order[1:], n - before, steps)
     return column.isNull() | (column < high) | ((column == high) & ties)

@@ -30,18 +30,39 @@ def funnel_daily(stg: DataFrame) -> DataFrame:
     )
 
 
-def session(stg: DataFrame) -> DataFrame:
-    """Begin, end, duration and event counts of every session."""
-    sessions = stg.groupBy("session_id", "user_id", "platform", "region").agg(
+SESSION_KEY = ("session_id", "user_id", "platform", "region")
+
+
+def session_parts(stg: DataFrame) -> DataFrame:
+    """Begin, end and event counts per session key; parts of a session can be merged."""
+    return stg.groupBy(*SESSION_KEY).agg(
         F.min("event_dt").alias("session_start"),
         F.max("event_dt").alias("session_end"),
         F.count(F.lit(1)).alias("event_count"),
         *type_counts(),
     )
+
+
+def merged_sessions(parts: DataFrame) -> DataFrame:
+    """Sessions from parts of them."""
+    counts = ("event_count", *(f"{t}_count" for t in EVENT_TYPES))
+    return _timed(parts.groupBy(*SESSION_KEY).agg(
+        F.min("session_start").alias("session_start"),
+        F.max("session_end").alias("session_end"),
+        *(F.sum(c).alias(c) for c in counts),
+    ))
+
+
+def _timed(sessions: DataFrame) -> DataFrame:
     duration = seconds_between(F.col("session_start"), F.col("session_end"))
     return sessions.withColumn("duration_sec", duration)
 
 
+def session(stg: DataFrame) -> DataFrame:
+    """Begin, end, duration and event counts of every session."""
+    return _timed(session_parts(stg))
+
+
 def first_month(stg: DataFrame) -> DataFrame:
     """Month of each user's first activity."""
     first = stg.groupBy("user_id").agg(F.min("event_date").alias("first"))

@@ -292,6 +292,11 @@ ORACLES: dict[str, str] = {
     "mart_funnel_daily": SELECT_FUNNEL,
     "mart_session": f"WITH {ENRICHED}, {_session('enriched')} SELECT * FROM sessions",
     "mart_cohort": f"WITH {COHORTS} SELECT * FROM cohorts",
+    "bitmap_cohort": f"WITH {COHORTS} SELECT * FROM cohorts",
+    "bitmap_cohort_size": f"WITH {COHORT} SELECT * FROM cohort_size",
+    "bitmap_distinct_sessions": f"""WITH {STG}
+        SELECT event_date::VARCHAR AS days, count(DISTINCT session_id) AS n FROM stg GROUP BY 1
+        UNION ALL SELECT 'all', count(DISTINCT session_id) FROM stg""",
     "mart_item_stats": f"WITH {STG}, {ITEMS} SELECT * FROM items",
     "user_first_month": f"WITH {COHORT} SELECT * FROM first_month",
     "user_activity_months": f"WITH {COHORT} SELECT * FROM active",
@@ -361,10 +366,29 @@ ORACLES: dict[str, str] = {
     "jdbc_roundtrip_marts": f"WITH {STG}, {ALL_MARTS}, {_session('stg')} {_mart_values()}",
     "stream_source_decode": MESSAGES.replace(" FROM raw", ", NULL::VARCHAR AS _corrupt_record FROM raw"),
     "stream_raw_landing": f"WITH {RAW} SELECT 'shop' AS topic, user_id AS key, {DAMAGED_VALUE} AS value FROM raw",
+    "stream_landing_manifest": f"WITH {RAW} SELECT 'shop' AS topic, user_id AS key, {DAMAGED_VALUE} AS value FROM raw",
+    "stream_reconciled": f"""WITH {STG} SELECT session_id, aid, ts, event_dt, event_date, event_type, user_id
+        FROM stg""",
     "stream_type_counts": f"WITH {RAW} SELECT event_type, count(*) AS n FROM raw GROUP BY 1",
     "stream_clean": f"""WITH {STG} SELECT session_id, aid, ts, event_dt, event_date, event_type, user_id
         FROM stg""",
     "stream_funnel": SELECT_FUNNEL,
+    "stream_session": f"WITH {STG}, {_session('stg')} SELECT * FROM sessions",
+    "schema_drift": f"""WITH {RAW_IDENTIFIED},
+        fields AS (
+          SELECT event_id, ts, unnest(['session_id', 'ts', 'event_type']) AS field,
+                 unnest(['integer', 'integer', 'text']) AS kind FROM identified WHERE event_id % 53 <> 0
+          UNION ALL SELECT event_id, ts, 'user_id', 'text' FROM identified
+          WHERE event_id % 53 <> 0 AND user_id IS NOT NULL
+          UNION ALL SELECT event_id, ts, 'aid', CASE WHEN event_id % 59 = 0 THEN 'fraction' ELSE 'integer' END
+          FROM identified WHERE event_id % 53 <> 0 AND (aid IS NOT NULL OR event_id % 59 = 0)
+          UNION ALL SELECT event_id, ts, 'extra', 'boolean' FROM identified
+          WHERE event_id % 53 <> 0 AND event_id % 59 <> 0 AND event_id % 61 = 0
+          UNION ALL SELECT event_id, ts, NULL, 'no object' FROM identified WHERE event_id % 53 = 0)
+        SELECT strftime(make_timestamp(ts * 1000), '%Y') AS y, strftime(make_timestamp(ts * 1000), '%m') AS m,
+               strftime(make_timestamp(ts * 1000), '%d') AS d, field, kind,
+               coalesce(field <> 'extra', false) AS known, count(*) AS n
+        FROM fields GROUP BY ALL""",
     "daily_run_counts": f"""WITH {ENRICHED}, {ALL_MARTS}, {_session('enriched')}
         SELECT 'raw' AS step, count(*) AS rows, NULL::BIGINT AS sessions FROM raw
         UNION ALL SELECT 'stg', count(*), count(DISTINCT session_id) FROM enriched

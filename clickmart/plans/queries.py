@@ -13,7 +13,7 @@ from clickmart import schemas
 from clickmart.fixed_values import AGE_GROUPS, GENDERS, MART_TABLES, PROFILE_COLUMNS, STG_TABLE
 from clickmart.functions.rates import rate
 from clickmart.functions.times import utc_time
-from clickmart.operators import clean, ingest, marts, profile, quality
+from clickmart.operators import clean, distinct, ingest, marts, profile, quality
 from clickmart.plans import daily, fixtures
 from clickmart.sources import files, jdbc
 from clickmart.streaming import events as streams
@@ -119,6 +119,38 @@ def safe_rate(spark, sf_dir):
     )
 
 
+# Distinct counts from stored bitmaps
+
+
+def _day_bitmaps(spark: SparkSession, rows: DataFrame, id: str) -> DataFrame:
+    """Bitmaps of the ids of each day, written."""
+    numbers = files.scratch_table(spark, distinct.index(rows, id), "index")
+    return files.scratch_table(spark, distinct.bitmaps(rows, id, numbers, ["event_date"]), "bitmaps")
+
+
+def _month_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = _day_bitmaps(spark, fixtures.cohort_events(spark, sf_dir), "user_id")
+    return distinct.merged(days, [F.trunc("event_date", "month").alias("month")])
+
+
+@query
+def bitmap_cohort(spark, sf_dir):
+    return distinct.cohort(_month_bitmaps(spark, sf_dir))
+
+
+@query
+def bitmap_cohort_size(spark, sf_dir):
+    return distinct.cohort_size(_month_bitmaps(spark, sf_dir))
+
+
+@query
+def bitmap_distinct_sessions(spark, sf_dir):
+    days = _day_bitmaps(spark, fixtures.stg(spark, sf_dir), "session_id")
+    daily_counts = distinct.count(days, ["event_date"]).select(F.col("event_date").cast("string").alias("days"), "n")
+    whole = distinct.count(distinct.merged(days, []))
+    return daily_counts.unionByName(whole.select(F.lit("all").alias("days"), "n"))
+
+
 # Profiles and display
 
 
@@ -239,6 +271,11 @@ def dq_type_range(spark, sf_dir):
     return quality.type_range(raw, *RANGE_MS)
 
 
+@query
+def schema_drift(spark, sf_dir):
+    return quality.drift(fixtures.raw_lines(spark, sf_dir), "line", ["y", "m", "d"])
+
+
 def _contract(frame: DataFrame, name: str) -> DataFrame:
     return quality.contract(frame, schemas.CONTRACTS[name])
 
@@ -447,6 +484,33 @@ def stream_raw_landing(spark, sf_dir):
     return files.read_messages(spark, path)
 
 
+@query
+def stream_landing_manifest(spark, sf_dir):
+    path = files.scratch_dir(spark, "landed")
+    messages = _message_stream(spark, sf_dir, damaged=True)
+    streams.land_batches(messages, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    return files.batch_messages(spark, path)
+
+
+@query
+def stream_reconciled(spark, sf_dir):
+    # Half of the earlier events arrive after all the others; what the watermark drops of them is brought in
+    # from what has landed.
+    source, path = files.scratch_dir(spark, "messages"), files.scratch_dir(spark, "cleaned")
+    messages = fixtures.messages(spark, sf_dir)
+    ts = F.get_json_object("value", "$.ts").cast("bigint")
+    tardy = F.coalesce((ts < sum(RANGE_MS) // 2) & (F.pmod(F.xxhash64("value"), F.lit(2)) == 1), F.lit(False))
+    for part in (~tardy, tardy):
+        messages.filter(part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(schemas.MESSAGE).parquet(source)
+        cleaned = streams.clean(streams.decode(stream), "1 day")
+        streams.start_batches(cleaned, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    landed = streams.decode(spark.read.schema(schemas.MESSAGE).parquet(source))
+    streamed = files.read_stg(spark, path)
+    # Of copies with different profiles the first to arrive stays, so these columns are left out.
+    return streamed.unionByName(streams.missed(landed, streamed)).drop(*PROFILE_COLUMNS)
+
+
 @query
 def stream_type_counts(spark, sf_dir):
     path = files.scratch_dir(spark, "type-counts")
@@ -464,6 +528,16 @@ def stream_clean(spark, sf_dir):
     return files.read_stg(spark, path).drop(*PROFILE_COLUMNS)
 
 
+@query
+def stream_session(spark, sf_dir):
+    source, path = files.scratch_dir(spark, "stg"), files.scratch_dir(spark, "sessions")
+    files.write_stg(fixtures.stg(spark, sf_dir), source)
+    # A session's events come in several batches.
+    stg = spark.readStream.schema(schemas.STG).option("maxFilesPerTrigger", 32).parquet(source)
+    streams.start_sessions(stg, path, f"{path}-offsets", streams.DRAIN).awaitTermination()
+    return streams.read_sessions(spark, path)
+
+
 @query
 def stream_funnel(spark, sf_dir):
     source, path = files.scratch_dir(spark, "stg"), files.scratch_dir(spark, "funnel")

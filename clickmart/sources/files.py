@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from clickmart import schemas
 from clickmart.fixed_values import UNKNOWN_TYPE
 from clickmart.operators.ingest import CORRUPT, from_messages
-from clickmart.sources import published
+from clickmart.sources import manifest, published
 from clickmart.sources.published import State
 
 LANDING_PARTS = ("et", "y", "m", "d", "h")
@@ -167,6 +167,27 @@ def read_messages(
     return landed.select(*schemas.columns(schemas.MESSAGE))
 
 
+def read_batches(
+    spark: SparkSession, base: str, days: Sequence[str] = (), types: Sequence[str] = (), corrupt: bool = False
+) -> DataFrame:
+    """Raw events of the batches that a manifest names; of other days (``yyyy-MM-dd``) nothing is listed."""
+    names = [*schemas.columns(schemas.RAW), *([CORRUPT] if corrupt else [])]
+    return from_messages(batch_messages(spark, base, days, types), schemas.RAW, corrupt).select(*names)
+
+
+def batch_messages(
+    spark: SparkSession, base: str, days: Sequence[str] = (), types: Sequence[str] = ()
+) -> DataFrame:
+    """Messages as they were delivered, of the batches that a manifest names."""
+    folders = [f"{base.rstrip('/')}/{folder}" for folder in manifest.whole(spark, base, days)]
+    if not folders:
+        return spark.createDataFrame([], schemas.MESSAGE)
+    landed = spark.read.schema(f"{schemas.MESSAGE}, et STRING").option("basePath", base).json(folders)
+    if types:
+        landed = landed.filter(F.col("et").isin(*types))
+    return landed.select(*schemas.columns(schemas.MESSAGE))
+
+
 # Staging table
 
 

@@ -18,17 +18,26 @@ PRODUCER_OPTIONS = {
 
 
 def read_messages(
-    spark: SparkSession, servers: str, topics: Iterable[str], max_messages: int | None = None
+    spark: SparkSession,
+    servers: str,
+    topics: Iterable[str],
+    max_messages: int | None = None,
+    min_messages: int | None = None,
+    max_delay: str | None = None,
 ) -> DataFrame:
-    """All topics as one stream from the earliest offset; at most ``max_messages`` a batch."""
-    reader = (
-        spark.readStream.format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("subscribe", ",".join(topics))
-        .option("startingOffsets", "earliest")
-    )
-    if max_messages:
-        reader = reader.option("maxOffsetsPerTrigger", max_messages)
+    """All topics as one stream from the earliest offset; at most ``max_messages`` a batch.
+
+    With ``min_messages`` a batch waits until so many are there, but no longer than ``max_delay`` (as ``60s``): size or
+    time, whichever comes first, given a trigger that looks often enough.
+    """
+    options = {
+        "kafka.bootstrap.servers": servers, "subscribe": ",".join(topics), "startingOffsets": "earliest",
+        "maxOffsetsPerTrigger": max_messages, "minOffsetsPerTrigger": min_messages, "maxTriggerDelay": max_delay,
+    }
+    reader = spark.readStream.format("kafka")
+    for key, value in options.items():
+        if value:
+            reader = reader.option(key, value)
     texts = [F.col(c).cast("string").alias(c) for c in ("key", "value")]
     return reader.load().select("topic", *texts)
 

@@ -9,15 +9,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from clickmart import schemas
-from clickmart.fixed_values import EVENT_KEYS, FLUSH_SECONDS
+from clickmart.fixed_values import EVENT_KEYS, FLUSH_SECONDS, UNKNOWN_TYPE
 from clickmart.functions.times import FIRST_MS, utc_time
-from clickmart.operators.clean import add_event_time, drop_null_core, keep_valid_types
+from clickmart.operators.clean import add_event_time, drop_null_core, keep_valid_types, transform
 from clickmart.operators.ingest import from_messages
-from clickmart.operators.marts import funnel_daily
+from clickmart.operators.marts import funnel_daily, merged_sessions, session_parts
+from clickmart.sources import manifest
 from clickmart.sources.files import LANDING_PARTS, landing_parts, remove_batches
 
 EVERY_FLUSH = {"processingTime": f"{FLUSH_SECONDS} seconds"}
 DRAIN = {"availableNow": True}
+#: Files that a batch has per type at most.
+SPREAD = 2
 
 
 decode = from_messages
@@ -41,6 +44,48 @@ def land_raw(
     return writer.trigger(**(trigger or EVERY_FLUSH)).start()
 
 
+def land_batches(
+    messages: DataFrame, base: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Land messages verbatim like ``land_raw``, with a manifest by day instead of one growing log.
+
+    A micro-batch arrives in one hour: its files go to ``day=/hour=/batch=<id>-<attempt>/et=``, and a marker in
+    ``_manifest/<day>`` then names that folder. What has no marker is not there for readers, so files of
+    broken attempts stay invisible; a batch that is run again after its marker was written is not written twice.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if manifest.find(spark, base, batch_id):
+            return
+        text = batch.select("topic", *(F.col(c).cast("string").alias(c) for c in ("key", "value")))
+        kind = F.coalesce(F.from_json("value", "event_type STRING")["event_type"], F.lit(UNKNOWN_TYPE))
+        folder = manifest.new_folder(batch_id)
+        path = f"{base.rstrip('/')}/{folder}"
+        # Types are spread over tasks by message: most messages have the same one.
+        part = F.pmod(F.xxhash64("key", "value"), F.lit(SPREAD))
+        rows = text.withColumn("et", kind).repartition("et", part)
+        rows.write.mode("overwrite").partitionBy("et").json(path)
+        manifest.add(spark, base, folder)
+
+    writer = messages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or EVERY_FLUSH)).start()
+
+
+def missed(events: DataFrame, cleaned: DataFrame) -> DataFrame:
+    """Staging rows of raw events whose keys a streamed cleaning has not written: those the watermark dropped.
+
+    Give it what landed over some days and what the stream wrote for the days these events belong to;
+    ``daily.stage`` with ``merge`` brings the rows, as raw events, to exactly their days.
+    """
+    rows = transform(events)
+    there = cleaned.select(*(F.col(c).alias(f"_{c}") for c in EVENT_KEYS))
+    same = F.lit(True)
+    for c in EVENT_KEYS:
+        same = same & (F.col(c) == F.col(f"_{c}"))
+    return rows.join(there, same, "left_anti")
+
+
 def _sound() -> Column:
     # A time ahead of the clock must not carry the watermark along.
     return F.col("ts").between(F.lit(FIRST_MS), F.unix_millis(F.current_timestamp()))
@@ -75,6 +120,28 @@ def funnel(stg: DataFrame) -> DataFrame:
     return funnel_daily(stg)
 
 
+def start_sessions(
+    stg: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """The session mart of a stream of staging rows, as partial rows per micro-batch.
+
+    Begin, end and counts of a session merge, so the stream keeps no state, however long a session
+    lasts or pauses; ``read_sessions`` merges them. A batch that is run again replaces its folder.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session_parts(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = stg.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return writer.trigger(**(trigger or EVERY_FLUSH)).start()
+
+
+def read_sessions(spark: SparkSession, path: str) -> DataFrame:
+    """The session mart of all batches that ``start_sessions`` has written."""
+    parts = spark.read.schema(schemas.MARTS["session"]).parquet(path)
+    return merged_sessions(parts).select(*schemas.columns(schemas.MARTS["session"]))
+
+
 def start_append(
     frame: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:

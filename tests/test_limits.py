@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from clickmart.operators.limits import _not_behind, first_rows
 
@@ -52,3 +53,19 @@ def test_a_hot_value_is_cut_by_the_next_column(spark, steps):
 def test_little_more_than_the_limit_reaches_the_sort(spark):
     frame = spark.range(100_000).selectExpr("id * 1000003 % 99991 AS a")
     assert 50 <= frame.filter(_not_behind(frame, ["a"], 50, 100)).count() <= 150
+
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp", "timestamp_ntz"])
+def test_texts_and_times_are_cut_off_before_the_sort(spark, kind):
+    when = F.timestamp_seconds(F.col("id") * 7919 % 5000 * 28_800)
+    value = {"string": F.concat(F.lit("k"), (F.col("id") * 7919 % 5000).cast("string"), F.lit("é")), "date": when.cast("date")}
+    frame = spark.range(5000).select(F.when(F.col("id") % 501 != 0, value.get(kind, when.cast(kind))).alias("k"), "id")
+    want = [r.id for r in frame.orderBy("k", "id").limit(120).collect()]
+    kept = frame.filter(_not_behind(frame, ["k", "id"], 120, 50))
+    assert 120 <= kept.count() < 1500
+    assert [r.id for r in first_rows(frame, ["k", "id"], 120, 50).collect()] == want
+
+
+def test_texts_that_begin_alike_are_all_kept(spark):
+    frame = spark.createDataFrame([(f"same beginning {i:03}", i) for i in range(300)], "k string, id long")
+    assert [r.id for r in first_rows(frame, ["k"], 5).collect()] == [0, 1, 2, 3, 4]
