@@ -11,7 +11,8 @@ that holds the article: an article or main element, else the innermost one that
 
 A page is read by the classes it has: the first main element of the host that is on it. Extraction reads the slots
 inside, but for those of menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and comments, and
-but for texts that a slot repeats on nearly all pages of its class (``CONSTANT``, at least ``LEAST`` different pages).
+but for texts that a slot repeats on nearly all pages of its class (``CONSTANT``, at least ``LEAST`` different pages) in
+an element of which nothing else is the page's own: a heading or closing note that all articles of a host have stays.
 Inside an article or main element only a whole class name tells such an element at once; a single word of its class
 or id does if most pages of the host have the element. Ids of headings, paragraphs and the like never tell.
 
@@ -55,6 +56,7 @@ ENDS_SAME = {
     "th": ("td", "th"), "option": ("option",), "tbody": ("td", "th", "tr", "thead", "tbody"),
 }
 TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th figcaption caption address".split())
+HELD = TEXTUAL | frozenset("ul ol dl table thead tbody tfoot tr figure".split())
 SCOPE = frozenset("ul ol dl table tbody thead tr select".split())
 
 # Elements beside the article, by name, role, and words of class and id. Those of OUTER are beside it only outside.
@@ -243,6 +245,13 @@ def is_main(path: str) -> bool:
     return any(step.partition(".")[0] in MAIN for step in path.split("/"))
 
 
+def holder(path: str) -> str:
+    """The element that a heading, paragraph or list stands in; any other element itself."""
+    while _name(path) in HELD:
+        path = path.rpartition("/")[0]
+    return path
+
+
 def slot_key(path: str, text: str) -> int:
     """A slot and its text."""
     return xxhash.xxh64_intdigest(f"{path} {text}") >> 1
@@ -252,7 +261,8 @@ def main_text(
     source: str, element: str | Sequence[str] | None, constant: Set[int] = frozenset(), common: Sequence[str] = ()
 ) -> str:
     """The text in the first main element of the templates that the page has; without one, in articles, else in all that
-    is not beside one. Texts of slots in ``constant`` are the template's, suspects in ``common`` are beside the article."""
+    is not beside one. Texts of slots in ``constant`` are the template's if all of their element is, suspects in ``common``
+    are beside the article."""
     elements = [element] if isinstance(element, str) else element or []
     page = Page(source)
     dropped = [p for p in common if p in page.suspects]
@@ -263,7 +273,17 @@ def main_text(
             break
     else:
         chosen = [b for b in blocks if is_main(b.path)] or blocks
-    return "\n".join(b.text for b in chosen if not constant or slot_key(b.path, b.text) not in constant)
+    if not constant:
+        return "\n".join(b.text for b in chosen)
+    repeated = [slot_key(b.path, b.text) in constant for b in chosen]
+    # Elements with a text of the page's own, and all around them.
+    varied: set[str] = set()
+    for block, again in zip(chosen, repeated, strict=True):
+        path = "" if again else block.path
+        while path and path not in varied:
+            varied.add(path)
+            path = path.rpartition("/")[0]
+    return "\n".join(b.text for b, again in zip(chosen, repeated, strict=True) if not again or holder(b.path) in varied)
 
 
 # Templates

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -264,6 +266,37 @@ def test_words_tell_elements_that_most_pages_have(spark):
     assert all(t == words((i * 50, i * 50 + 50)) + "\nhistory 2" * (i == 2) for i, t in texts.items())
 
 
+def test_recurring_headings_and_closing_notes_of_articles_stay(spark):
+    rows, want = [], {}
+    for i in range(10):
+        one, two = words((i * 50, i * 50 + 25)), words((i * 50 + 25, i * 50 + 50))
+        body = f"<h2>Summary</h2><p>{one}</p><div class='s'><h3>References</h3><div class='b'><ul><li>{two}</li></ul></div></div>"
+        box = "<div class='box'><h4>About us</h4><p>We write.</p></div>"
+        rows.append((i, "http://r.example/", page(f"<article>{body}{box}<p>Thanks for reading.</p></article>")))
+        want[i] = f"Summary\n{one}\nReferences\n{two}\nThanks for reading."
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["_id"]: r["text"] for r in html_extract.extract(frame).collect()} == want
+
+
+def test_classes_against_plain_occurrence_vectors(spark):
+    rng = random.Random(3)
+    sources = []
+    for _ in range(12):
+        inner = "".join(rng.choice(["<div class='a'><p>x</p></div>", "<section><ul><li>y</li></ul></section>", "<p>z</p>"])
+                        for _ in range(rng.randint(0, 4)))
+        sources.append(page(f"<div class='m'>{inner}</div>" + "<div class='n'><p>w</p></div>" * rng.randint(0, 2)))
+    frame = spark.createDataFrame([(i, "http://v.example/", x) for i, x in enumerate(sources)], "page_id long, url string, html string")
+    classes = json.loads(html_extract.templates(frame).first()["template"])
+    counts = [Counter(html_extract.Page(x).elements) for x in sources]
+    vector = {t: tuple(c[t] for c in counts) for t in set().union(*counts)}
+    assert sorted(t for c in classes for t in c["tokens"]) == sorted(vector)
+    for found in classes:
+        assert len({vector[t] for t in found["tokens"]}) == 1
+        assert found["pages"] == sum(map(bool, vector[found["tokens"][0]]))
+    once = {t for t, v in vector.items() if set(v) == {1}}
+    assert any(set(c["tokens"]) == once for c in classes)
+
+
 # Chats
 
 PARTS = st.lists(
