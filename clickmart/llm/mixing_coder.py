@@ -51,9 +51,9 @@ class _Model:
 
     def __init__(self, vocabulary: int, lanes: int) -> None:
         self.size = vocabulary
-        self.counts = np.ones(vocabulary, np.int64)
+        self.counts = np.ones(vocabulary, np.int32)
         # The id that last followed a context, times LEVELS, plus the confidence.
-        self.next1, self.next2 = np.zeros(vocabulary, np.int64), np.zeros(1 << CONTEXT, np.int64)
+        self.next1, self.next2 = np.zeros(vocabulary, np.int32), np.zeros(1 << CONTEXT, np.int32)
         self.before1, self.before2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         # Per confidence: tries and hits of order 2, and of order 1 where order 2 failed, from a mild start.
         self.tries = np.full((2, LEVELS), 64, np.int64)
@@ -65,7 +65,8 @@ class _Model:
     def _settle(self) -> None:
         while self.counts.sum() > MOST:
             self.counts = (self.counts + 1) >> 1
-        self.low = np.concatenate([[0], np.cumsum(self.counts)])
+        self.low = np.zeros(self.size + 1, np.int32)
+        np.cumsum(self.counts, out=self.low[1:])
         self.total = int(self.low[-1])
         whole = 1 << SHARE
         rate = np.clip(self.hits * whole // self.tries, 4, whole - 4)
@@ -85,7 +86,8 @@ class _Model:
     def predict(self) -> tuple[np.ndarray, ...]:
         """Ids named by order 2 and 1, what their shares weigh, and the share of order 0."""
         self.place = (self.before2 * 40503 ^ self.before1 * 9973) & ((1 << CONTEXT) - 1)
-        self.found2, self.found1 = self.next2.take(self.place), self.next1.take(self.before1)
+        self.found2 = self.next2.take(self.place).astype(np.int64)
+        self.found1 = self.next1.take(self.before1).astype(np.int64)
         self.named2, self.named1 = self.found2 >> 3, self.found1 >> 3
         self.sure2, self.sure1 = self.found2 & 7, self.found1 & 7
         share = self.share = self.sure2 << 3 | self.sure1
@@ -114,7 +116,7 @@ class _Model:
             self.tries[1] += of1[:, 0].sum(1)
             self.hits[1] += of1[:, 0, 1]
             self.outcomes[:] = 0
-            self.counts += STEP * np.bincount(np.concatenate(self.pending), minlength=self.size)
+            self.counts += (STEP * np.bincount(np.concatenate(self.pending), minlength=self.size)).astype(np.int32)
             self.pending = []
             self._settle()
         self.before2, self.before1 = self.before1, ids
