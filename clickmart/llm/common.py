@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickmart.sources.files import is_local
+
 #: A key with more than this part of all rows is hot, so there are at most HOT_PARTS hot keys.
 HOT_PARTS = 1000
 
@@ -25,7 +27,7 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below ``spark.checkpoint.dir``; only a local session may leave that unset."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not is_local(spark):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         app = spark.sparkContext.applicationId
         base = _own.setdefault(app, _own.get(app) or tempfile.mkdtemp(prefix="llm-"))

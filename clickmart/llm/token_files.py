@@ -7,7 +7,7 @@ documents and ids, the documents' ids and lengths, and the bytes of the block. A
 written again alone.
 
 Defined results: a missing text is empty and becomes the end id alone; a missing id comes first; repeated rows and equal
-ids follow each other, ordered by text. An empty table makes files without blocks, which read as no documents.
+ids follow each other, ordered by text, whose beginning also deals out the rows of an id that very many share. An empty table makes files without blocks, which read as no documents.
 """
 
 from __future__ import annotations
@@ -76,7 +76,8 @@ def write(
     """Write the ids of all documents below ``path``."""
     rows = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    dealt = rows.repartitionByRange(common.partitions(docs.sparkSession), "_id")
+    start = F.substring("_text", 1, 64)
+    dealt = rows.repartitionByRange(common.partitions(docs.sparkSession), "_id", start)
     blocks = common.map_arrow(
         dealt.sortWithinPartitions("_id", "_text"), _blocks,
         f"{KEY}, n_docs long, n_tokens long, ids array<{kind}>, lengths array<long>, data binary",

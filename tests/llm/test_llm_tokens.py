@@ -166,6 +166,17 @@ def test_token_files_round_trip(spark, frame, odd_rows, vocabulary, tmp_path):
     assert token_files.load(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_an_id_that_very_many_share_is_dealt_out(spark, frame, vocabulary, tmp_path):
+    rows = [(None, f"text {i * 7919 % 2000:04}") for i in range(2000)] + [(1, "last")]
+    token_files.write(frame(rows), str(tmp_path / "ids"), vocabulary("byte_bpe_50k.json"))
+    blocks = spark.read.parquet(str(tmp_path / "ids")).select("part", "n_docs").collect()
+    assert len({r["part"] for r in blocks}) > 4 and max(r["n_docs"] for r in blocks) < 1000
+    found = token_files.load(spark, str(tmp_path / "ids"), token_files.as_checksums, "ids_crc32 long").orderBy("start").collect()
+    of_library = library(vocabulary("byte_bpe_50k.json"))
+    want = [[*of_library.encode(t, add_special_tokens=False).ids, 0] for _, t in sorted(rows, key=lambda r: (r[0] is not None, r[1]))]
+    assert [r["ids_crc32"] for r in found] == [zlib.crc32(np.array(ids, "<u4").tobytes()) for ids in want]
+
+
 # Byte-level BPE
 
 
