@@ -76,7 +76,7 @@ def write(
     """Write the ids of all documents below ``path``."""
     rows = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     kind = rows.schema["_id"].dataType.simpleString()
-    start = F.substring("_text", 1, 64)
+    start = F.substring("_text", 1, 24)
     dealt = rows.repartitionByRange(common.partitions(docs.sparkSession), "_id", start)
     blocks = common.map_arrow(
         dealt.sortWithinPartitions("_id", "_text"), _blocks,
