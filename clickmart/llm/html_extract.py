@@ -16,6 +16,9 @@ an element of which nothing else is the page's own: a heading or closing note th
 Inside an article or main element only a whole class name tells such an element at once; a single word of its class
 or id does if most pages of the host have the element. Ids of headings, paragraphs and the like never tell.
 
+Paths are interned per page, each with the number of the one around it, and a path longer than ``LONG`` goes by a hash of
+the path around it; so a page takes time and room in proportion to its length, however deep its elements are nested.
+
 Text rules: character references are decoded, white space inside a block becomes one space, blocks are trimmed and
 joined in page order by one line feed; nothing else is dropped.
 
@@ -28,8 +31,9 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence, Set
+from bisect import bisect_left, bisect_right
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence, Set
 from typing import NamedTuple
 
 import pandas as pd
@@ -78,6 +82,8 @@ MAIN = ("article", "main")
 LEAST = 3
 #: Part of a class's different pages on which a slot's text is the template's.
 CONSTANT = 0.9
+#: Characters of a path or of one of its steps beyond which a hash stands for them.
+LONG = 400
 
 _markup = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
@@ -85,21 +91,32 @@ _markup = re.compile(
     r"|<(?P<start>[a-zA-Z][^\s/>]*)(?P<attributes>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+[^>]*)>?",
     re.DOTALL,
 )
-_attribute = re.compile(r"([^\s=/\"'<>]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(hidden)\b")
+_attribute = re.compile(
+    r"(?<![^\s=/\"'<>])(?:([^\s=/\"'<>]++)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|(hidden)(?![^\s=/\"'<>]))"
+)
 #: Classes that tell what an element has, not what it is.
 _states = re.compile(r"(?:has|no|with|without|is)[-_]").match
 _words = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
 class Block(NamedTuple):
-    """A block's place, text, whether it stands beside the article, and its characters outside links."""
+    """A block's place (number of a path), text, whether it stands beside the article, and its characters outside links."""
 
-    path: str
+    path: int
     text: str
     beside: bool
     free: int
 
 
+class Open(NamedTuple):
+    """An open element: name, number of its path, whether it is beside the article, and whether in an article or main element."""
+
+    name: str
+    path: int
+    beside: bool
+    inside: bool
+
+
 def _marks(value: str) -> list[str]:
     """Names in a class or id that tell what an element is."""
     return [m for m in value.split() if not _states(m)]
@@ -117,20 +134,35 @@ def _attributes(raw: str) -> dict[str, str]:
     return found
 
 
+def _step(name: str, classes: list[str], ids: list[str]) -> str:
+    """An element's part of a path."""
+    step = name + "".join(f".{c}" for c in classes) + ("#" + "_".join(ids) if ids else "")
+    step = step.replace("/", "|")
+    return step if len(step) <= LONG else f"{_name(step)[:20]}.~{xxhash.xxh128_hexdigest(step)}"
+
+
 class Page:
     """Elements (paths, in order) and blocks of a page."""
 
     def __init__(self, source: str) -> None:
+        #: Paths by number, with the number of the one around, its depth, and whether it is in an article or main element;
+        #: a path comes after the one around it.
+        self.paths: list[str] = [""]
+        self.outer: list[int] = [-1]
+        self.depth: list[int] = [0]
+        self.main: list[bool] = [False]
+        self.number: dict[tuple[int, str], int] = {}
         self.elements: list[str] = []
         #: Elements opened so far by path: the last one's number, and the most open elements that two of them share.
-        self.last: dict[str, int] = {}
-        self.shared: dict[str, int] = {}
+        self.last: dict[int, int] = {}
+        self.shared: dict[int, int] = {}
         self.numbers: list[int] = []
         self.blocks: list[Block] = []
-        #: Elements inside the article that a word of their class or id tells: beside it if most pages have them.
-        self.suspects: set[str] = set()
-        #: Open elements: name, path, whether beside the article, whether inside an article or main element.
-        self.open: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+        #: Paths of elements inside the article that a word of their class or id tells: beside it if most pages have them.
+        self.suspects: set[int] = set()
+        self.open: list[Open] = [Open("", 0, False, False)]
+        #: Depths of the open elements of a name.
+        self.depths: dict[str, list[int]] = {}
         self.text: list[str] = []
         self.linked = self.links = 0
         at, end = 0, len(source)
@@ -152,6 +184,24 @@ class Page:
                 self._end(name.lower())
         self._flush()
 
+    def within(self, roots: Set[int]) -> list[bool]:
+        """Per path, whether it is one of ``roots`` or inside of one."""
+        found: list[bool] = []
+        for path, outer in enumerate(self.outer):
+            found.append(path in roots or (outer >= 0 and found[outer]))
+        return found
+
+    def holders(self) -> list[int]:
+        """Per path, the element that a heading, paragraph or list stands in; any other element itself."""
+        found: list[int] = []
+        for path, outer in enumerate(self.outer):
+            found.append(found[outer] if _name(self.paths[path]) in HELD else path)
+        return found
+
+    def _last(self, names: Iterable[str]) -> int:
+        """Depth of the innermost open element of these names, or 0."""
+        return max((self.depths[n][-1] for n in names if self.depths.get(n)), default=0)
+
     def _chars(self, raw: str) -> None:
         text = entities.unescape(raw) if "&" in raw else raw
         self.text.append(text)
@@ -162,36 +212,33 @@ class Page:
         if self.text:
             text = " ".join("".join(self.text).split())
             if text:
-                _, path, beside, _ = self.open[-1]
-                self.blocks.append(Block(path, text, beside, max(0, len(text) - self.linked)))
+                top = self.open[-1]
+                self.blocks.append(Block(top.path, text, top.beside, max(0, len(text) - self.linked)))
             self.text, self.linked = [], 0
 
     def _close_to(self, depth: int) -> None:
         self._flush()
-        del self.open[depth:]
+        while len(self.open) > depth:
+            self.depths[self.open.pop().name].pop()
         del self.numbers[depth - 1 :]
 
     def _start(self, name: str, raw: str) -> None:
         if name in INLINE:
             self.links += name == "a" and not raw.rstrip().endswith("/")
             return
-        if name in ENDS_PARAGRAPH:
-            for depth in range(len(self.open) - 1, 0, -1):
-                if self.open[depth][0] == "p":
-                    self._close_to(depth)
-                    break
-                if self.open[depth][0] in ("td", "th", "table", "button"):
-                    break
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] in ENDS_SAME.get(name, ()):
-                self._close_to(depth)
-            elif self.open[depth][0] in SCOPE or name not in ENDS_SAME:
-                break
+        if name in ENDS_PARAGRAPH and (depth := self._last(("p",))) > self._last(("td", "th", "table", "button")):
+            self._close_to(depth)
+        if same := ENDS_SAME.get(name):
+            # The outermost of the elements that it ends, within the scope.
+            scope = self._last(SCOPE.difference(same))
+            opened = [of[bisect_right(of, scope)] for n in same if (of := self.depths.get(n)) and of[-1] > scope]
+            if opened:
+                self._close_to(min(opened))
         self._flush()
         self.links = 0
         if name in VOID:
             return
-        _, path, beside, inside = self.open[-1]
+        _, outer, beside, inside = self.open[-1]
         found = _attributes(raw) if raw else {}
         marks, ids = _marks(found.get("class", "")), _marks(found.get("id", ""))
         ids = [] if name in TEXTUAL else ids
@@ -206,19 +253,28 @@ class Page:
                 or (name in MAIN and not {"comment", "comments"}.isdisjoint(words))
                 or (not inside and name not in MAIN and (name in OUTER or not OUTER_WORDS.isdisjoint(words)))
             )
-        classes = sorted(set(found.get("class", "").replace("/", "|").split()))
-        path = f"{path}/{name}" + "".join(f".{c}" for c in classes)
-        if inside and name not in MAIN and _told(ids):
-            path += "#" + "_".join(ids).replace("/", "|")
+        classes = sorted(set(found.get("class", "").split()))
+        step = _step(name, classes, ids if inside and name not in MAIN and _told(ids) else [])
+        path = self.number.get((outer, step))
+        if path is None:
+            path = self.number[outer, step] = len(self.paths)
+            full = f"{self.paths[outer]}/{step}"
+            if len(full) > LONG:
+                full = f"~{xxhash.xxh128_hexdigest(self.paths[outer])}/{step}"
+            self.paths.append(full)
+            self.outer.append(outer)
+            self.depth.append(self.depth[outer] + 1)
+            self.main.append(self.main[outer] or name in MAIN)
         if path in self.last:
             shared = bisect_left(self.numbers, self.last[path])
             self.shared[path] = max(shared, self.shared.get(path, 0))
         self.last[path] = len(self.elements)
         self.numbers.append(len(self.elements))
-        self.elements.append(path)
+        self.elements.append(self.paths[path])
         if inside and not beside and name not in (*MAIN, *TEXTUAL) and _told(marks + ids):
             self.suspects.add(path)
-        self.open.append((name, path, beside, inside or name in MAIN or found.get("role", "").lower() == "main"))
+        self.depths.setdefault(name, []).append(len(self.open))
+        self.open.append(Open(name, path, beside, inside or name in MAIN or found.get("role", "").lower() == "main"))
 
     def _end(self, name: str) -> None:
         if name in INLINE:
@@ -226,32 +282,15 @@ class Page:
             return
         if name in ("p", "br"):
             self._flush()
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth][0] == name:
-                self._close_to(depth)
-                self.links = 0
-                return
+        if depth := self._last((name,)):
+            self._close_to(depth)
+            self.links = 0
 
 
 def _name(path: str) -> str:
     return path.rpartition("/")[2].partition("#")[0].partition(".")[0]
 
 
-def inside(path: str, element: str) -> bool:
-    return path == element or path.startswith(element + "/")
-
-
-def is_main(path: str) -> bool:
-    return any(step.partition(".")[0] in MAIN for step in path.split("/"))
-
-
-def holder(path: str) -> str:
-    """The element that a heading, paragraph or list stands in; any other element itself."""
-    while _name(path) in HELD:
-        path = path.rpartition("/")[0]
-    return path
-
-
 def slot_key(path: str, text: str) -> int:
     """A slot and its text."""
     return xxhash.xxh64_intdigest(f"{path} {text}") >> 1
@@ -265,76 +304,80 @@ def main_text(
     are beside the article."""
     elements = [element] if isinstance(element, str) else element or []
     page = Page(source)
-    dropped = [p for p in common if p in page.suspects]
-    blocks = [b for b in page.blocks if not b.beside and not any(inside(b.path, p) for p in dropped)]
+    blocks = [b for b in page.blocks if not b.beside]
+    often = set(common)
+    if most := {p for p in page.suspects if page.paths[p] in often}:
+        dropped = page.within(most)
+        blocks = [b for b in blocks if not dropped[b.path]]
+    having = {page.paths[path]: path for path in range(1, len(page.paths))}
     for main in elements:
-        chosen = [b for b in blocks if inside(b.path, main)]
+        within = page.within({having[main]}) if main in having else []
+        chosen = [b for b in blocks if within and within[b.path]]
         if chosen:
             break
     else:
-        chosen = [b for b in blocks if is_main(b.path)] or blocks
+        chosen = [b for b in blocks if page.main[b.path]] or blocks
     if not constant:
         return "\n".join(b.text for b in chosen)
-    repeated = [slot_key(b.path, b.text) in constant for b in chosen]
+    repeated = [slot_key(page.paths[b.path], b.text) in constant for b in chosen]
     # Elements with a text of the page's own, and all around them.
-    varied: set[str] = set()
+    varied: set[int] = set()
     for block, again in zip(chosen, repeated, strict=True):
-        path = "" if again else block.path
-        while path and path not in varied:
+        path = 0 if again else block.path
+        while path > 0 and path not in varied:
             varied.add(path)
-            path = path.rpartition("/")[0]
-    return "\n".join(b.text for b, again in zip(chosen, repeated, strict=True) if not again or holder(b.path) in varied)
+            path = page.outer[path]
+    holder = page.holders()
+    return "\n".join(b.text for b, again in zip(chosen, repeated, strict=True) if not again or holder[b.path] in varied)
 
 
 # Templates
 
-FIGURES = ["pages", "vector", "single", "free", "of", "shared", "suspect"]
+FIGURES = ["pages", "vector", "single", "free", "of", "shared", "suspect", "depth"]
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per task, host and token: pages, folded occurrence vector, pages with one occurrence, free text inside and on all
-    of its pages, the open elements that two occurrences share at most, and pages where it is a suspect. Further rows have a slot's text and page
+    of its pages, the open elements that two occurrences share at most, pages where it is a suspect, and its depth. Further rows have a slot's text and page
     (hashes); those of every text have none."""
-    held: dict[tuple[str, str], list[int]] = {}
+    held: dict[tuple[str, str, str], list[int]] = {}
     slots: set[tuple[str, str, int | None, int]] = set()
 
     def out() -> pa.RecordBatch:
-        keys = [(*k, None, None) for k in held] + list(slots)
-        types = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        keys = [(*k, None, None) for k in held] + [(h, token, None, *more) for h, token, *more in slots]
+        types = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64())
         columns = [pa.array([k[i] for k in keys], t) for i, t in enumerate(types)]
         for i in range(len(FIGURES)):
             columns.append(pa.array([v[i] for v in held.values()] + [0] * len(slots), pa.int64()))
-        return pa.RecordBatch.from_arrays(columns, names=["host", "token", "text", "page", *FIGURES])
+        return pa.RecordBatch.from_arrays(columns, names=["host", "token", "outer", "text", "page", *FIGURES])
 
     for batch in batches:
         columns = [batch.column(c).to_pylist() for c in ("host", "_file", "_row")]
         for host, file, row, source in zip(*columns, common.texts(batch.column("_text")), strict=True):
             page = Page(source)
-            counts: dict[str, int] = {"": 1}
-            for path in page.elements:
-                counts[path] = counts.get(path, 0) + 1
-            free: dict[str, int] = {}
+            counts = Counter(page.elements)
+            counts[""] = 1
+            free = [0] * len(page.paths)
             kept = [b for b in page.blocks if not b.beside]
             same = xxhash.xxh64_intdigest("\n".join(b.text for b in kept)) >> 1
             for block in kept:
-                slots.add((host, block.path, None, same))
-                slots.add((host, block.path, slot_key(block.path, block.text), same))
-                if block.free:
-                    path = block.path
-                    while True:
-                        free[path] = free.get(path, 0) + block.free
-                        if not path:
-                            break
-                        path = path.rpartition("/")[0]
-            for path, n in counts.items():
-                figures = held.setdefault((host, path), [0] * len(FIGURES))
+                path = page.paths[block.path]
+                slots.add((host, path, None, same))
+                slots.add((host, path, slot_key(path, block.text), same))
+                free[block.path] += block.free
+            for path in range(len(free) - 1, 0, -1):
+                free[page.outer[path]] += free[path]
+            for path, token in enumerate(page.paths):
+                n = counts[token]
+                figures = held.setdefault((host, token, page.paths[page.outer[path]] if path else ""), [0] * len(FIGURES))
                 figures[0] += 1
                 figures[1] ^= xxhash.xxh64_intdigest(f"{file} {row} {n}") >> 1
                 figures[2] += n == 1
-                figures[3] += free.get(path, 0)
-                figures[4] += free.get("", 0)
+                figures[3] += free[path]
+                figures[4] += free[0]
                 figures[5] = max(figures[5], page.shared.get(path, 0))
                 figures[6] += path in page.suspects
+                figures[7] = page.depth[path]
         if len(held) + len(slots) > 100_000:
             yield out()
             held, slots = {}, set()
@@ -352,28 +395,42 @@ def deduce(tokens: pd.DataFrame) -> dict:
         if token:
             vectors.setdefault((rows[token].pages, rows[token].vector), []).append(token)
 
-    def above(token: str) -> Iterator[str]:
-        while token := token.rpartition("/")[0]:
-            if token in rows:
-                yield token
+    within: dict[str, list[str]] = {}
+    for token in sorted(rows):
+        if token:
+            within.setdefault(rows[token].outer, []).append(token)
 
     # As tokens of a class are equally many on every page, each element of an outer token holds one of an inner token
-    # exactly if none holds two. Tokens without such an outer token begin a class, which is valid by that.
-    classes: dict[str, list[str]] = {}
+    # exactly if none holds two. Tokens without such an outer token begin a class, which is valid by that. One walk down
+    # the paths keeps the tokens around by vector; ``beyond`` is the nearest one around of another class.
     of: dict[str, str] = {}
+    beyond: dict[str, str] = {}
+    around: dict[tuple[int, int], list[str]] = {}
+    todo = [(token, False) for token in within.get("", [])]
+    while todo:
+        token, left = todo.pop()
+        row = rows[token]
+        same = around.setdefault((row.pages, row.vector), [])
+        if left:
+            same.pop()
+            continue
+        outer = same[-1] if same and row.shared < rows[same[-1]].depth else None
+        once = row.single == row.pages == pages
+        of[token] = of[outer] if outer else "" if once else token
+        if row.outer:
+            beyond[token] = row.outer if of[row.outer] != of[token] else beyond.get(row.outer, "")
+        same.append(token)
+        todo.append((token, True))
+        todo += [(inner, False) for inner in within.get(token, [])]
+    classes: dict[str, list[str]] = {}
     for members in vectors.values():
-        own = set(members)
         for token in members:
-            outer = next((t for t in above(token) if t in own and rows[token].shared < t.count("/")), None)
-            once = rows[token].single == rows[token].pages == pages
-            of[token] = of[outer] if outer else "" if once else token
             classes.setdefault(of[token], []).append(token)
     names = {first: i for i, first in enumerate(classes)}
 
     def parent(members: list[str]) -> int:
         """The class of the nearest enclosing token of another class."""
-        found = (next((names[of[t]] for t in above(m) if of[t] != of[m]), -1) for m in members)
-        return min(found)
+        return min(names[of[beyond[m]]] if beyond.get(m) else -1 for m in members)
 
     template = [
         {
@@ -389,8 +446,8 @@ def deduce(tokens: pd.DataFrame) -> dict:
         if r.single == r.pages and (r.pages >= LEAST or 2 * r.pages >= pages):
             named = [t for t in members if _name(t) in MAIN and 2 * rows[t].free > rows[t].of]
             holders = [t for t in members if _name(t) not in TEXTUAL and 4 * rows[t].free > 3 * rows[t].of]
-            mains += [(bool(named), max(named or holders, key=lambda t: (t.count("/"), t)))] if named or holders else []
-    mains = [t for _, t in sorted(mains, key=lambda m: (m[0], m[1].count("/"), rows[m[1]].pages, m[1]), reverse=True)]
+            mains += [(bool(named), max(named or holders, key=lambda t: (rows[t].depth, t)))] if named or holders else []
+    mains = [t for _, t in sorted(mains, key=lambda m: (m[0], rows[m[1]].depth, rows[m[1]].pages, m[1]), reverse=True)]
     most = max(mains, key=lambda t: rows[t].pages, default=None)
     often = [t for t, r in rows.items() if r.suspect >= LEAST and 2 * r.suspect > pages]
     return {"pages": pages, "classes": template, "mains": mains, "main": most, "common": sorted(often)}
@@ -407,11 +464,11 @@ def templates(pages: DataFrame, url: str = "url", html: str = "html") -> DataFra
     which pages try them, suspects that most pages have (``common``), and the ``constant`` texts of slots (hashes)."""
     rows = common.keyed(pages, host=host(F.col(url)), _text=html)
     counted = common.map_arrow(
-        rows, _tokens, "host string, token string, text long, page long, " + ", ".join(f"{c} long" for c in FIGURES)
+        rows, _tokens, "host string, token string, outer string, text long, page long, " + ", ".join(f"{c} long" for c in FIGURES)
     )
-    added = {"vector": F.bit_xor, "shared": F.max}
+    added = {"vector": F.bit_xor, "shared": F.max, "depth": F.max}
     tokens = common.stored(
-        counted.groupBy("host", "token", "text", "page").agg(*(added.get(c, F.sum)(c).alias(c) for c in FIGURES)),
+        counted.groupBy("host", "token", "outer", "text", "page").agg(*(added.get(c, F.sum)(c).alias(c) for c in FIGURES)),
         "tokens",
     )
     # Copies of a page count once, so that an article with copies is not taken for the template.

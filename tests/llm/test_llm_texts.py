@@ -278,6 +278,32 @@ def test_recurring_headings_and_closing_notes_of_articles_stay(spark):
     assert {r["_id"]: r["text"] for r in html_extract.extract(frame).collect()} == want
 
 
+def test_deep_and_long_pages(spark):
+    deep = "<article>" + "".join(f"<div>t{i}" for i in range(20_000))
+    wide = f"<article class='{'x' * 5000}'><p>a</p><div {'y' * 300_000}>b</div></article>"
+    rows = [(1, "http://deep.example/", deep), (1, "http://deep.example/", "<p>other</p>"), (2, "http://wide.example/", wide)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = sorted((r["_id"], r["text"]) for r in html_extract.extract(frame).collect())
+    assert texts == [(1, "other"), (1, "\n".join(f"t{i}" for i in range(20_000))), (2, "a\nb")]
+    assert max(map(len, html_extract.Page(deep).paths)) < 2 * html_extract.LONG
+    page = html_extract.Page("<table><tr><td><p>" + "<div>" * 50_000 + "<tr><p>x<li>y<li>z")
+    assert [(b.text, page.depth[b.path]) for b in page.blocks] == [("x", 3), ("y", 3), ("z", 3)]
+
+
+def test_classes_of_hashed_paths_are_those_of_plain_ones(spark, monkeypatch):
+    rng = random.Random(5)
+    sources = ["<main>" + "".join(rng.choice(["<div class='a'>", "<ul><li>", "</div>", "x", "</li>"]) for _ in range(60))
+               for _ in range(8)]
+    shapes = []
+    for long in (10_000, 12):
+        monkeypatch.setattr(html_extract, "LONG", long)
+        pages = [html_extract.Page(x) for x in sources]
+        shapes.append([(p.outer, p.depth, p.main, p.blocks, p.shared) for p in pages])
+        names = {p for page in pages for p in page.paths}
+        shapes[-1].append((len(names), [[page.paths.index(e) for e in page.elements] for page in pages]))
+    assert shapes[0] == shapes[1]
+
+
 def test_classes_against_plain_occurrence_vectors(spark):
     rng = random.Random(3)
     sources = []
