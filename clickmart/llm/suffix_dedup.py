@@ -14,8 +14,8 @@ only needs to be sought among pieces with its anchor.
 
 Equal pieces meet in each shard before they are sent, so a passage that many documents share arrives once per shard.
 An anchor with ``HOT`` pieces or more (the distinct ones of each shard, added up) is split, however few documents they are
-from: its windows are sent one by one, by two 64-bit hashes of the whole window, with their smallest id. So no index
-is built over more than 20,000 and ``HOT`` pieces.
+from: its distinct windows are sent one by one, whole, with their smallest id, to buckets by a hash, and compared byte by
+byte there. So no index is built over more than 20,000 and ``HOT`` pieces.
 
 Defined results: ids are integers; a missing id is larger than all others, and equal ids are not smaller than each other, so
 repeated rows do not remove each other. A missing text is empty; texts shorter than ``LENGTH`` stay whole. An
@@ -52,13 +52,13 @@ BUCKETS = 4
 STRETCH = 1 << 16
 
 NO_ID = np.iinfo(np.int64).max
-_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_FACTOR = 0x9E3779B97F4A7C15
 
 
 # Windows of a text
 
 
-def gram_hashes(data: np.ndarray, size: int, factor: int = _FACTORS[0]) -> np.ndarray:
+def gram_hashes(data: np.ndarray, size: int, factor: int = _FACTOR) -> np.ndarray:
     """Hash of the ``size`` bytes from each place on, by doubling."""
     part, length = data.astype(np.uint64) + np.uint64(1), 1
     found, have = None, 0
@@ -283,7 +283,7 @@ class _Candidates:
     """A shard's pieces and windows to be judged, the same in every run.
 
     ``texts``: distinct pieces, with ``ranks``, the smallest rank of each, and ``anchors``; ``doc``, ``first``,
-    ``windows`` and ``number`` of every piece. ``single``: distinct windows of hot anchors (two hashes), with
+    ``windows`` and ``number`` of every piece. ``single``: places of the distinct windows of hot anchors, with ``single_hash`` and
     ``single_rank``; ``single_doc``, ``single_at`` and ``single_of`` of every such window. Places are those in the shard.
     """
 
@@ -310,29 +310,51 @@ class _Candidates:
         n = windows[alone]
         self.single_at = np.repeat(first[alone] - np.cumsum(n) + n, n) + np.arange(n.sum())
         self.single_doc = np.repeat(doc[alone], n)
-        pair = []
-        for factor in _FACTORS:
-            powers = np.array([pow(factor, LENGTH - 1 - i, 1 << 64) for i in range(LENGTH)], np.uint64)
-            out = np.empty(len(self.single_at), np.uint64)
-            for i in range(0, len(out), 1 << 16):
-                grams = shard.array[self.single_at[i : i + (1 << 16), None] + np.arange(LENGTH)]
-                out[i : i + (1 << 16)] = ((grams.astype(np.uint64) + np.uint64(1)) * powers).sum(1, dtype=np.uint64)
-            out ^= out >> np.uint64(31)
-            pair.append(out * np.uint64(0x94D049BB133111EB))
-        self.single, self.single_of = _distinct(*pair)
-        self.single_rank = np.full(len(self.single[0]), NO_ID)
+        hashes, places = np.empty(len(self.single_at), np.uint64), np.arange(LENGTH)
+
+        def window(at: np.ndarray) -> np.ndarray:
+            return shard.array[self.single_at[at][:, None] + places]
+
+        for i in range(0, len(hashes), STRETCH):
+            hashes[i : i + STRETCH] = window_hashes(window(np.arange(i, min(len(hashes), i + STRETCH))))
+        first, self.single_of = _distinct(hashes, window)
+        self.single, self.single_hash = self.single_at[first], hashes[first]
+        self.single_rank = np.full(len(first), NO_ID)
         np.minimum.at(self.single_rank, self.single_of, shard.ranks[self.single_doc])
 
 
-def _distinct(a: np.ndarray, b: np.ndarray) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
-    """Distinct pairs in order, and the number of each pair's."""
-    if not len(a):
-        return (a, b), np.zeros(0, np.int64)
-    order = np.lexsort((b, a))
-    new = np.r_[True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])]
-    of = np.empty(len(a), np.int64)
+def window_hashes(windows: np.ndarray) -> np.ndarray:
+    """Hash of each row of bytes."""
+    powers = np.array([pow(_FACTOR, LENGTH - 1 - i, 1 << 64) for i in range(LENGTH)], np.uint64)
+    out = ((windows.astype(np.uint64) + np.uint64(1)) * powers).sum(1, dtype=np.uint64)
+    out ^= out >> np.uint64(31)
+    return out * np.uint64(0x94D049BB133111EB)
+
+
+def _distinct(hashes: np.ndarray, window: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """One of each distinct window, ordered by hash, and the number of each window's.
+
+    Windows with one hash are compared byte by byte; where some differ, their bytes tell them apart.
+    """
+    order = np.argsort(hashes, kind="stable")
+    ordered = hashes[order]
+    equal = np.flatnonzero(ordered[1:] == ordered[:-1])
+    differ = [equal[:0]]
+    for i in range(0, len(equal), STRETCH):
+        some = equal[i : i + STRETCH]
+        differ.append(some[(window(order[some]) != window(order[some + 1])).any(1)])
+    told = np.zeros(len(hashes), np.int64)
+    if len(clash := np.concatenate(differ)):
+        among = np.flatnonzero(np.isin(hashes, ordered[clash]))
+        texts = [row.tobytes() for row in window(among)]
+        number = {text: i for i, text in enumerate(sorted(set(texts)))}
+        told[among] = [number[text] for text in texts]
+        order = np.lexsort((told, hashes))
+    new = np.ones(len(order), bool)
+    new[1:] = (hashes[order][1:] != hashes[order][:-1]) | (told[order][1:] != told[order][:-1])
+    of = np.empty(len(order), np.int64)
     of[order] = np.cumsum(new) - 1
-    return (a[order][new], b[order][new]), of
+    return order[new], of
 
 
 def _piece_buckets(found: _Candidates, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -340,7 +362,7 @@ def _piece_buckets(found: _Candidates, buckets: int) -> Iterator[tuple[int, np.n
 
 
 def _window_buckets(found: _Candidates, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
-    yield from _by_bucket((found.single[0] % np.uint64(buckets)).astype(np.int64))
+    yield from _by_bucket((found.single_hash % np.uint64(buckets)).astype(np.int64))
 
 
 def _sent(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -359,7 +381,7 @@ def _sent(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
                 out.append((bucket, 0, coder.compress(body)))
             for bucket, at in _window_buckets(found, buckets):
                 body = struct.pack("<I", len(at)) + found.single_rank[at].tobytes()
-                body += found.single[0][at].tobytes() + found.single[1][at].tobytes()
+                body += shard.array[found.single[at][:, None] + np.arange(LENGTH)].tobytes()
                 out.append((bucket, 1, coder.compress(body)))
             for some in range(0, len(out), 256):
                 part = out[some : some + 256]
@@ -376,7 +398,7 @@ def _judged(messages: list[tuple]) -> Iterator[tuple]:
         n = struct.unpack_from("<I", body)[0]
         rank = np.frombuffer(body, np.int64, n, 4)
         if message[3]:
-            windows_sent.append((message, rank, *(np.frombuffer(body, np.uint64, n, 4 + 8 * n * k) for k in (1, 2))))
+            windows_sent.append((message, rank, np.frombuffer(body, np.uint8, n * LENGTH, 4 + 8 * n).reshape(n, LENGTH)))
             continue
         ends = 4 + 9 * n + np.cumsum(np.frombuffer(body, np.uint8, n, 4 + 8 * n), dtype=np.int64)
         edges, add = [4 + 9 * n, *ends.tolist()], of_piece.setdefault
@@ -392,9 +414,9 @@ def _judged(messages: list[tuple]) -> Iterator[tuple]:
         found = np.where(rank > smallest[number], whole[number], elsewhere[number]) if len(number) else whole
         yield (*message[:4], found.astype("<u4").tobytes())
     if windows_sent:
-        _, of = _distinct(*(np.concatenate([w[k] for w in windows_sent]) for k in (2, 3)))
-        ranks = np.concatenate([w[1] for w in windows_sent])
-        low = np.full(int(of.max()) + 1 if len(of) else 0, NO_ID)
+        windows, ranks = (np.concatenate([w[k] for w in windows_sent]) for k in (2, 1))
+        first, of = _distinct(np.concatenate([window_hashes(w[2]) for w in windows_sent]), windows.__getitem__)
+        low = np.full(len(first), NO_ID)
         np.minimum.at(low, of, ranks)
         found, end = (ranks > low[of]).astype(np.uint8), 0
         for message, rank, *_ in windows_sent:

@@ -246,6 +246,16 @@ def test_an_anchor_of_few_documents_with_many_pieces_is_split(frame):
     assert sorted((tuple(r) for r in found.select(*columns).collect()), key=str) == brute_removals(rows)
 
 
+@SMALL
+@given(st.lists(st.integers(0, 12), max_size=60), st.integers(1, 4))
+def test_windows_with_one_hash_are_told_apart_by_their_bytes(values, hashes):
+    windows = np.array(values, np.uint8)[:, None] * np.ones(suffix_dedup.LENGTH, np.uint8)
+    poor = np.array([v % hashes for v in values], np.uint64)
+    first, of = suffix_dedup._distinct(poor, windows.__getitem__)
+    assert len(first) == len(set(values)) and [values[k] for k in first[of]] == values
+    assert (poor[first] == np.sort(poor[first])).all()
+
+
 def test_removal_keeps_rows_and_columns(frame, odd_rows):
     docs = frame(odd_rows)
     found = suffix_dedup.dedup(docs)
