@@ -7,7 +7,7 @@ import re
 import pytest
 
 from clickmart.operators import clean, ingest, marts, quality
-from clickmart.plans import fixtures
+from clickmart.plans import daily, fixtures
 from clickmart.plans.queries import QUERIES
 from clickmart.sources import files
 
@@ -36,6 +36,12 @@ def shuffles(frame):
     return plan(frame).count("Exchange hashpartitioning")
 
 
+def test_row_counts_read_no_columns(stg):
+    # Without columns only the files' footers are read.
+    assert read_columns(daily._counts("stg", stg)) == [[]]
+    assert read_columns(daily._counts("stg", stg, "sessions")) == [["session_id"]]
+
+
 def test_funnel_reads_only_partition_columns(stg):
     assert read_columns(marts.funnel_daily(stg)) == [[]]
     assert shuffles(marts.funnel_daily(stg)) == 1
